@@ -29,7 +29,7 @@ def sectioned(spark: SparkSession, sf: str) -> DataFrame:
     def line(x: Column) -> Column:
         n = F.char_length(x)
         return (F.when(~n.between(4, 60), x).when(n % 3 == 0, F.concat(F.lit("## "), x))
-                .when(n % 3 == 1, F.concat(F.lit("2.1 "), x)).otherwise(F.upper(F.translate(x, ".,", ""))))
+                .when(n % 3 == 1, F.concat(F.lit("2.1 "), x)).otherwise(F.upper(F.translate(x, ".,ß", ""))))
     return documents(spark, sf).withColumn("text", F.array_join(F.transform(F.split("text", "\n"), line), "\n\n"))
 
 

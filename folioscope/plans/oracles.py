@@ -1,0 +1,396 @@
+"""The SQL that each registered query has to agree with, written for DuckDB.
+
+It is built differently on purpose: structure by windows and recursion where Spark folds arrays.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from ..functions.metadata import DOC_TYPE_KEYWORDS, EXTENSION_MIME
+from ..functions.strings import FOREIGN_BREAK, LINE_ENDS, UPPER, WHITESPACE, WS
+from ..operators.catalog import DEFAULT_RULES
+from ..operators.language import PROFILE_SIZE
+
+_STAMP = "TIMESTAMP '2024-01-01 00:00:00'"
+
+
+def _q(text: str) -> str:
+    """A string literal; control and non-ASCII blanks by code, so that the SQL stays printable."""
+    parts, plain = [], ""
+    for c in text:
+        if c.isprintable():
+            plain += c
+            continue
+        if plain:
+            parts.append("'" + plain.replace("'", "''") + "'")
+            plain = ""
+        parts.append(f"chr({ord(c)})")
+    if plain or not parts:
+        parts.append("'" + plain.replace("'", "''") + "'")
+    return parts[0] if len(parts) == 1 else "(" + " || ".join(parts) + ")"
+
+
+def _strip(x: str) -> str:
+    return f"trim({x}, {_q(WHITESPACE)})"
+
+
+_NL, _TAB = "chr(10)", "chr(9)"
+_TOKENS = "greatest(1, length({0}) // 4)::INTEGER"
+_CHUNK_KEY = "sha256({0}::VARCHAR || ':' || {1}::VARCHAR)"
+
+# Inputs -------------------------------------------------------------------------------------------
+
+_DOCS = "SELECT doc_id, text FROM documents"
+_SECTIONED = f"""SELECT doc_id, array_to_string(list_transform(string_split(text, {_NL}), lambda x:
+    CASE WHEN NOT length(x) BETWEEN 4 AND 60 THEN x WHEN length(x) % 3 = 0 THEN '## ' || x
+         WHEN length(x) % 3 = 1 THEN '2.1 ' || x ELSE upper(replace(replace(replace(x, '.', ''), ',', ''), 'ß', '')) END), {_NL} || {_NL}) AS text
+  FROM documents"""
+_TURNS = f"SELECT conv_id, turn, '## ' || role || {_NL} || text AS text FROM conversations"
+_DOCUMENT_TABLE = f"""SELECT doc_id::VARCHAR AS doc_id, 'mem://' || source || '/' || doc_id || '.txt' AS uri, doc_id || '.txt' AS filename,
+    'text/plain' AS mime_type, CASE doc_id % 5 WHEN 0 THEN 'cv' WHEN 1 THEN 'contrato' ELSE 'unknown' END AS doc_type,
+    lang AS language, n_chars::INTEGER AS char_count, {_STAMP} AS ingest_timestamp FROM documents"""
+_LINES = f"""SELECT doc_id, source, (unnest(range(len(l))))::INTEGER AS pos, unnest(l) AS line
+  FROM (SELECT doc_id, source, string_split(text, {_NL}) AS l FROM documents)"""
+_LINE_CHUNKS = f"""SELECT doc_id || ':' || pos AS chunk_id, doc_id::VARCHAR AS doc_id, pos AS chunk_index,
+    CASE WHEN pos % 2 = 0 THEN source END AS section_heading, line AS chunk_text, {_TOKENS.format('line')} AS token_count FROM ({_LINES})"""
+_MIXED = """SELECT 'mem://' || doc_id AS uri, doc_id::VARCHAR AS filename,
+    CASE doc_id % 4 WHEN 0 THEN 'text/plain' WHEN 1 THEN 'text/markdown' WHEN 2 THEN 'application/json' ELSE 'application/pdf' END AS mime_type,
+    CASE doc_id % 4 WHEN 2 THEN 'text: ' || text WHEN 3 THEN '' ELSE text END AS text,
+    CASE doc_id % 4 WHEN 3 THEN 'unsupported_format' END AS parse_error FROM documents"""
+_PAGE_PATHS = """SELECT page_id, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS ns,
+    regexp_replace(regexp_replace('/' || regexp_replace(path, '([0-9])([0-9])([0-9])', '\\1/\\2/\\3', 'g'), '/+', '/', 'g'), '/$', '') AS path
+  FROM (SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path FROM pages)"""
+_STEPS = f"""SELECT page_id, ns, array_to_string(list_slice(parts, 1, depth + 1), '/') AS path, depth,
+    CASE WHEN depth = len(parts) - 1 THEN 'f' ELSE 'd' END AS node_type
+  FROM (SELECT page_id, ns, parts, unnest(range(1, len(parts))) AS depth
+        FROM (SELECT page_id, ns, string_split(path, '/') AS parts FROM ({_PAGE_PATHS}) WHERE path <> ''))"""
+_NODES = f"SELECT ns, path, min(node_type) AS node_type FROM ({_STEPS}) GROUP BY ns, path"
+_PARENT = "regexp_replace({0}, '/[^/]*$', '')"
+_NAME = "regexp_extract({0}, '[^/]*$')"
+_CENTROIDS = """SELECT label AS query_id, list(x ORDER BY pos) AS v FROM (SELECT label, pos, avg(x) AS x FROM (
+    SELECT label, unnest(range(64)) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings) GROUP BY label, pos) GROUP BY label"""
+
+# Structure ----------------------------------------------------------------------------------------
+
+
+def _heading(x: str) -> str:
+    s = _strip(x)
+    md, up = f"^#{{1,6}}{WS}+", f"[{UPPER}]"
+    capitals = f"^(?:{up}|{WS}){{3,80}}$"
+    return f"""CASE WHEN regexp_matches({s}, {_q(md + '[^' + chr(92) + 'n]+$')}) THEN {_strip(f"regexp_replace({s}, {_q(md)}, '')")}
+      WHEN regexp_matches({s}, {_q('^' + chr(92) + 'p{Nd}+(?:' + chr(92) + '.' + chr(92) + 'p{Nd}+)*' + chr(92) + '.?' + WS + '+' + up + '[^' + chr(92) + 'n]{3,80}$')}) THEN {s}
+      WHEN regexp_matches({s}, {_q(capitals)}) AND len(regexp_split_to_array({s}, {_q(WS + '+')})) >= 2 AND {s} = upper({s}) THEN {s} END"""
+
+
+def _unix(x: str) -> str:
+    return f"regexp_replace({x}, {_q(FOREIGN_BREAK)}, {_NL}, 'g')"
+
+
+def _sections(source: str, keys: str = "doc_id") -> str:
+    """CTEs up to ``sections(keys, section_no, heading, body)``."""
+    return f"""src AS ({source}),
+    ln AS (SELECT {keys}, unnest(range(len(l))) AS pos, unnest(l) AS line FROM (SELECT {keys}, string_split({_unix('text')}, {_NL}) AS l FROM src)),
+    hd AS (SELECT *, {_heading('line')} AS h FROM ln),
+    grp AS (SELECT *, count(h) OVER (PARTITION BY {keys} ORDER BY pos ROWS UNBOUNDED PRECEDING) AS g FROM hd),
+    raw AS (SELECT {keys}, g, max(h) AS heading, {_strip(f"string_agg(line, {_NL} ORDER BY pos) FILTER (WHERE h IS NULL)")} AS body FROM grp GROUP BY {keys}, g),
+    good AS (SELECT * FROM raw WHERE body <> ''),
+    sections AS (SELECT {keys}, (row_number() OVER (PARTITION BY {keys} ORDER BY g) - 1)::INTEGER AS section_no, heading, body FROM good
+      UNION ALL SELECT {keys}, 0, NULL, {_strip('text')} FROM src WHERE ({keys}) NOT IN (SELECT ({keys}) FROM good))"""
+
+
+def _blocks(x: str) -> str:
+    found = f"list_filter(list_transform(regexp_split_to_array({x}, '\\n{{2,}}'), lambda p: {_strip('p')}), lambda p: p <> '')"
+    return f"CASE WHEN len({found}) > 0 THEN {found} ELSE [{x}] END"
+
+
+def _sentences(x: str) -> str:
+    marked = f"regexp_replace({x}, {_q('([.!?])' + WS + '+([' + UPPER + chr(34) + chr(39) + '(])')}, '\\1' || chr(1) || '\\2', 'g')"
+    return f"list_filter(list_transform(string_split({marked}, chr(1)), lambda s: {_strip('s')}), lambda s: s <> '')"
+
+
+def _fold(name: str, units: str, keys: str, limit: int, overlap: int, suffix: bool) -> str:
+    """CTEs packing ``units(keys, i, grp, txt)`` into ``name(keys, grp, s, e)``; lists end up in ``name_l``."""
+    key_list = [k.strip() for k in keys.split(",")]
+    same = " AND ".join(f"f.{k} = l.{k}" for k in key_list)
+    fkeys = ", ".join(f"f.{k}" for k in key_list)
+    size = "(l.p[f.i + 2] - l.p[f.i + 1])"
+    if suffix:
+        carry = f"f.s + len(list_filter(l.p[f.s + 1 : f.i + 1], lambda q: l.p[f.i + 2] - q > {overlap}))"
+    else:
+        carry = f"CASE WHEN {size} <= {overlap} THEN f.i ELSE f.i + 1 END"
+    brk = "l.g[f.i + 2] <> l.g[f.i + 1]"
+    over = f"l.p[f.i + 3] - l.p[f.s + 1] > {limit}"
+    return f"""{name}_u AS ({units}),
+    {name}_l AS (SELECT {keys}, list(grp ORDER BY i) AS g, list(txt ORDER BY i) AS t, count(*) AS n,
+        list_concat([0], list(cum ORDER BY i)) AS p FROM (SELECT *, (sum({_TOKENS.format('txt')}) OVER (PARTITION BY {keys} ORDER BY i ROWS UNBOUNDED PRECEDING))::BIGINT AS cum FROM {name}_u) GROUP BY {keys}),
+    {name}_f AS (SELECT {keys}, 0::BIGINT AS i, 0::BIGINT AS s, -1::BIGINT AS es, -1::BIGINT AS ee FROM {name}_l
+      UNION ALL SELECT {fkeys}, f.i + 1,
+        (CASE WHEN {brk} THEN f.i + 1 WHEN {over} THEN {carry} ELSE f.s END)::BIGINT,
+        CASE WHEN {brk} OR {over} THEN f.s ELSE -1 END, CASE WHEN {brk} OR {over} THEN f.i + 1 ELSE -1 END
+      FROM {name}_f f JOIN {name}_l l ON {same} WHERE f.i + 1 < l.n),
+    {name} AS (SELECT {keys}, es AS s, ee AS e FROM {name}_f WHERE es >= 0
+      UNION ALL SELECT {fkeys}, f.s, l.n FROM {name}_f f JOIN {name}_l l ON {same} WHERE f.i + 1 = l.n)"""
+
+
+def _joined(name: str, keys: str, sep: str) -> str:
+    same = " AND ".join(f"r.{k.strip()} = l.{k.strip()}" for k in keys.split(","))
+    rkeys = ", ".join(f"r.{k.strip()}" for k in keys.split(","))
+    return f"SELECT {rkeys}, r.s, r.e, l.g[r.s + 1] AS grp, array_to_string(l.t[r.s + 1 : r.e], {sep}) AS txt FROM {name} r JOIN {name}_l l ON {same}"
+
+
+def _listed(table: str, keys: str, array: str, extra: str = "0 AS grp") -> str:
+    """Rows (keys, i, grp, txt) of one array per row."""
+    return f"SELECT {keys}, unnest(range(len(a))) AS i, {extra}, unnest(a) AS txt FROM (SELECT *, {array} AS a FROM {table})"
+
+
+def _chunks(source: str, limit: int = 512, overlap: int = 64) -> str:
+    """CTEs up to ``chunks(doc_id, chunk_index, section_heading, chunk_text, token_count)``."""
+    nonblank = f"SELECT * FROM ({source}) WHERE {_strip('text')} <> ''"
+    para = f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY section_no, j) - 1 AS i, section_no AS grp, txt FROM (
+        SELECT doc_id, section_no, unnest(range(len(a))) AS j, unnest(a) AS txt FROM (SELECT doc_id, section_no, {_blocks('body')} AS a FROM sections))"""
+    units = f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY grp_no, j) - 1 AS i, grp_no AS grp, txt FROM (
+        SELECT doc_id, grp_no, unnest(range(len(a))) AS j, unnest(a) AS txt FROM (
+          SELECT doc_id, grp_no, CASE WHEN {_TOKENS.format('txt')} <= {limit} THEN [txt] ELSE {_sentences('txt')} END AS a FROM groups))"""
+    return f"""{_sections(nonblank)}, {_fold('pf', para, 'doc_id', limit, overlap, False)},
+    groups AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY e) - 1 AS grp_no FROM ({_joined('pf', 'doc_id', _NL + ' || ' + _NL)})),
+    {_fold('sf', units, 'doc_id', limit, overlap, True)},
+    pieces AS (SELECT c.doc_id, c.e, c.txt, s.heading FROM ({_joined('sf', 'doc_id', "' '")}) c
+      JOIN groups g ON g.doc_id = c.doc_id AND g.grp_no = c.grp JOIN sections s ON s.doc_id = g.doc_id AND s.section_no = g.grp WHERE {_strip('c.txt')} <> ''),
+    chunks AS (SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY e) - 1)::INTEGER AS chunk_index, heading AS section_heading,
+      {_strip('txt')} AS chunk_text, {_TOKENS.format('txt')} AS token_count FROM pieces)"""
+
+
+_CHUNK_COLUMNS = f"SELECT {_CHUNK_KEY.format('doc_id', 'chunk_index')} AS chunk_id, doc_id, chunk_index, section_heading, chunk_text, token_count FROM chunks"
+_PACK_KEYS = "doc_id, section_no"
+_PACKED = f"{_sections(_SECTIONED)}, {_fold('pf', _listed('sections', _PACK_KEYS, _blocks('body')), _PACK_KEYS, 200, 40, False)}"
+_PACKED_ROWS = f"SELECT *, (row_number() OVER (PARTITION BY {_PACK_KEYS} ORDER BY e) - 1)::INTEGER AS pos FROM ({_joined('pf', _PACK_KEYS, _NL + ' || ' + _NL)})"
+_RESPLIT_KEYS = "doc_id, section_no, pos"
+_RESPLIT_UNITS = _listed("packed", _RESPLIT_KEYS, f"CASE WHEN {_TOKENS.format('txt')} <= 120 THEN [txt] ELSE {_sentences('txt')} END")
+
+# Text ---------------------------------------------------------------------------------------------
+
+_SRC_HTML = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<head\b[^>]*>.*?</head\s*>|<noscript\b[^>]*>.*?</noscript\s*>|<[!?][^>]*>|</?[a-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+_HTML_TAGS = f"regexp_replace(regexp_replace(html, {_q(_SRC_HTML)}, chr(1), 'g'), '[\\x01]+', {_NL}, 'g')"
+_HTML_CHARS = reduce(lambda x, kv: f"replace({x}, '{kv[0]}', '{kv[1]}')", [("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")], _HTML_TAGS)
+_HTML_LINES = f"array_to_string(list_transform(string_split({_unix(_HTML_CHARS)}, {_NL}), lambda x: {_strip('x')}), {_NL})"
+_HTML_TEXT = _strip(f"regexp_replace({_HTML_LINES}, '\\n{{3,}}', {_NL} || {_NL}, 'g')")
+
+_EXT = "regexp_extract(lower(filename), '[^/.][^/]*?(\\.[^./]*)$', 1)"
+_MIME = f"CASE WHEN hint IN ({', '.join(_q(m) for m in sorted(set(EXTENSION_MIME.values())))}) THEN hint " + " ".join(
+    f"WHEN {_EXT} = '{e}' THEN '{m}'" for e, m in EXTENSION_MIME.items()) + " ELSE 'text/plain' END"
+
+_TYPED = """SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'Contrato cláusula ' WHEN 1 THEN 'proposta ' WHEN 2 THEN 'relatório '
+    WHEN 3 THEN 'Curriculum vitae ' WHEN 4 THEN 'contrato proposta ' ELSE '' END || text AS text, 'report_' || doc_id AS filename FROM documents"""
+
+
+def _hits(words: list[str]) -> str:
+    return "(" + " + ".join(f"(length(s) - length(replace(s, {_q(w)}, ''))) // {len(w)}" for w in words) + ")::INTEGER"
+
+
+_TYPE_SCORES = f"""SELECT *, CASE WHEN greatest({', '.join(f'{t}_hits' for t in DOC_TYPE_KEYWORDS)}) = 0 THEN 'unknown' {' '.join(
+    f"WHEN {t}_hits = greatest({', '.join(f'{u}_hits' for u in DOC_TYPE_KEYWORDS)}) THEN '{t}'" for t in DOC_TYPE_KEYWORDS)} END AS doc_type
+  FROM (SELECT uri, {', '.join(f'{_hits(w)} AS {t}_hits' for t, w in DOC_TYPE_KEYWORDS.items())} FROM (
+    SELECT uri, lower(filename || ' ' || substring(text, 1, 4000)) AS s FROM {{0}}))"""
+
+_GRAMS = "list_transform(range(1, length(h) - 1), lambda i: substring(h, i, 3))"
+_LANGUAGE = f"""gram AS (SELECT doc_id, lang, text, unnest({_GRAMS}) AS g FROM (SELECT *, lower(substring(text, 1, 500)) AS h FROM documents)),
+    cnt AS (SELECT lang, g, count(*) AS n FROM gram GROUP BY lang, g),
+    kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, g) AS r FROM cnt) WHERE r <= {PROFILE_SIZE}),
+    tot AS (SELECT lang, sum(n) AS total FROM kept GROUP BY lang),
+    unseen AS (SELECT lang, round(ln(1 / (total + {PROFILE_SIZE})::DOUBLE) * 1000000)::BIGINT AS w FROM tot),
+    weight AS (SELECT k.lang, k.g, round(ln((k.n + 1) / (t.total + {PROFILE_SIZE})::DOUBLE) * 1000000)::BIGINT AS w FROM kept k JOIN tot t USING (lang)),
+    score AS (SELECT d.doc_id, u.lang, sum(coalesce(w.w, u.w)) AS s FROM (SELECT doc_id, g FROM gram WHERE length({_strip('text')}) >= 20) d
+      CROSS JOIN unseen u LEFT JOIN weight w ON w.lang = u.lang AND w.g = d.g GROUP BY d.doc_id, u.lang),
+    found AS (SELECT doc_id, lang AS language FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, lang) AS r FROM score) WHERE r = 1)"""
+_LANGUAGE_ROWS = "SELECT d.doc_id, d.lang, coalesce(f.language, 'unknown') AS language FROM documents d LEFT JOIN found f USING (doc_id)"
+
+# Retrieval ----------------------------------------------------------------------------------------
+
+_SIM = "list_cosine_similarity({0}::DOUBLE[], {1}::DOUBLE[])"
+_QV = "(SELECT embedding FROM embeddings WHERE vec_id = 0)"
+_KNN = f"""SELECT query_id, vec_id, sim, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS r
+  FROM (SELECT q.query_id, e.vec_id, {_SIM.format('e.embedding', 'q.v')} AS sim FROM embeddings e CROSS JOIN ({_CENTROIDS}) q)"""
+_KNN_10 = f"SELECT query_id, vec_id, round(sim, 6) AS similarity, r::INTEGER AS rank FROM ({_KNN}) WHERE r <= 10"
+
+# Path changes, level by level; the derived trees are at most four deep ------------------------------
+
+
+def _create(requests: str, stored: str) -> str:
+    """CTEs ``req(ns, seq, path, node_type, parent, depth)`` and ``made(ns, path, seq, node_type)``."""
+    out = [f"old AS ({stored})", f"""req AS (SELECT *, {_PARENT.format('path')} AS parent, length(path) - length(replace(path, '/', '')) AS depth FROM ({requests}))"""]
+    for d in range(1, 6):
+        if d == 1:
+            timely = "SELECT r.* FROM req r WHERE depth = 1"
+        else:
+            timely = f"""SELECT r.* FROM req r JOIN (SELECT ns, path, -1 AS since FROM old WHERE node_type = 'd'
+              UNION ALL SELECT ns, path, seq FROM made{d - 1} WHERE node_type = 'd') p ON p.ns = r.ns AND p.path = r.parent AND r.seq > p.since WHERE r.depth = {d}"""
+        out.append(f"""made{d} AS (SELECT ns, path, min(seq) AS seq, arg_min(node_type, seq) AS node_type FROM ({timely}) t
+          WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.ns = t.ns AND o.path = t.path) GROUP BY ns, path)""")
+    out.append("made AS (" + " UNION ALL ".join(f"SELECT * FROM made{d}" for d in range(1, 6)) + ")")
+    return ", ".join(out)
+
+
+def _delete(requests: str, stored: str) -> str:
+    out = [f"old AS (SELECT *, {_PARENT.format('path')} AS parent, length(path) - length(replace(path, '/', '')) AS depth FROM ({stored}))",
+           f"req AS ({requests})", "gone6 AS (SELECT ns, path, 0 AS seq FROM old WHERE false)"]
+    for d in range(5, 0, -1):
+        out.append(f"""gone{d} AS (SELECT r.ns, r.path, min(r.seq) AS seq FROM req r JOIN old o ON o.ns = r.ns AND o.path = r.path AND o.depth = {d}
+          WHERE r.seq > coalesce((SELECT max(CASE WHEN g.seq IS NULL THEN 9000000000000 ELSE g.seq END) FROM old c LEFT JOIN gone{d + 1} g ON g.ns = c.ns AND g.path = c.path
+            WHERE c.ns = o.ns AND c.parent = o.path), -1) GROUP BY r.ns, r.path)""")
+    out.append("gone AS (" + " UNION ALL ".join(f"SELECT * FROM gone{d}" for d in range(1, 6)) + ")")
+    return ", ".join(out)
+
+
+_CREATES = f"SELECT ns, page_id * 10 + CASE WHEN page_id % 2 = 0 THEN depth ELSE 9 - depth END AS seq, path, node_type FROM ({_STEPS})"
+_CREATE_BASE = f"SELECT * FROM ({_NODES}) WHERE path = '/en'"
+_DELETES = f"SELECT ns, page_id * 10 + 9 - depth AS seq, path FROM ({_STEPS}) WHERE NOT (node_type = 'f' AND path LIKE '%/5')"
+_RACE = f"SELECT ns, page_id AS seq, '/race' AS path, 'f' AS node_type FROM ({_PAGE_PATHS})"
+_MOVES = f"""SELECT ns, page_id AS seq, source, CASE WHEN page_id % 5 = 0 THEN source || '/below' WHEN page_id % 5 = 1 THEN '/absent/x'
+    ELSE '/moved-' || {_NAME.format('source')} END AS target FROM (SELECT *, array_to_string(list_slice(string_split(path, '/'), 1, 3), '/') AS source
+    FROM ({_PAGE_PATHS}) WHERE path <> '')"""
+_RELATED = "({0} = {1} OR starts_with({0}, {1} || '/') OR starts_with({1}, {0} || '/'))"
+_MOVE = f"""tree AS ({_NODES}), req AS (SELECT *, source <> '' AND target <> '' AND NOT starts_with(target, source || '/') AS sane FROM ({_MOVES})),
+    late AS (SELECT DISTINCT b.ns, b.seq FROM req a JOIN req b ON a.ns = b.ns AND a.seq < b.seq AND a.sane AND b.sane AND ({' OR '.join(
+        _RELATED.format('a.' + x, 'b.' + y) for x in ('source', 'target') for y in ('source', 'target'))})),
+    verdict AS (SELECT r.ns, r.seq, r.source, r.target, CASE WHEN EXISTS (SELECT 1 FROM late l WHERE l.ns = r.ns AND l.seq = r.seq) THEN 'deferred'
+        WHEN r.sane AND EXISTS (SELECT 1 FROM tree t WHERE t.ns = r.ns AND t.path = r.source) AND NOT EXISTS (SELECT 1 FROM tree t WHERE t.ns = r.ns AND t.path = r.target)
+          AND ({_PARENT.format('r.target')} = '' OR EXISTS (SELECT 1 FROM tree t WHERE t.ns = r.ns AND t.path = {_PARENT.format('r.target')} AND t.node_type = 'd'))
+        THEN 'ok' ELSE 'failed' END AS outcome FROM req r)"""
+
+_SEQ_OK = "SELECT r.ns, r.seq, r.path{0}, EXISTS (SELECT 1 FROM {1} m WHERE m.ns = r.ns AND m.path = r.path AND m.seq = r.seq) AS ok FROM req r"
+
+
+def _update_rows() -> str:
+    return f"""SELECT *, 1 AS batch_no, 'proposta' AS new_type FROM docs UNION ALL
+      SELECT *, 2, 'relatorio' FROM docs WHERE char_count % 2 = 0"""
+
+
+_FILES = "SELECT page_id, 'text/plain' AS mime_type, length(html) + 1 AS char_count, html || chr(10) AS text FROM pages"
+_WORDS = "list_distinct(list_filter(regexp_split_to_array(lower({0}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> ''))"
+_JSON_PROPS = "(props ->> 'k')::BIGINT"
+
+ORACLES = {
+    "mime_detection": f"""SELECT page_id, filename, {_MIME} AS mime_type FROM (SELECT page_id,
+        CASE page_id % 6 WHEN 0 THEN name || '.PDF' WHEN 1 THEN name || '.tar.md' ELSE name END AS filename,
+        CASE page_id % 6 WHEN 2 THEN 'text/html; charset=utf-8' WHEN 3 THEN 'application/json' WHEN 4 THEN 'text/html' END AS hint
+        FROM (SELECT page_id, CASE WHEN n = '' THEN '.md' ELSE n END AS name FROM (
+          SELECT page_id, regexp_extract(regexp_replace(url, '[?#].*$', ''), '[^/]*$') AS n FROM pages)))""",
+    "file_listing": "SELECT page_id, mime_type, octet_length(encode(text))::BIGINT AS length FROM (" + _FILES + ")",
+    "file_reading": "SELECT page_id, mime_type, char_count::INTEGER AS char_count, sha256(text) AS text_sha256 FROM (" + _FILES + ")",
+    "command_log": f"""SELECT ns, page_id AS seq,
+        CASE page_id % 9 WHEN 0 THEN 'c' WHEN 1 THEN 'c' WHEN 2 THEN 'l' WHEN 3 THEN 'm' WHEN 6 THEN 'd' WHEN 7 THEN 'c' ELSE 'q' END AS op,
+        path AS arg1, CASE page_id % 9 WHEN 0 THEN 'f' WHEN 1 THEN 'd' WHEN 3 THEN '/moved' || path WHEN 6 THEN 'now' WHEN 7 THEN 'x' END AS arg2,
+        CASE page_id % 9 WHEN 6 THEN 'wrong_arguments' WHEN 7 THEN 'invalid_node_type' WHEN 8 THEN 'unknown_command' END AS error
+        FROM ({_PAGE_PATHS}) WHERE page_id % 9 NOT IN (4, 5)""",
+    "text_decoding": _DOCS,
+    "html_to_text": f"SELECT page_id, {_HTML_TEXT} AS text FROM pages",
+    "json_to_text": "SELECT event_id, 'k: ' || (props ->> 'k') AS text FROM events",
+    "nested_json_to_text": f"""SELECT event_id, array_to_string(['type: ' || event_type, 'value: ' || value::VARCHAR, 'props:', '  k: ' || (props ->> 'k'),
+        'tags:', '  x', '  True', '  None', '  deep:', '    1', '    2', 'none:', ''], {_NL}) AS text FROM events""",
+    "docx_to_text": f"SELECT doc_id, array_to_string(list_filter(list_transform(string_split(text, {_NL}), lambda x: {_strip('x')}), lambda x: x <> ''), {_NL} || {_NL}) AS text FROM documents",
+    "mixed_extraction": f"SELECT uri, mime_type, text, parse_error FROM ({_MIXED})",
+    "doc_type_scores": f"""WITH t AS (SELECT doc_id AS uri, filename, text FROM ({_TYPED}))
+        SELECT uri AS doc_id, doc_type, {', '.join(f'{t}_hits' for t in DOC_TYPE_KEYWORDS)} FROM ({_TYPE_SCORES.format('t')})""",
+    "language_detection": f"WITH {_LANGUAGE} {_LANGUAGE_ROWS}",
+    "language_accuracy": f"WITH {_LANGUAGE} SELECT lang, count(*) AS n, (count(*) FILTER (WHERE lang = language))::BIGINT AS correct FROM ({_LANGUAGE_ROWS}) GROUP BY lang",
+    "text_measures": f"""SELECT doc_id, length(text)::INTEGER AS char_count, n_chars, {_TOKENS.format('text')} AS token_count,
+        sha256('mem://' || doc_id) AS document_key, {_CHUNK_KEY.format('doc_id', '0')} AS first_chunk_key FROM documents""",
+    "parse_stage": f"""WITH m AS ({_MIXED}) SELECT sha256(m.uri) AS doc_id, m.uri, m.filename, m.mime_type, t.doc_type, 'unknown' AS language,
+        length(m.text)::INTEGER AS char_count, {_STAMP} AS ingest_timestamp, m.parse_error FROM m JOIN ({_TYPE_SCORES.format('m')}) t USING (uri)""",
+    "line_headings": f"""SELECT * FROM (SELECT doc_id, pos::INTEGER AS pos, {_heading('line')} AS heading FROM (
+        SELECT doc_id, unnest(range(len(l))) AS pos, unnest(l) AS line FROM (SELECT doc_id, string_split(text, {_NL}) AS l FROM ({_SECTIONED})))) WHERE heading IS NOT NULL""",
+    "lines": f"""SELECT doc_id, pos, line FROM ({_LINES}) x WHERE NOT (line = '' AND pos = (SELECT max(pos) FROM ({_LINES}) y WHERE y.doc_id = x.doc_id))""",
+    "line_counts": f"SELECT doc_id, len(regexp_split_to_array(replace(replace(text, '.', chr(11)), ',', chr(8232)), {_q('[' + ''.join(f'{chr(92)}x{{{ord(c):x}}}' for c in LINE_ENDS) + ']')}))::INTEGER AS n_lines FROM documents",
+    "sections": f"WITH {_sections(_SECTIONED)} SELECT doc_id, section_no, heading AS section_heading, body FROM sections",
+    "turn_sections": f"WITH {_sections(_TURNS, 'conv_id, turn')} SELECT conv_id, turn, section_no, heading AS section_heading, body FROM sections",
+    "paragraphs": f"""WITH {_sections(_SECTIONED)} SELECT doc_id, section_no, heading AS section_heading, unnest(range(len(a)))::INTEGER AS pos, unnest(a) AS paragraph
+        FROM (SELECT *, {_blocks('body')} AS a FROM sections)""",
+    "sentences": f"SELECT doc_id, unnest(range(len(a)))::INTEGER AS pos, unnest(a) AS sentence FROM (SELECT doc_id, {_sentences('text')} AS a FROM documents)",
+    "packed_paragraphs": f"WITH RECURSIVE {_PACKED} SELECT doc_id, section_no, pos, txt AS packed, (e - s)::INTEGER AS n_units FROM ({_PACKED_ROWS})",
+    "resplit_paragraphs": f"""WITH RECURSIVE {_PACKED}, packed AS ({_PACKED_ROWS}), {_fold('rf', _RESPLIT_UNITS, _RESPLIT_KEYS, 120, 30, True)}
+        SELECT doc_id, section_no, pos, (row_number() OVER (PARTITION BY {_RESPLIT_KEYS} ORDER BY e) - 1)::INTEGER AS piece_no, txt AS piece FROM ({_joined('rf', _RESPLIT_KEYS, "' '")})""",
+    "packed_sentences": f"""WITH RECURSIVE {_fold('sf', _listed('documents', 'doc_id', _sentences('text')), 'doc_id', 512, 64, True)}
+        SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY e) - 1)::INTEGER AS pos, txt AS packed, (e - s)::INTEGER AS n_units FROM ({_joined('sf', 'doc_id', "' '")})""",
+    "chunk_documents": f"WITH RECURSIVE {_chunks(_DOCS)} {_CHUNK_COLUMNS}",
+    "chunk_sectioned": f"WITH RECURSIVE {_chunks(_SECTIONED)} {_CHUNK_COLUMNS}",
+    "chunk_small": f"WITH RECURSIVE {_chunks(_SECTIONED, 60, 20)} {_CHUNK_COLUMNS}",
+    "chunk_pages": f"WITH RECURSIVE {_chunks(f'SELECT page_id AS doc_id, {_HTML_TEXT} AS text FROM pages', 128, 32)} {_CHUNK_COLUMNS}",
+    "documents_without_chunks": f"SELECT doc_id, CASE WHEN doc_id % 7 = 0 OR {_strip('text')} = '' THEN 'no_chunks' ELSE 'kept' END AS status FROM documents",
+    "embedded_lines": f"""SELECT chunk_id, 4 AS dim, length(chunk_text)::DOUBLE AS v0, {', '.join(
+        f"(length(chunk_text) - length(replace(chunk_text, '{c}', '')))::DOUBLE AS v{i}" for i, c in enumerate(' .e', 1))} FROM ({_LINE_CHUNKS})""",
+    "embedding_rejects": f"""SELECT doc_id, CASE WHEN bad THEN 0 ELSE n END AS n_embedded, CASE WHEN bad THEN 'ValueError: digits' ELSE 'ok' END AS reason
+        FROM (SELECT doc_id, count(*) AS n, bool_or(regexp_matches(chunk_text, '[0-9]')) AS bad FROM ({_LINE_CHUNKS}) GROUP BY doc_id)""",
+    "hashed_embedding": "SELECT doc_id, CASE WHEN w THEN 256 ELSE NULL END AS dim, CASE WHEN w THEN 1.0::DOUBLE END AS length FROM (SELECT doc_id, regexp_matches(text, '[\\p{L}\\p{N}]') AS w FROM documents)",
+    "upsert_documents": f"""WITH docs AS ({_DOCUMENT_TABLE}), upd AS (SELECT doc_id, arg_max(new_type, batch_no) AS t FROM ({_update_rows()}) WHERE language <> 'en' GROUP BY doc_id)
+        SELECT doc_id, uri, coalesce(t, doc_type) AS doc_type, language, char_count, ingest_timestamp FROM docs LEFT JOIN upd USING (doc_id)""",
+    "upsert_chunks_merge": f"SELECT chunk_id, doc_id, chunk_index, section_heading, CASE WHEN chunk_index < 3 THEN 'new ' ELSE '' END || chunk_text AS chunk_text, token_count FROM ({_LINE_CHUNKS})",
+    "upsert_chunks_replace": f"""SELECT chunk_id, doc_id, chunk_index, section_heading, CASE WHEN doc_id LIKE '%1' THEN 'new ' ELSE '' END || chunk_text AS chunk_text, token_count
+        FROM ({_LINE_CHUNKS}) WHERE chunk_index < 3 OR doc_id NOT LIKE '%1'""",
+    "cascade_delete": f"""SELECT d.doc_id, count(c.chunk_id) AS n_chunks FROM ({_DOCUMENT_TABLE}) d LEFT JOIN ({_LINE_CHUNKS}) c USING (doc_id)
+        WHERE d.doc_id NOT IN (SELECT doc_id::VARCHAR FROM labels WHERE toxic = 1) GROUP BY d.doc_id""",
+    "constraint_violations": f"""WITH d AS ({_DOCUMENT_TABLE}), c AS ({_LINE_CHUNKS})
+        SELECT 'documents_key' AS "constraint", doc_id AS key, 2::BIGINT AS n FROM d WHERE language = 'es'
+        UNION ALL SELECT 'chunks_document', chunk_id, 1 FROM c WHERE doc_id IN (SELECT doc_id FROM d WHERE language = 'de')
+        UNION ALL SELECT 'chunks_dimension', chunk_id, 1 FROM c WHERE chunk_index = 2
+        UNION ALL SELECT 'documents_not_null_filename', doc_id, CASE WHEN language = 'es' THEN 2 ELSE 1 END FROM d WHERE doc_type = 'cv' AND language <> 'de'""",
+    "column_defaults": f"""SELECT doc_id, CASE WHEN doc_type = 'cv' THEN 'cv' ELSE 'unknown' END AS doc_type, language, 0 AS char_count, '{{}}' AS extra_metadata, true AS has_timestamp FROM ({_DOCUMENT_TABLE})""",
+    "published_tables": f"""SELECT d.doc_id, d.doc_type, d.language, count(*) AS n_chunks, sum(token_count)::BIGINT AS n_tokens
+        FROM ({_DOCUMENT_TABLE}) d JOIN ({_LINE_CHUNKS}) c USING (doc_id) GROUP BY ALL""",
+    "cosine_top_k": f"""SELECT e.vec_id, d.lang, d.source, d.n_chars, round({_SIM.format('e.embedding', _QV)}, 6) AS similarity
+        FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id ORDER BY {_SIM.format('e.embedding', _QV)} DESC, e.vec_id LIMIT 5""",
+    "cosine_top_k_referenced": f"""SELECT vec_id, label, round({_SIM.format('embedding', _QV)}, 6) AS similarity FROM embeddings ORDER BY {_SIM.format('embedding', _QV)} DESC, vec_id LIMIT 5""",
+    "filtered_top_k": f"""SELECT e.vec_id, d.lang, d.source, d.n_chars, round({_SIM.format('e.embedding', _QV)}, 6) AS similarity
+        FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id WHERE d.lang = 'fr' ORDER BY {_SIM.format('e.embedding', _QV)} DESC, e.vec_id LIMIT 10""",
+    "batch_top_k": _KNN_10,
+    "batch_top_k_shuffled": _KNN_10,
+    "inverted_lists_all": _KNN_10,
+    "inverted_lists_shuffled": _KNN_10,
+    "uri_lookup": f"SELECT uri, doc_id, doc_type, language, char_count FROM ({_DOCUMENT_TABLE}) WHERE uri = 'mem://src7/7.txt'",
+    "type_language_filter": f"SELECT doc_id, doc_type, language, char_count FROM ({_DOCUMENT_TABLE}) WHERE doc_type = 'contrato' AND language = 'de'",
+    "json_containment": f"SELECT event_id, event_type = 'click' AND {_JSON_PROPS} = 69 AS click_69, false AS text_69, true AS has_object, true AS has_props, false AS has_k FROM events",
+    "document_chunks": f"SELECT * FROM ({_LINE_CHUNKS}) WHERE doc_id = '0'",
+    "ordered_chunks": f"SELECT doc_id, chunk_index, token_count FROM ({_LINE_CHUNKS}) ORDER BY doc_id, chunk_index",
+    "heading_filter": f"SELECT chunk_id, section_heading FROM ({_LINE_CHUNKS}) WHERE section_heading LIKE 'src1%'",
+    "ingestion": f"""WITH RECURSIVE m AS ({_MIXED}), {_chunks('SELECT uri AS doc_id, text FROM m')}
+        SELECT m.uri, m.mime_type, t.doc_type, 'unknown' AS language, length(m.text)::INTEGER AS char_count, c.n_chunks, c.n_tokens
+        FROM m JOIN ({_TYPE_SCORES.format('m')}) t USING (uri)
+        JOIN (SELECT doc_id AS uri, count(*) AS n_chunks, sum(token_count)::BIGINT AS n_tokens FROM chunks GROUP BY doc_id) c USING (uri)""",
+    "ingestion_rejects": f"""SELECT * FROM (SELECT 'parse' AS stage, 'unsupported_format' AS reason, count(*) AS n FROM ({_MIXED}) WHERE parse_error IS NOT NULL
+        UNION ALL SELECT 'chunk', 'no_chunks', count(*) FROM ({_MIXED}) WHERE {_strip('text')} = '') WHERE n > 0""",
+    "split_paths": f"SELECT page_id, {_PARENT.format('path')} AS parent, {_NAME.format('path')} AS name FROM ({_PAGE_PATHS})",
+    "path_lookup": f"""WITH t AS ({_NODES}), r AS (SELECT page_id, ns, CASE page_id % 4 WHEN 0 THEN '/' || path || '//' WHEN 1 THEN path || '/x'
+          WHEN 2 THEN {_PARENT.format('path')} ELSE '/' END AS path,
+          CASE page_id % 4 WHEN 0 THEN path WHEN 1 THEN path || '/x' WHEN 2 THEN {_PARENT.format('path')} ELSE '' END AS clean FROM ({_PAGE_PATHS}))
+        SELECT r.page_id, r.ns, r.path, r.clean = '' OR t.path IS NOT NULL AS found, CASE WHEN r.clean = '' THEN 'd' ELSE t.node_type END AS node_type
+        FROM r LEFT JOIN t ON t.ns = r.ns AND t.path = r.clean""",
+    "subtree_listing": f"SELECT ns, path FROM ({_NODES}) WHERE path = '/en/7' OR path LIKE '/en/7/%'",
+    "tree_listing": f"SELECT ns, path FROM ({_NODES}) UNION ALL SELECT DISTINCT ns, '' FROM ({_NODES})",
+    "empty_directories": f"""WITH t AS (SELECT * FROM ({_NODES}) WHERE NOT (node_type = 'f' AND {_NAME.format('path')} IN ('5', '7', '8')))
+        SELECT ns, path, NOT EXISTS (SELECT 1 FROM t c WHERE c.ns = t.ns AND {_PARENT.format('c.path')} = t.path) AS is_empty FROM t WHERE node_type = 'd'""",
+    "tree_violations": f"""WITH t AS (SELECT * FROM ({_NODES}) WHERE path NOT LIKE '/_%/5')
+        SELECT ns, path, 'no_parent_directory' AS reason FROM t WHERE {_PARENT.format('path')} <> '' AND NOT EXISTS (
+          SELECT 1 FROM t p WHERE p.ns = t.ns AND p.path = {_PARENT.format('t.path')} AND p.node_type = 'd')
+        UNION ALL SELECT ns, path, 'duplicate' FROM t WHERE path = '/en'""",
+    "capacity_report": f"""WITH t AS ({_NODES}) SELECT ns, 'entries' AS kind, {_PARENT.format('path')} AS path, count(*) AS size FROM t GROUP BY ALL HAVING count(*) > 5
+        UNION ALL SELECT ns, 'nodes', '', count(*) + 1 FROM t GROUP BY ns HAVING count(*) + 1 > 30
+        UNION ALL SELECT ns, 'name', path, length({_NAME.format('path')}) FROM t WHERE length({_NAME.format('path')}) > 6""",
+    "bulk_create": f"WITH {_create(_CREATES, _CREATE_BASE)} {_SEQ_OK.format(', r.node_type', 'made')}",
+    "created_nodes": f"WITH {_create(_CREATES, _CREATE_BASE)} SELECT ns, path, node_type FROM made",
+    "contested_create": f"WITH {_create(_RACE, _NODES)} {_SEQ_OK.format(', r.node_type', 'made')}",
+    "bulk_delete": f"WITH {_delete(_DELETES, _NODES)} {_SEQ_OK.format('', 'gone')}",
+    "remaining_nodes": f"WITH {_delete(_DELETES, _NODES)} SELECT ns, path, node_type FROM old o WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.ns = o.ns AND g.path = o.path)",
+    "bulk_move": f"WITH {_MOVE} SELECT * FROM verdict",
+    "moved_nodes": f"""WITH {_MOVE} SELECT t.ns, CASE WHEN v.source IS NULL THEN t.path ELSE v.target || substring(t.path, length(v.source) + 1) END AS path, t.node_type
+        FROM tree t LEFT JOIN (SELECT * FROM verdict WHERE outcome = 'ok') v ON v.ns = t.ns AND (t.path = v.source OR starts_with(t.path, v.source || '/'))""",
+    "skip_ingested": """SELECT min('mem://' || lpad(doc_id::VARCHAR, 12, '0')) AS uri, sha256(text) AS content_sha256 FROM documents
+        WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE source = 'src0') GROUP BY sha256(text)""",
+    "arrival_ingest": f"SELECT page_id, mime_type, doc_type, char_count::INTEGER AS char_count FROM (SELECT page_id AS uri, * FROM ({_FILES})) f JOIN ({_TYPE_SCORES.format('(SELECT page_id AS uri, ' + chr(39) * 2 + ' AS filename, text FROM (' + _FILES + '))')}) t USING (uri)",
+    "rerank_lexical": f"""WITH asked AS (SELECT e.label AS query_id, min(d.text) AS query_text FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id GROUP BY e.label),
+        near AS (SELECT * FROM ({_KNN}) WHERE r <= 20),
+        scored AS (SELECT n.query_id, n.vec_id, n.sim, len(list_intersect({_WORDS.format('d.text')}, {_WORDS.format('a.query_text')}))::INTEGER AS overlap
+          FROM near n JOIN documents d ON d.doc_id = n.vec_id JOIN asked a ON a.query_id = n.query_id)
+        SELECT query_id, vec_id, overlap, r::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY overlap DESC, sim DESC, vec_id) AS r FROM scored) WHERE r <= 5""",
+    "extra_metadata": "SELECT doc_id, " + ", ".join(
+        f"nullif(regexp_extract(text, {_q(p)}, 1), '') AS first_{n}" for n, p in DEFAULT_RULES.items()) + " FROM documents",
+}

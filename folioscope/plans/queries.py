@@ -128,7 +128,7 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def line_counts(spark: SparkSession, sf: str) -> DataFrame:
-    ends = F.translate("text", ".,", "\x0b ")
+    ends = F.translate("text", ".,", "\x0b\u2028")
     return inputs.documents(spark, sf).select("doc_id", F.size(split_lines(F.concat(ends, F.lit("\r\n")))).alias("n_lines"))
 
 
