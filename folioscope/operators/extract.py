@@ -11,6 +11,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.markup import decode_text, html_text
 from ..functions.metadata import (
@@ -55,49 +56,50 @@ def _docx_paragraphs(content: bytes) -> str:
     return "\n\n".join(p for p in map(text, body.findall(f"{_W}p")) if p)
 
 
-def _guarded(parse):
-    """An Arrow-batched parser whose failures become (``''``, reason) instead of failing the task."""
-    def one(content):
-        try:
-            return parse(content), None
-        except Exception as exc:
-            return "", f"{type(exc).__name__}: {exc}"[:500]
+_PYTHON_PARSERS = {JSON: _json_lines, DOCX: _docx_paragraphs}
 
-    @F.pandas_udf("struct<text:string,error:string>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame([one(c) for c in batch], columns=["text", "error"])
-    return run
+
+def _attempt(mime_type: str, content) -> tuple[str | None, str | None]:
+    if content is None:
+        return None, None
+    try:
+        return _PYTHON_PARSERS[mime_type](content), None
+    except Exception as exc:
+        return "", f"{type(exc).__name__}: {exc}"[:500]
+
+
+@F.pandas_udf(T.StructType().add("text", "string").add("error", "string"))
+def _python_text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    for kinds, contents in batches:
+        yield pd.DataFrame([_attempt(k, c) for k, c in zip(kinds, contents)], columns=["text", "error"])
 
 
 def json_text(content: Column) -> Column:
     """JSON as ``key: value`` lines in source order: struct(text, error)."""
-    return _guarded(_json_lines)(content)
+    return _python_text(F.lit(JSON), content)
 
 
 def docx_text(content: Column) -> Column:
     """Body paragraphs of a word-processing file: struct(text, error)."""
-    return _guarded(_docx_paragraphs)(content)
+    return _python_text(F.lit(DOCX), content)
 
 
 def extract_text(raw: DataFrame, content: str = "content", mime: str = "mime_type") -> DataFrame:
     """Replace ``content`` by ``text`` and ``parse_error``.
 
-    HTML and text stay in the JVM; only the two formats that need Python go through it.
-    A failed or unsupported document keeps an empty text and carries its reason.
+    Contents are read once. HTML and text stay in the JVM; only contents of the two formats that
+    need Python travel there, in Arrow batches of bounded size, the others as NULL. A failed or
+    unsupported document keeps an empty text and carries its reason.
     """
     body, kind = F.col(content), F.col(mime)
     keep = [c for c in raw.columns if c != content]
-    python_only = kind.isin(JSON, DOCX)
-    # decode() and the pattern rules accept any bytes, so a native document has no error.
-    native_text = F.when(kind == PDF, "").when(kind == HTML, html_text(decode_text(body))).otherwise(decode_text(body))
-    native = raw.where(kind.isNull() | ~python_only).select(
-        *keep, native_text.alias("text"), F.when(kind == PDF, "unsupported_format").alias("parse_error"))
-    parts = [native]
-    for mime_type, parser in ((JSON, json_text), (DOCX, docx_text)):
-        parsed = raw.where(kind == mime_type).select(*keep, parser(body).alias("_p"))
-        parts.append(parsed.select(*keep, F.col("_p.text").alias("text"), F.col("_p.error").alias("parse_error")))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    python_only = kind.isin(*_PYTHON_PARSERS)
+    parsed = raw.withColumn("_p", _python_text(kind, F.when(python_only, body)))
+    # Decoding and the pattern rules accept any bytes, so a native document has no error.
+    text = (F.when(python_only, F.col("_p.text")).when(kind == PDF, "")
+            .when(kind == HTML, html_text(decode_text(body))).otherwise(decode_text(body)))
+    error = F.when(python_only, F.col("_p.error")).when(kind == PDF, "unsupported_format")
+    return parsed.select(*keep, text.alias("text"), error.alias("parse_error"))
 
 
 def infer_doc_type(df: DataFrame, keywords: Mapping[str, Sequence[str]] = DOC_TYPE_KEYWORDS,

@@ -122,8 +122,13 @@ def create_tables(spark: SparkSession, database: str = "default") -> None:
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
-    """Partitioned by type and language, so that filters on them read only their folders."""
-    document_rows(documents).write.mode("error").partitionBy("doc_type", "language").parquet(path)
+    """Partitioned by type and language, so that filters on them read only their folders.
+
+    Rebalancing gathers a folder into files of a proper size and splits one that holds most rows.
+    """
+    keys = ["doc_type", "language"]
+    (document_rows(documents).hint("rebalance", *keys)
+     .write.mode("error").partitionBy(*keys).parquet(path))
 
 
 def write_chunks(chunks: DataFrame, path: str, files: int | None = None) -> None:
