@@ -47,7 +47,9 @@ def token_counter(tokenizer: Callable[[str], int] | None = None) -> Counter:
         for batch in batches:
             yield batch.map(lambda texts: [size(t) for t in texts])
 
-    return lambda texts: count(texts)
+    # Kept in a projection of its own: array functions cannot call Python.
+    apart = count.asNondeterministic()
+    return lambda texts: apart(texts)
 
 
 def count_tokens(text: Column, tokenizer: Callable[[str], int] | None = None) -> Column:

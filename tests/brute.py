@@ -1,0 +1,75 @@
+"""Plain-Python restatements of the chunking rules for checking on small fixtures."""
+
+import re
+
+CAPS = "A-ZÁÉÍÓÚÀÂÃÊÔÜÇ"
+
+
+def tokens(text):
+    return max(1, len(text) // 4)
+
+
+def title(line):
+    s = line.strip()
+    hashes = len(s) - len(s.lstrip("#"))
+    if 1 <= hashes <= 6 and s[hashes:hashes + 1].isspace():
+        return s[hashes:].strip()
+    if re.fullmatch(rf"\d+(\.\d+)*\.?\s+[{CAPS}].{{3,80}}", s, re.S):
+        return s
+    if 3 <= len(s) <= 80 and len(s.split()) > 1 and re.fullmatch(rf"[{CAPS}\s]+", s):
+        return s
+    return None
+
+
+def sections(text):
+    out, heading, body = [], None, []
+    for line in text.splitlines() + [None]:
+        found = title(line) if line is not None else ""
+        if found is None:
+            body.append(line)
+            continue
+        joined = "\n".join(body).strip()
+        if joined:
+            out.append((heading, joined))
+        heading, body = found, []
+    return out or [(None, text.strip())]
+
+
+def sentences(text):
+    cut = re.split(rf"(?<=[.!?])\s+(?=[{CAPS}\"'(])", text)
+    return [c.strip() for c in cut if c.strip()]
+
+
+def pack(units, limit, keep, count=tokens):
+    """Ranges of units; ``keep(units, start, end)`` says how many units the next range repeats."""
+    start, ranges = 0, []
+    for end in range(1, len(units)):
+        if sum(map(count, units[start:end + 1])) > limit:
+            ranges.append((start, end))
+            start = end - keep(units, start, end)
+    return ranges + ([(start, len(units))] if units else [])
+
+
+def chunks(text, limit=512, overlap=64, count=tokens):
+    def last(units, start, end):
+        return int(count(units[end - 1]) <= overlap)
+
+    def suffix(units, start, end):
+        n = 0
+        while n < end - start and sum(map(count, units[end - n - 1:end])) <= overlap:
+            n += 1
+        return n
+
+    if not text.strip():
+        return []
+    out = []
+    for heading, body in sections(text):
+        paragraphs = [p.strip() for p in re.split(r"\n\n+", body) if p.strip()]
+        for a, b in pack(paragraphs, limit, last, count):
+            group = "\n\n".join(paragraphs[a:b])
+            pieces = [group]
+            if count(group) > limit:
+                parts = sentences(group)
+                pieces = [" ".join(parts[i:j]) for i, j in pack(parts, limit, suffix, count)]
+            out += [(heading, p.strip(), count(p)) for p in pieces if p.strip()]
+    return [(i, *c) for i, c in enumerate(out)]
