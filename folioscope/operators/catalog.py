@@ -61,7 +61,7 @@ def json_contains(value: Column, pattern: Mapping) -> Column:
             elif isinstance(expected, (int, float)):
                 number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(kind, F.lit("DECIMAL"))
                 cast = "decimal(38,0)" if isinstance(expected, int) else "double"
-                exact = F.try_variant_get(value, path, cast) == F.lit(expected).cast(cast)
+                exact = F.try_variant_get(value, path, cast) == F.lit(str(expected)).cast(cast)
                 yield number & exact & (F.try_variant_get(value, path, "double") == float(expected))
             elif isinstance(expected, str):
                 yield (kind == "STRING") & (F.try_variant_get(value, path, "string") == expected)

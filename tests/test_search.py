@@ -1,0 +1,111 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from folioscope.operators import search
+from folioscope.plans import inputs
+
+DIM = 8
+
+
+@pytest.fixture(scope="module")
+def data():
+    rng = np.random.default_rng(7)
+    v = rng.normal(size=(400, DIM)).astype(np.float32)
+    v[50:90] = v[50]          # equal rows: ties go by key
+    v[10] = 0                 # no direction
+    return v, rng.normal(size=(12, DIM))
+
+
+@pytest.fixture(scope="module")
+def vectors(spark, data):
+    rows = [(f"c{i:03d}", [float(x) for x in r]) for i, r in enumerate(data[0])] + [("null", None), ("short", [1.0])]
+    return spark.createDataFrame(rows, "chunk_id string, embedding array<float>").repartition(5)
+
+
+@pytest.fixture(scope="module")
+def queries(spark, data):
+    rows = [(i, [float(x) for x in q]) for i, q in enumerate(data[1])] + [(99, [0.0] * DIM)]
+    return spark.createDataFrame(rows, "query_id int, query_vector array<double>")
+
+
+def expected(data, k):
+    v, q = data[0].astype(float), data[1]
+    out = {}
+    for i, x in enumerate(q):
+        with np.errstate(invalid="ignore"):
+            sims = v @ x / np.linalg.norm(v, axis=1) / np.linalg.norm(x)
+        order = sorted((j for j in range(len(v)) if j != 10), key=lambda j: (-round(sims[j], 9), j))[:k]
+        out[i] = [(f"c{j:03d}", round(sims[j], 6)) for j in order]
+    return out
+
+
+def found(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.key, round(r.similarity, 6)))
+    return out
+
+
+@pytest.mark.parametrize("k", [1, 7, 60, 1000])
+def test_batch_is_exact_on_both_ways(vectors, queries, data, k):
+    assert found(search.batch_top_k(vectors, queries, k)) == expected(data, k)
+    assert found(search.batch_top_k(vectors, queries, k, broadcast_bytes=0)) == expected(data, k)
+
+
+def test_shuffled_way_cuts_cells(vectors, queries, data, monkeypatch):
+    monkeypatch.setattr(search, "CELL_ROWS", 50)
+    monkeypatch.setattr(search, "QUERY_BLOCK", 3)
+    assert found(search.batch_top_k(vectors, queries, 9, broadcast_bytes=0)) == expected(data, 9)
+
+
+def test_all_lists_are_exact_and_few_lists_nearly(spark, vectors, queries, data, monkeypatch, tmp_path):
+    good = vectors.where(F.size("embedding") == DIM)
+    indexed, centroids = search.build_lists(good, lists=6)
+    search.write_lists(indexed, str(tmp_path / "lists"))
+    stored = spark.read.schema(indexed.schema).parquet(str(tmp_path / "lists"))
+    assert stored.count() == 399
+    real = queries.where("query_id < 99")
+    assert found(search.approximate_top_k(stored, centroids, real, 9, probes=6)) == expected(data, 9)
+    monkeypatch.setattr(search, "CELL_ROWS", 20)
+    monkeypatch.setattr(search, "QUERY_BLOCK", 2)
+    assert found(search.approximate_top_k(stored, centroids, real, 9, probes=6, broadcast_bytes=0)) == expected(data, 9)
+    exact = search.batch_top_k(good, real, 10)
+    some = search.recall(search.approximate_top_k(stored, centroids, real, 10, probes=3), exact).agg(F.avg("recall")).first()[0]
+    assert 0.5 < some < 1.0
+
+
+def test_empty_query_batch(vectors, queries):
+    assert search.batch_top_k(vectors, queries.limit(0)).count() == 0
+
+
+def test_single_query_and_joins(spark, vectors, data):
+    q = [float(x) for x in data[1][0]]
+    best = search.top_k(vectors, q, 5).collect()
+    assert [(r.chunk_id, round(r.similarity, 6)) for r in best] == expected(data, 5)[0]
+    chunks = vectors.withColumn("doc_id", F.substring("chunk_id", 4, 1))
+    docs = spark.createDataFrame([(str(i), "cv" if i % 2 else "x") for i in range(10)], "doc_id string, doc_type string")
+    assert [r.chunk_id for r in search.search(chunks, docs, q, 5).collect()] == [c for c, _ in expected(data, 5)[0]]
+    cvs = search.search(chunks, docs, q, 5, F.col("doc_type") == "cv").collect()
+    assert [r.chunk_id for r in cvs] == [c for c, _ in expected(data, 400)[0] if int(c[3]) % 2][:5]
+    few = docs.where("doc_id IN ('3', '4')")
+    assert [r.chunk_id for r in search.search(chunks, few, q, 5, foreign_key=False).collect()] == [
+        c for c, _ in expected(data, 400)[0] if c[3] in "34"][:5]
+
+
+def test_rerank(spark):
+    near = spark.createDataFrame([(1, "a", 0.9, "red apple"), (1, "b", 0.8, "Green APPLE pie"), (1, "c", 0.7, "green apple pie now")],
+                                 "query_id int, key string, similarity double, chunk_text string")
+    asked = spark.createDataFrame([(1, "green pie")], "query_id int, query_text string")
+    assert [r.key for r in search.rerank_lexical(near, asked, 2).orderBy("rank").collect()] == ["b", "c"]
+    longest = search.rerank(near, asked, lambda qs, ts: [len(t) for t in ts], 2).orderBy("rank").collect()
+    assert [r.key for r in longest] == ["c", "b"]
+
+
+def test_plans(spark, vectors, queries, sf_dir):
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+    one = plan(search.top_k(inputs.vectors(spark, sf_dir), [1.0] * 64, 3))
+    assert "TakeOrderedAndProject" in one
+    many = plan(search.batch_top_k(vectors, queries, 3))
+    assert "CartesianProduct" not in many and "NestedLoop" not in many and "WindowGroupLimit" in many
