@@ -7,7 +7,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .strings import LINE_WS, strip, unix_lines
+from .strings import let, strip, unix_lines
 
 # Elements whose whole content is invisible.
 DROPPED_ELEMENTS = ("script", "style", "head", "noscript")
@@ -48,16 +48,17 @@ def _decode_entity(entity: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Character references become characters, each exactly once."""
-    gaps = F.split(text, _ENTITY)
-    refs = F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0))
-    joined = F.array_join(F.zip_with(gaps, F.transform(refs, _decode_entity),
-                                     lambda gap, ref: F.concat(gap, F.coalesce(ref, F.lit("")))), "")
-    return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
+    def decoded(t: Column) -> Column:
+        refs = F.regexp_extract_all(t, F.lit(_ENTITY), F.lit(0))
+        return F.array_join(F.zip_with(F.split(t, _ENTITY), F.transform(refs, _decode_entity),
+                                       lambda gap, ref: F.concat(gap, F.coalesce(ref, F.lit("")))), "")
+
+    return let(text, lambda t: F.when(F.contains(t, F.lit("&")), decoded(t)).otherwise(t))
 
 
 def html_text(markup: Column) -> Column:
     """Visible text: one line break where tags part two texts, lines stripped, one blank line at most."""
     marked = F.regexp_replace(markup, f"(?i){_INVISIBLE}", _MARK)
     text = decode_entities(F.regexp_replace(marked, f"{_MARK}+", "\n"))
-    lines = F.regexp_replace(unix_lines(text), f"(?:(?<!{LINE_WS}){LINE_WS}++)?\\n{LINE_WS}*+", "\n")
+    lines = F.array_join(F.transform(F.split(unix_lines(text), "\n"), strip), "\n")
     return strip(F.regexp_replace(lines, "\n{3,}", "\n\n"))

@@ -5,6 +5,8 @@ Spark's ``trim`` removes blanks only and Java's ``\\s`` is ASCII, so both sets a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,14 @@ WHITESPACE = (
 LINE_ENDS = "\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it.
+
+    Inside array functions nothing else shares a computation.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def char_class(chars: str) -> str:
     """The body of a regex character class in the syntax shared by Java and RE2."""
     return "".join(f"\\x{{{ord(c):x}}}" for c in chars)
@@ -48,8 +58,7 @@ def split_lines(col: Column) -> Column:
 def split_paragraphs(col: Column) -> Column:
     """Stripped, non-empty blocks between two or more newlines; a text without any stays whole."""
     blocks = F.filter(F.transform(F.split(col, "\n{2,}"), strip), lambda p: p != "")
-    # A stripped, non-empty text always has a block; the one-element transform evaluates it once.
-    return F.element_at(F.transform(F.array(blocks), lambda b: F.when(F.size(b) > 0, b).otherwise(F.array(col))), 1)
+    return let(blocks, lambda b: F.when(F.size(b) > 0, b).otherwise(F.array(col)))
 
 
 # The upper-case letters of the sentence and heading rules (there is no letter O with tilde).

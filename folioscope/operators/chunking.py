@@ -16,18 +16,13 @@ from pyspark.sql import functions as F
 
 from ..functions.metadata import HEADING_LINE, chunk_id, heading_of, heading_title
 from ..functions.strings import (
-    fallback_tokens, split_lines, split_paragraphs, split_sentences, strip, unix_lines,
+    fallback_tokens, let, split_lines, split_paragraphs, split_sentences, strip, unix_lines,
 )
 
 MAX_TOKENS, OVERLAP_TOKENS = 512, 64
 Counter = Callable[[Column], Column]
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times in ``body``."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def token_counter(tokenizer: Callable[[str], int] | None = None) -> Counter:
     """Counts for an array of texts: native by default, or by a Python tokenizer per Arrow batch.
 
@@ -64,14 +59,16 @@ def sections(text: Column) -> Column:
     If nothing is left the whole stripped text is one section without heading.
     """
     def split_at_headings(unix: Column) -> Column:
-        bodies = F.transform(F.split(unix, HEADING_LINE), strip)
-        titles = F.transform(F.regexp_extract_all(unix, F.lit(HEADING_LINE), F.lit(0)), heading_title)
-        pairs = F.zip_with(bodies, F.concat(F.array(F.lit(None).cast("string")), titles),
-                           lambda body, title: F.struct(title.alias("heading"), body.alias("body")))
-        return F.filter(pairs, lambda s: s["body"] != "")
+        def pair(parts: Column) -> Column:
+            # Titles are looked for only where the text was cut.
+            titles = F.when(F.size(parts) > 1, F.transform(
+                F.regexp_extract_all(unix, F.lit(HEADING_LINE), F.lit(0)), heading_title)).otherwise(F.array().cast("array<string>"))
+            return F.zip_with(parts, F.concat(F.array(F.lit(None).cast("string")), titles),
+                              lambda body, title: F.struct(title.alias("heading"), strip(body).alias("body")))
+        return F.filter(let(F.split(unix, HEADING_LINE), pair), lambda s: s["body"] != "")
 
     whole = F.array(F.struct(F.lit(None).cast("string").alias("heading"), strip(text).alias("body")))
-    return _let(_let(unix_lines(text), split_at_headings),
+    return let(let(unix_lines(text), split_at_headings),
                 lambda found: F.when(F.size(found) > 0, found).otherwise(whole))
 
 
@@ -211,7 +208,7 @@ def resplit_groups(df: DataFrame, text: str = "packed", max_tokens: int = MAX_TO
     sized = df.withColumn("_size", count(F.array(text))[0])
     sentences = split_sentences(F.col(text))
     units = F.when(F.col("_size") <= max_tokens, F.array(text)).otherwise(
-        _let(sentences, lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(text))))
+        let(sentences, lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(text))))
     keep = [c for c in df.columns if c != text]
     out = _packed_rows(sized, units, text, max_tokens, _carry_suffix(overlap_tokens), " ", tokenizer,
                        ("piece_no", "piece"))

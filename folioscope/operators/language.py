@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.strings import strip
+from ..functions.strings import let, strip
 
 WINDOW, MIN_CHARS, SCALE = 500, 20, 1_000_000
 PROFILE_SIZE = 1000
@@ -30,10 +30,12 @@ class Profiles:
 
 def trigrams(text: Column) -> Column:
     """All three-character windows of the lower-cased first characters."""
-    head = F.lower(F.substring(text, 1, WINDOW))
-    n = F.char_length(head)
-    return F.transform(F.when(n >= 3, F.sequence(F.lit(1), n - 2)).otherwise(F.array().cast("array<int>")),
-                       lambda i: F.substring(head, i, F.lit(3)))
+    def windows(head: Column) -> Column:
+        n = F.char_length(head)
+        starts = F.when(n >= 3, F.sequence(F.lit(1), n - 2)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.substring(head, i, F.lit(3)))
+
+    return let(F.lower(F.substring(text, 1, WINDOW)), windows)
 
 
 def train_language_profiles(df: DataFrame, text: str = "text", lang: str = "lang",

@@ -60,9 +60,9 @@ def document_table(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(STAMP).cast("timestamp").alias("ingest_timestamp"))
 
 
-def line_chunks(spark: SparkSession, sf: str, version: str = "") -> DataFrame:
+def line_chunks(spark: SparkSession, sf: str, version: str = "", source: str = "src%") -> DataFrame:
     """Rows of the chunk table: one chunk per line of a document, headed by its source on even lines."""
-    lines = documents(spark, sf, "doc_id", "source", "text").select(
+    lines = documents(spark, sf, "doc_id", "source", "text").where(F.col("source").like(source)).select(
         F.col("doc_id").cast("string").alias("doc_id"), "source", F.posexplode(F.split("text", "\n")).alias("chunk_index", "line"))
     return lines.select(F.concat_ws(":", "doc_id", F.col("chunk_index").cast("string")).alias("chunk_id"), "doc_id",
                         "chunk_index", F.when(F.col("chunk_index") % 2 == 0, F.col("source")).alias("section_heading"),

@@ -325,8 +325,8 @@ ORACLES = {
     "upsert_documents": f"""WITH docs AS ({_DOCUMENT_TABLE}), upd AS (SELECT doc_id, arg_max(new_type, batch_no) AS t FROM ({_update_rows()}) WHERE language <> 'en' GROUP BY doc_id)
         SELECT doc_id, uri, coalesce(t, doc_type) AS doc_type, language, char_count, ingest_timestamp FROM docs LEFT JOIN upd USING (doc_id)""",
     "upsert_chunks_merge": f"SELECT chunk_id, doc_id, chunk_index, section_heading, CASE WHEN chunk_index < 3 THEN 'new ' ELSE '' END || chunk_text AS chunk_text, token_count FROM ({_LINE_CHUNKS})",
-    "upsert_chunks_replace": f"""SELECT chunk_id, doc_id, chunk_index, section_heading, CASE WHEN doc_id LIKE '%1' THEN 'new ' ELSE '' END || chunk_text AS chunk_text, token_count
-        FROM ({_LINE_CHUNKS}) WHERE chunk_index < 3 OR doc_id NOT LIKE '%1'""",
+    "upsert_chunks_replace": f"""SELECT chunk_id, doc_id, chunk_index, section_heading, CASE WHEN source LIKE 'src1%' THEN 'new ' ELSE '' END || chunk_text AS chunk_text, token_count
+        FROM ({_LINE_CHUNKS}) JOIN (SELECT doc_id::VARCHAR AS doc_id, source FROM documents) USING (doc_id) WHERE chunk_index < 3 OR source NOT LIKE 'src1%'""",
     "cascade_delete": f"""SELECT d.doc_id, count(c.chunk_id) AS n_chunks FROM ({_DOCUMENT_TABLE}) d LEFT JOIN ({_LINE_CHUNKS}) c USING (doc_id)
         WHERE d.doc_id NOT IN (SELECT doc_id::VARCHAR FROM labels WHERE toxic = 1) GROUP BY d.doc_id""",
     "constraint_violations": f"""WITH d AS ({_DOCUMENT_TABLE}), c AS ({_LINE_CHUNKS})
