@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # The plans are large expressions; noting a Python call site for each part takes longer than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
