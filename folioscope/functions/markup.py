@@ -14,9 +14,14 @@ DROPPED_ELEMENTS = ("script", "style", "head", "noscript")
 
 # A control character HTML text cannot hold stands for "a tag was here".
 _MARK = "\x01"
+# An open comment, script or style runs to the end; an open head ends where the body or its first element begins.
+_IN_HEAD = "base|link|meta|title|style|script|noscript|template|head"
+_BODY = f"<(?!(?:{_IN_HEAD})\\b)[a-z]"
+_ENDS = {"head": f"(?:</head\\s*>|(?={_BODY})|\\z)", "script": "(?:</script\\s*>|\\z)", "style": "(?:</style\\s*>|\\z)",
+         "noscript": "(?:</noscript\\s*>|\\z)"}
 _INVISIBLE = "|".join(
-    ["<!--(?s:.*?)-->"]
-    + [f"<{tag}\\b[^>]*>(?s:.*?)</{tag}\\s*>" for tag in DROPPED_ELEMENTS]
+    ["<!--(?s:.*?)(?:-->|\\z)"]
+    + [f"<{tag}\\b[^>]*>(?s:.*?){_ENDS[tag]}" for tag in DROPPED_ELEMENTS]
     + ["<[!?][^>]*>",
        "</?[a-z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>",
        "</?[a-z][^>]*>"]

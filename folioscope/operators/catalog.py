@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 
 def by_uri(documents: DataFrame, uri: str) -> DataFrame:
     return documents.where(F.col("uri") == uri)
@@ -89,14 +91,23 @@ def skip_ingested(raw: DataFrame, ingested: DataFrame | None = None, content: st
                   uri: str = "uri") -> DataFrame:
     """Raw documents of new content, one per content (lowest uri), with ``content_sha256``.
 
-    Only hashes and uris are aggregated, per partition first, so a content with a third of all
-    copies costs one row per partition; the contents themselves meet the winners by uri.
+    Hashes and uris decide; ``new_contents`` gives just these, for a reader that fetches the winners by their uri.
     """
     hashed = raw.withColumn("content_sha256", content_hash(F.col(content)))
-    first = hashed.groupBy("content_sha256").agg(F.min(uri).alias(uri))
+    return hashed.join(new_contents(raw, ingested, content, uri), [uri, "content_sha256"], "left_semi")
+
+
+def new_contents(raw: DataFrame, ingested: DataFrame | None = None, content: str = "content", uri: str = "uri") -> DataFrame:
+    """(uri, content_sha256) of new contents, one per content (lowest uri).
+
+    Contents are hashed where they are read and dropped; hashes are written once and combined per partition, so a
+    content with a third of all copies costs one row per partition. No exchange carries a content.
+    """
+    hashes = staged(raw.select(uri, content_hash(F.col(content)).alias("content_sha256")), "hashes")
+    first = hashes.groupBy("content_sha256").agg(F.min(uri).alias(uri))
     if ingested is not None:
         first = first.join(ingested.select("content_sha256").distinct(), "content_sha256", "left_anti")
-    return hashed.join(first.select(uri, "content_sha256"), [uri, "content_sha256"], "left_semi")
+    return first.select(uri, "content_sha256")
 
 
 # Extra metadata -----------------------------------------------------------------------------------

@@ -2,8 +2,8 @@
 
 A document is cut inside its own row with array functions: nothing is shuffled, so the work
 spreads exactly as the scan does and no document, however often copied, meets another in a task.
-Every chunk is a contiguous range of paragraphs or sentences, hence both packing steps fold
-token counts into ``(start, end)`` ranges and texts are joined only afterwards.
+Every chunk is a contiguous range of paragraphs or sentences, hence both packing steps turn
+token counts into ``(start, end)`` ranges, in time linear in their number, and texts are joined only afterwards.
 """
 
 from __future__ import annotations
@@ -74,63 +74,50 @@ def sections(text: Column) -> Column:
 
 # Packing -----------------------------------------------------------------------------------------
 
-def _carry_last(overlap: int):
-    """Start the next range with the last unit if that alone fits the overlap."""
-    def carry(state: Column, _counts: Column) -> Column:
-        fits = state["pending"] <= overlap
-        return F.struct(F.when(fits, state["pos"] - 1).otherwise(state["pos"]).alias("start"),
-                        F.when(fits, state["pending"]).otherwise(0).alias("run"))
-    return carry
+LAST, SUFFIX = "last", "suffix"
 
 
-def _carry_suffix(overlap: int):
-    """Start the next range with the longest run of last units that fits the overlap."""
-    def carry(state: Column, counts: Column) -> Column:
-        start, pos = state["tail"]["start"], state["pos"]
-        zero = F.struct(F.lit(0).alias("k"), F.lit(0).alias("run"), F.lit(True).alias("open"))
+def _ranges(groups, counts, limit: int, overlap: int, carry: str) -> list[int]:
+    """Greedy packing of units into ranges, as group, start, end of each one after the other.
 
-        def step(acc: Column, n: Column) -> Column:
-            take = acc["open"] & (acc["run"] + n <= overlap)
-            return F.struct(F.when(take, acc["k"] + 1).otherwise(acc["k"]).alias("k"),
-                            F.when(take, acc["run"] + n).otherwise(acc["run"]).alias("run"),
-                            take.alias("open"))
+    No range and no carry crosses groups. A full range is followed by one that starts with its last unit, if that alone
+    fits the overlap (``LAST``), or with the longest run of its last units that does (``SUFFIX``).
+    """
+    out: list[int] = []
+    start, total, grp = 0, 0, 0
+    for pos, (g, n) in enumerate(zip(groups, counts)):
+        if pos and (g != grp or total + n > limit):
+            out += (grp, start, pos)
+            first, start, total, same = start, pos, 0, g == grp
+            while same and start > first and total + counts[start - 1] <= overlap:
+                start -= 1
+                total += counts[start]
+                same = carry == SUFFIX
+        total, grp = total + n, g
+    if len(counts):
+        out += (grp, start, len(counts))
+    return out
+
+
+def pack(groups: Column, counts: Column, limit: int, overlap: int, carry: str) -> Column:
+    """Array of three numbers per range: group, start, end. Only the numbers visit Python; texts stay in the JVM.
+
+    The column is not repeated where it is used, so keep it in a projection of its own.
+    """
+    @F.pandas_udf("array<int>")
+    def ranges(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for g, n in batches:
+            yield pd.Series([_ranges(a.tolist(), b.tolist(), limit, overlap, carry) for a, b in zip(g, n)], dtype=object)
 
-        last_first = F.reverse(F.slice(counts, start + 1, pos - start))
-        return F.aggregate(last_first, zero, step,
-                           lambda acc: F.struct((pos - acc["k"]).alias("start"), acc["run"].alias("run")))
-    return carry
+    return ranges.asNondeterministic()(groups, counts)
 
 
-def pack(groups: Column, counts: Column, limit: int, carry) -> Column:
-    """Greedy packing of units into ranges ``(grp, start, end)`` of at most ``limit`` tokens.
+def _each_range(ranges: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of every range as struct (grp, start, end)."""
+    def one(i: Column) -> Column:
+        return body(F.struct(*[F.get(ranges, 3 * i + k).alias(n) for k, n in enumerate(("grp", "start", "end"))]))
 
-    ``groups`` numbers the group each unit belongs to; no range and no carry crosses groups.
-    ``counts`` has to be a plain column, as the carry looks back into it.
-    """
-    empty = F.array().cast("array<struct<grp:int,start:int,end:int>>")
-    zero = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("grp"), F.lit(0).alias("pending"),
-                    F.struct(F.lit(0).alias("start"), F.lit(0).alias("run")).alias("tail"),
-                    empty.alias("out"))
-
-    def current(state: Column) -> Column:
-        return F.array(F.struct(state["grp"].alias("grp"), state["tail"]["start"].alias("start"),
-                                state["pos"].alias("end")))
-
-    def step(state: Column, unit: Column) -> Column:
-        total = state["tail"]["run"] + state["pending"]
-        started = state["pos"] > 0
-        breaks = started & (unit["grp"] != state["grp"])
-        over = started & (total + unit["n"] > limit)
-        tail = (F.when(breaks, F.struct(state["pos"].alias("start"), F.lit(0).alias("run")))
-                .when(over, carry(state, counts))
-                .otherwise(F.struct(state["tail"]["start"].alias("start"), total.alias("run"))))
-        out = F.when(breaks | over, F.concat(state["out"], current(state))).otherwise(state["out"])
-        return F.struct((state["pos"] + 1).alias("pos"), unit["grp"].alias("grp"),
-                        unit["n"].alias("pending"), tail.alias("tail"), out.alias("out"))
-
-    units = F.zip_with(groups, counts, lambda g, n: F.struct(g.alias("grp"), n.alias("n")))
-    return F.aggregate(units, zero, step, lambda s: F.when(s["pos"] > 0, F.concat(s["out"], current(s)))
-                       .otherwise(s["out"]))
+    return F.when(F.size(ranges) > 0, F.transform(F.sequence(F.lit(0), F.floor(F.size(ranges) / 3).cast("int") - 1), one))
 
 
 def _join_range(texts: Column, r: Column, sep: str) -> Column:
@@ -173,13 +160,14 @@ def explode_sentences(df: DataFrame, text: str = "text") -> DataFrame:
     return df.select(*keep, F.posexplode(split_sentences(F.col(text))).alias("pos", "sentence"))
 
 
-def _packed_rows(df: DataFrame, units: Column, text: str, limit: int, carry, sep: str, tokenizer,
+def _packed_rows(df: DataFrame, units: Column, text: str, limit: int, overlap: int, carry: str, sep: str, tokenizer,
                  names: tuple[str, str] = ("pos", "packed")) -> DataFrame:
     keep = [c for c in df.columns if c != text]
     count = token_counter(tokenizer)
     staged = df.select(*keep, units.alias("_units")).select("*", count(F.col("_units")).alias("_n"))
-    ranges = pack(F.transform(F.col("_units"), lambda _: F.lit(0)), F.col("_n"), limit, carry)
-    return (staged.select(*keep, "_units", F.posexplode(ranges).alias(names[0], "_r"))
+    ranges = pack(F.transform(F.col("_units"), lambda _: F.lit(0)), F.col("_n"), limit, overlap, carry)
+    return (staged.select(*keep, "_units", ranges.alias("_ranges"))
+            .select(*keep, "_units", F.posexplode(_each_range(F.col("_ranges"), lambda r: r)).alias(names[0], "_r"))
             .select(*keep, names[0], _join_range(F.col("_units"), F.col("_r"), sep).alias(names[1]),
                     (F.col("_r.end") - F.col("_r.start")).alias("n_units")))
 
@@ -189,7 +177,7 @@ def pack_paragraphs(df: DataFrame, text: str = "body", max_tokens: int = MAX_TOK
     """Paragraph groups of one section body: ``pos``, ``packed``, ``n_units``."""
     _check(max_tokens, overlap_tokens)
     return _packed_rows(df, split_paragraphs(F.col(text)), text, max_tokens,
-                        _carry_last(overlap_tokens), "\n\n", tokenizer)
+                        overlap_tokens, LAST, "\n\n", tokenizer)
 
 
 def pack_sentences(df: DataFrame, text: str = "text", max_tokens: int = MAX_TOKENS,
@@ -197,7 +185,7 @@ def pack_sentences(df: DataFrame, text: str = "text", max_tokens: int = MAX_TOKE
     """Sentence chunks of one text: ``pos``, ``packed``, ``n_units``; a single sentence is never split."""
     _check(max_tokens, overlap_tokens)
     return _packed_rows(df, split_sentences(F.col(text)), text, max_tokens,
-                        _carry_suffix(overlap_tokens), " ", tokenizer)
+                        overlap_tokens, SUFFIX, " ", tokenizer)
 
 
 def resplit_groups(df: DataFrame, text: str = "packed", max_tokens: int = MAX_TOKENS,
@@ -210,7 +198,7 @@ def resplit_groups(df: DataFrame, text: str = "packed", max_tokens: int = MAX_TO
     units = F.when(F.col("_size") <= max_tokens, F.array(text)).otherwise(
         let(sentences, lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(text))))
     keep = [c for c in df.columns if c != text]
-    out = _packed_rows(sized, units, text, max_tokens, _carry_suffix(overlap_tokens), " ", tokenizer,
+    out = _packed_rows(sized, units, text, max_tokens, overlap_tokens, SUFFIX, " ", tokenizer,
                        ("piece_no", "piece"))
     return out.select(*keep, "piece_no", "piece")
 
@@ -234,11 +222,13 @@ def chunk_documents(df: DataFrame, max_tokens: int = MAX_TOKENS, overlap_tokens:
             .select(col(doc_id).alias("doc_id"), paragraphs.alias("para"))
             .select("*", count(col("para.text")).alias("n")))
 
-    groups = docs.select("doc_id", "para", pack(col("para.grp"), col("n"), max_tokens,
-                                                _carry_last(overlap_tokens)).alias("ranges"))
-    groups = groups.select("doc_id", F.transform("ranges", lambda r: F.struct(
-        col("para.heading")[r["start"]].alias("heading"),
-        _join_range(col("para.text"), r, "\n\n").alias("text"))).alias("grp"))
+    # Headings and texts become arrays of their own before ranges are cut out of them: a field of an array of structs
+    # named inside an array function would be gathered anew for every range.
+    groups = docs.select("doc_id", col("para.heading").alias("headings"), col("para.text").alias("texts"),
+                         pack(col("para.grp"), col("n"), max_tokens, overlap_tokens, LAST).alias("ranges"))
+    groups = groups.select("doc_id", _each_range(col("ranges"), lambda r: F.struct(
+        F.get(col("headings"), r["start"]).alias("heading"),
+        _join_range(col("texts"), r, "\n\n").alias("text"))).alias("grp"))
     groups = groups.select("*", count(col("grp.text")).alias("n"))
 
     def units_of(group: Column, i: Column, size: Column) -> Column:
@@ -251,12 +241,11 @@ def chunk_documents(df: DataFrame, max_tokens: int = MAX_TOKENS, overlap_tokens:
     units = groups.select("doc_id", F.flatten(F.transform(
         sized, lambda s, i: units_of(s["g"], i, s["n"]))).alias("unit"))
     units = units.select("*", count(col("unit.text")).alias("n"))
-    units = units.select("doc_id", "unit", pack(col("unit.grp"), col("n"), max_tokens,
-                                                _carry_suffix(overlap_tokens)).alias("ranges"))
-
-    chunks = units.select("doc_id", F.transform("ranges", lambda r: F.struct(
-        col("unit.heading")[r["start"]].alias("heading"),
-        _join_range(col("unit.text"), r, " ").alias("text"))).alias("chunk"))
+    units = units.select("doc_id", col("unit.heading").alias("headings"), col("unit.text").alias("texts"),
+                         pack(col("unit.grp"), col("n"), max_tokens, overlap_tokens, SUFFIX).alias("ranges"))
+    chunks = units.select("doc_id", _each_range(col("ranges"), lambda r: F.struct(
+        F.get(col("headings"), r["start"]).alias("heading"),
+        _join_range(col("texts"), r, " ").alias("text"))).alias("chunk"))
     chunks = chunks.select("*", count(col("chunk.text")).alias("n"))
     final = F.filter(F.zip_with("chunk", "n", lambda c, n: F.struct(
         c["heading"].alias("heading"), strip(c["text"]).alias("text"), n.alias("n"))),

@@ -22,24 +22,39 @@ from .language import Profiles, detect_language
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 
-def _flatten(value, depth: int = 0) -> Iterator[str]:
-    pad = "  " * depth
-    if isinstance(value, dict):
-        for key, inner in value.items():
-            nested = isinstance(inner, (dict, list))
-            yield f"{pad}{key}:" if nested else f"{pad}{key}: {inner}"
-            if nested:
-                yield "\n".join(_flatten(inner, depth + 1))
-        return
-    if isinstance(value, list):
-        for item in value:
-            yield "\n".join(_flatten(item, depth))
-        return
-    yield f"{pad}{value}"
+class _Pairs(list):
+    """A parsed JSON object as its (name, value) pairs; of a repeated name the last value counts, at the first place."""
+
+    @classmethod
+    def read(cls, pairs):
+        return cls(dict(pairs).items())
+
+
+def _layout(root) -> str:
+    """One line per scalar, indented by two blanks for each object it lies in; arrays don't indent.
+
+    A named object or array opens with a line of its name; empty ones leave an empty line. The parts still to be written
+    wait on a stack, so that nesting costs no recursion.
+    """
+    lines: list[str] = []
+    waiting = [(0, None, root)]
+    while waiting:
+        depth, label, value = waiting.pop()
+        inside = isinstance(value, list)
+        if label is not None or not inside:
+            lines.append("  " * depth + (f"{label}:" if inside else f"{label}: {value}" if label is not None else str(value)))
+        if inside:
+            below = depth + (label is not None)
+            named = isinstance(value, _Pairs)
+            if value:
+                waiting.extend((below, x[0] if named else None, x[1] if named else x) for x in reversed(value))
+            else:
+                lines.append("")
+    return "\n".join(lines)
 
 
 def _json_lines(content: bytes) -> str:
-    return "\n".join(_flatten(json.loads(bytes(content).decode("utf-8", "replace"))))
+    return _layout(json.loads(bytes(content).decode("utf-8", "replace"), object_pairs_hook=_Pairs.read))
 
 
 def _docx_paragraphs(content: bytes) -> str:
@@ -65,7 +80,7 @@ def _attempt(mime_type: str, content) -> tuple[str | None, str | None]:
     try:
         return _PYTHON_PARSERS[mime_type](content), None
     except Exception as exc:
-        return "", f"{type(exc).__name__}: {exc}"[:500]
+        return "", f"{type(exc).__name__}: {exc}"
 
 
 @F.pandas_udf(T.StructType().add("text", "string").add("error", "string"))
@@ -87,19 +102,17 @@ def docx_text(content: Column) -> Column:
 def extract_text(raw: DataFrame, content: str = "content", mime: str = "mime_type") -> DataFrame:
     """Replace ``content`` by ``text`` and ``parse_error``.
 
-    Contents are read once. HTML and text stay in the JVM; only contents of the two formats that
-    need Python travel there, in Arrow batches of bounded size, the others as NULL. A failed or
-    unsupported document keeps an empty text and carries its reason.
+    Rows part by format before anything is parsed: HTML and text stay in the JVM, only contents of the two formats that
+    need Python go there. A failed or unsupported document keeps an empty text and carries its reason.
     """
     body, kind = F.col(content), F.col(mime)
     keep = [c for c in raw.columns if c != content]
-    python_only = kind.isin(*_PYTHON_PARSERS)
-    parsed = raw.withColumn("_p", _python_text(kind, F.when(python_only, body)))
+    python_only = F.coalesce(kind.isin(*_PYTHON_PARSERS), F.lit(False))
     # Decoding and the pattern rules accept any bytes, so a native document has no error.
-    text = (F.when(python_only, F.col("_p.text")).when(kind == PDF, "")
-            .when(kind == HTML, html_text(decode_text(body))).otherwise(decode_text(body)))
-    error = F.when(python_only, F.col("_p.error")).when(kind == PDF, "unsupported_format")
-    return parsed.select(*keep, text.alias("text"), error.alias("parse_error"))
+    text = F.when(kind == PDF, "").when(kind == HTML, html_text(decode_text(body))).otherwise(decode_text(body))
+    native = raw.where(~python_only).select(*keep, text.alias("text"), F.when(kind == PDF, "unsupported_format").alias("parse_error"))
+    parsed = raw.where(python_only).select(*keep, _python_text(kind, body).alias("_p"))
+    return native.unionByName(parsed.select(*keep, F.col("_p.text").alias("text"), F.col("_p.error").alias("parse_error")))
 
 
 def infer_doc_type(df: DataFrame, keywords: Mapping[str, Sequence[str]] = DOC_TYPE_KEYWORDS,

@@ -1,31 +1,62 @@
 """Language identification by character-trigram naive Bayes (after Cavnar & Trenkle 1994).
 
-Weights are whole micro-nats, so sums do not depend on the order of partial aggregation.
+Weights are whole micro-nats, so sums do not depend on the order of counting.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.strings import let, strip
 
 WINDOW, MIN_CHARS, SCALE = 500, 20, 1_000_000
-PROFILE_SIZE = 1000
 
 
 @dataclass(frozen=True)
 class Profiles:
-    """A trained model: at most ``profile_size`` trigrams per language, hence of bounded size.
-
-    ``weights`` holds one row per trigram with one weight column per language: the gain over an
-    unseen trigram. ``unseen`` holds the weight of an unseen trigram per language.
-    """
-    weights: DataFrame
-    unseen: dict[str, int]
+    """A trained model: sorted trigram codes, per trigram and language the gain over an unseen one, and the weight of
+    an unseen trigram per language. Its size is that of the languages' trigrams, not of the texts; pass
+    ``profile_size`` in training to bound it."""
+    languages: tuple[str, ...]
+    codes: np.ndarray
+    gains: np.ndarray
+    unseen: np.ndarray
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = [(int(c), [int(x) for x in g]) for c, g in zip(self.codes, self.gains)]
+        rows.append((-1, [int(x) for x in self.unseen]))
+        named = spark.createDataFrame(rows, "code long, weights array<long>").withColumn("languages", F.array(*map(F.lit, self.languages)).cast("array<string>"))
+        named.write.mode("error").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Profiles:
+        table = spark.read.parquet(path).orderBy("code").toPandas()
+        names = tuple(table["languages"].iloc[0])
+        weights = np.array(table["weights"].tolist(), np.int64).reshape(len(table), len(names))
+        return Profiles(names, table["code"].to_numpy(np.int64)[1:], weights[1:], weights[0])
+
+    def label(self, head: str) -> str | None:
+        """The language of a lower-cased text, the first by name of equal ones; None without trigrams."""
+        p = np.frombuffer(head.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        if len(p) < 3 or not self.languages:
+            return None
+        code = p[:-2] << 42 | p[1:-1] << 21 | p[2:]
+        total = self.unseen * len(code)
+        if len(self.codes):
+            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            total = total + self.gains[at[self.codes[at] == code]].sum(axis=0)
+        return self.languages[int(np.argmax(total))]
+
+
+def head_of(text: Column) -> Column:
+    """The lower-cased first characters, which decide."""
+    return F.lower(F.substring(text, 1, WINDOW))
 
 
 def trigrams(text: Column) -> Column:
@@ -35,66 +66,46 @@ def trigrams(text: Column) -> Column:
         starts = F.when(n >= 3, F.sequence(F.lit(1), n - 2)).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda i: F.substring(head, i, F.lit(3)))
 
-    return let(F.lower(F.substring(text, 1, WINDOW)), windows)
+    return let(head_of(text), windows)
 
 
 def train_language_profiles(df: DataFrame, text: str = "text", lang: str = "lang",
-                            profile_size: int = PROFILE_SIZE) -> Profiles:
-    """Profiles from labelled texts: each language's most frequent trigrams and their log probabilities.
+                            profile_size: int | None = None) -> Profiles:
+    """Profiles from labelled texts: the log probabilities of each language's trigrams, with one added to every count.
 
-    One shuffle of partial counts by (language, trigram). The ranking keeps the first
-    ``profile_size`` per partition before it gathers a language (window group limit), and the
-    bounded result is written once, being read by every later task.
+    One shuffle of partial counts by (language, trigram); the driver gets one number for each. All trigrams count,
+    unless the caller bounds them: ``profile_size`` keeps the most frequent ones of each language.
     """
-    from ..session import staged
-
     counts = (df.where(F.col(lang).isNotNull())
               .select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
               .groupBy("lang", "gram").agg(F.count("*").alias("n")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    kept = staged(counts.withColumn("r", rank).where(F.col("r") <= profile_size).drop("r"), "profiles")
-    # Bounded: one row per language.
-    totals = {r["lang"]: r["total"] for r in kept.groupBy("lang").agg(F.sum("n").alias("total")).collect()}
-    unseen = {name: _micro_nats(1, total, profile_size) for name, total in sorted(totals.items())}
-
-    def by_lang(values: dict[str, int]) -> Column:
-        return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[F.col("lang")]
-
-    gain = (F.round(F.log((F.col("n") + 1) / (by_lang(totals) + profile_size)) * SCALE).cast("long")
-            - by_lang(unseen))
-    weights = (kept.select("gram", "lang", gain.alias("gain")).groupBy("gram")
-               .agg(*[F.coalesce(F.sum(F.when(F.col("lang") == name, F.col("gain"))), F.lit(0)).alias(f"w_{i}")
-                      for i, name in enumerate(unseen)]))
-    return Profiles(weights, unseen)
-
-
-def _micro_nats(numerator: int, total: int, profile_size: int) -> int:
-    return round(math.log(numerator / (total + profile_size)) * SCALE)
-
-
-def language_of(df: DataFrame, profiles: Profiles, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key`` and ``language`` of every row that has a detectable language.
+    if profile_size is not None:
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+        counts = counts.withColumn("r", rank).where(F.col("r") <= profile_size).drop("r")
+    table = counts.toPandas()
+    names = tuple(sorted(table["lang"].unique()))
+    grams = sorted(table["gram"].unique(), key=lambda g: tuple(map(ord, g)))
+    place, column = {g: i for i, g in enumerate(grams)}, {n: i for i, n in enumerate(names)}
+    n = np.zeros((len(grams), len(names)))
+    n[[place[g] for g in table["gram"]], [column[x] for x in table["lang"]]] = table["n"]
+    total = n.sum(axis=0) + len(grams)
+    unseen = np.round(np.log(1 / total) * SCALE).astype(np.int64)
+    gains = np.where(n > 0, np.round(np.log((n + 1) / total) * SCALE).astype(np.int64) - unseen, 0)
+    codes = np.array([ord(g[0]) << 42 | ord(g[1]) << 21 | ord(g[2]) for g in grams], np.int64)
+    return Profiles(names, codes, gains, unseen)
+
+
+def detect_language(df: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
+    """Add ``language``; a stripped text of under 20 characters or without trigrams is ``unknown``.
 
-    Trigrams meet the bounded profile table in a broadcast join and are summed per document
-    before anything moves, so the one shuffle carries a handful of numbers per document.
+    A row is decided where it lies: only its first characters visit Python, nothing is shuffled or joined.
     """
-    names = list(profiles.unseen)
-    long_enough = F.char_length(strip(F.col(text))) >= MIN_CHARS
-    grams = df.where(long_enough).select(key, F.explode(trigrams(F.col(text))).alias("gram"))
-    zero = F.lit(0).cast("long")
-    sums = (grams.join(F.broadcast(profiles.weights), "gram", "left").groupBy(key)
-            .agg(*[F.sum(F.coalesce(F.col(f"w_{i}"), zero) + F.lit(profiles.unseen[n])).alias(f"w_{i}")
-                   for i, n in enumerate(names)]))
-    top = F.greatest(*[F.col(f"w_{i}") for i in range(len(names))]) if len(names) > 1 else F.col("w_0")
-    label = F.coalesce(*[F.when(F.col(f"w_{i}") == top, n) for i, n in enumerate(names)])
-    return sums.select(key, label.alias("language"))
+    shared = df.sparkSession.sparkContext.broadcast(profiles)
 
+    @F.pandas_udf("string")
+    def label(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for heads in batches:
+            yield heads.map(lambda h: None if h is None else shared.value.label(h)).astype(object)
 
-def detect_language(df: DataFrame, profiles: Profiles, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Add ``language``; a stripped text of under 20 characters or without trigrams is ``unknown``.
-
-    ``key`` has to identify a row of ``df``. Select away wide columns that are not needed: what
-    remains is joined by ``key``.
-    """
-    found = language_of(df, profiles, text, key)
-    return df.join(found, key, "left").withColumn("language", F.coalesce("language", F.lit("unknown")))
+    long_enough = F.char_length(strip(F.col(text))) >= MIN_CHARS
+    return df.withColumn("language", F.coalesce(label(F.when(long_enough, head_of(F.col(text)))), F.lit("unknown")))

@@ -99,9 +99,9 @@ def capacity_report(nodes: DataFrame, max_entries: int = 20, max_nodes: int = 50
 
 # Bulk changes -------------------------------------------------------------------------------------
 
-def _levels(requests: DataFrame) -> tuple[int, int]:
-    row = requests.where(F.col("_path") != "").agg(F.min("_depth").alias("lo"), F.max("_depth").alias("hi")).first()
-    return (row["lo"] or 0), (row["hi"] or -1)
+def _levels(requests: DataFrame) -> list[int]:
+    """The depths that are asked for, ascending; one number per depth."""
+    return sorted(r["_depth"] for r in requests.where(F.col("_path") != "").select("_depth").distinct().collect())
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -130,10 +130,12 @@ def bulk_create(nodes: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataF
                              asked.select("ns", parent_of(F.col("_path")).alias("path"))])
     before = F.lit(None).cast(requests.schema["seq"].dataType)
     none = asked.select("ns", "_path", "seq", "node_type").limit(0)
-    low, high = _levels(asked)
     created: list[DataFrame] = []
-    above = none
-    for depth in range(low, high + 1):
+    above, last = none, None
+    for depth in _levels(asked):
+        if last is not None and depth != last + 1:
+            above = none  # what was made lies too high to be a parent here
+        last = depth
         level = asked.where(F.col("_depth") == depth).withColumn("_parent", parent_of(F.col("_path")))
         fresh = level.join(nodes.select("ns", F.col("path").alias("_path")), ["ns", "_path"], "left_anti")
         if depth == 1:
@@ -164,15 +166,17 @@ def bulk_delete(nodes: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataF
     """
     asked = staged(requests.withColumn("_path", normalize_path(F.col("path")))
                    .withColumn("_depth", depth_of(F.col("_path"))), "delete")
-    low, high = _levels(asked)
     none = asked.select("ns", "_path", "seq").limit(0)
     wanted = asked.select("ns", "_path").distinct()
     present = _touched(nodes, [wanted.select("ns", F.col("_path").alias("path"))])
     children = staged(nodes.groupBy("ns", parent_of(F.col("path")).alias("_path")).agg(F.count("*").alias("_children"))
                       .join(wanted, ["ns", "_path"], "left_semi"), "children")
     deleted: list[DataFrame] = []
-    below = none
-    for depth in range(high, low - 1, -1):
+    below, last = none, None
+    for depth in reversed(_levels(asked)):
+        if last is not None and depth != last - 1:
+            below = none
+        last = depth
         level = asked.where(F.col("_depth") == depth)
         stored = present.where(depth_of(F.col("path")) == depth).select("ns", F.col("path").alias("_path"))
         gone = below.groupBy("ns", parent_of(F.col("_path")).alias("_path")).agg(

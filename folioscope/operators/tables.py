@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping
 
@@ -9,15 +10,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import CHUNK_DEFAULTS, CHUNKS, DOCUMENT_DEFAULTS, DOCUMENTS
+from ..schemas import CHUNK_DEFAULTS, CHUNKS, DOCUMENT_DEFAULTS, DOCUMENTS, REJECTS
 
 
 def latest_per_key(updates: DataFrame, key: str, order_by: str | None) -> DataFrame:
-    """One row per key, the last in ``order_by``. Combined per partition first, so a hot key costs one row each."""
-    if order_by is None:
-        return updates.dropDuplicates([key])
+    """One row per key, the last in ``order_by``. Combined per partition first, so a hot key costs one row each.
+
+    NULL comes before every order; equal orders are settled by a hash of the row. Without ``order_by`` the row that
+    comes last in the table wins, by partition and place in it: for rows in an order of their own name a column.
+    """
     rest = [c for c in updates.columns if c != key]
-    last = updates.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(order_by)).alias("_row"))
+    tie = F.xxhash64(*[F.to_json(c) if isinstance(updates.schema[c].dataType, T.VariantType) else F.col(c) for c in rest])
+    if order_by is None:
+        place = [F.monotonically_increasing_id()]
+    else:
+        place = [F.col(order_by).isNotNull(), F.col(order_by)]
+    placed = updates.withColumn("_place", F.struct(*[p.alias(f"p{i}") for i, p in enumerate([*place, tie])]))
+    last = placed.groupBy(key).agg(F.max_by(F.struct(*rest), F.col("_place")).alias("_row"))
     return last.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in updates.columns])
 
 
@@ -121,64 +130,145 @@ def create_tables(spark: SparkSession, database: str = "default") -> None:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet {part}")
 
 
-def write_documents(documents: DataFrame, path: str) -> None:
-    """Partitioned by type and language, so that filters on them read only their folders.
-
-    Rebalancing gathers a folder into files of a proper size and splits one that holds most rows.
-    """
-    keys = ["doc_type", "language"]
-    (document_rows(documents).hint("rebalance", *keys)
-     .write.mode("error").partitionBy(*keys).parquet(path))
+BUCKETS = 64
+# Stored layout: <table>/version=<id>/bucket=<n>/[doc_type=…/language=…/]; a manifest names the current folder of every bucket.
+_STORED = {"documents": (DOCUMENTS, ["doc_type", "language"], []), "chunks": (CHUNKS, [], ["doc_id", "chunk_index"]), "rejects": (REJECTS, [], [])}
 
 
-def write_chunks(chunks: DataFrame, path: str, files: int | None = None) -> None:
-    """Ranged by (doc_id, chunk_index): a document's chunks lie together and min/max statistics find
-    them. Ranging by both keys lets even one giant document spread over files."""
-    keys = ["doc_id", "chunk_index"]
-    rows = chunk_rows(chunks)
-    ranged = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
-    ranged.sortWithinPartitions(*keys).write.mode("error").parquet(path)
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def _pointer(spark: SparkSession, root: str):
+def _folder(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/_versions")
-    return jvm, path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def publish(documents: DataFrame, chunks: DataFrame, root: str) -> str:
-    """Write a new version, documents first, and point readers at it only when both are complete.
+def _names(spark: SparkSession, path: str) -> list[str]:
+    _, folder, fs = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
 
-    Versions are never overwritten, so the update may read the one it replaces. The pointer is an
-    empty file whose name sorts after all earlier ones; a failed run leaves the old version current.
-    """
-    spark = documents.sparkSession
-    version = uuid.uuid4().hex
-    write_documents(documents, f"{root}/{version}/documents")
-    write_chunks(chunks, f"{root}/{version}/chunks")
-    jvm, folder, fs = _pointer(spark, root)
+
+def _manifests(spark: SparkSession, root: str) -> list[str]:
+    return [n for n in _names(spark, f"{root}/_versions") if not n.startswith((".", "_"))]
+
+
+def read_manifest(spark: SparkSession, root: str, name: str | None = None) -> dict | None:
+    """The current manifest, or the named one: buckets, and per table the version that holds each bucket."""
+    names = [name] if name else _manifests(spark, root)
+    return json.loads(spark.read.text(f"{root}/_versions/{names[-1]}", wholetext=True).first()[0]) if names else None
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    names = _manifests(spark, root)
+    return names[-1].split("-", 1)[1] if names else None
+
+
+def _read(spark: SparkSession, root: str, table: str, manifest: dict | None, buckets=None) -> DataFrame:
+    schema = _STORED[table][0]
+    held = {b: v for b, v in (manifest or {}).get(table, {}).items() if buckets is None or int(b) in buckets}
+    if not held:
+        return spark.createDataFrame([], schema)
+    paths = [f"{root}/{table}/version={v}/bucket={b}" for b, v in held.items()]
+    whole = T.StructType([*schema.fields, T.StructField("version", T.StringType()), T.StructField("bucket", T.IntegerType())])
+    return spark.read.schema(whole).option("basePath", f"{root}/{table}").parquet(*paths).select(*schema.names)
+
+
+def _write(rows: DataFrame, root: str, table: str, key: str, buckets: int, version: str) -> list[str]:
+    """Write rows into their buckets of a new version; the buckets that have rows. A bucket with most rows is split into files."""
+    _, folders, order = _STORED[table]
+    keys = ["bucket", *folders]
+    dealt = rows.withColumn("bucket", _bucket(key, buckets)).hint("rebalance", *keys)
+    path = f"{root}/{table}/version={version}"
+    dealt.sortWithinPartitions(*keys, *order).write.mode("error").partitionBy(*keys).parquet(path)
+    return [n.split("=", 1)[1] for n in _names(rows.sparkSession, path) if n.startswith("bucket=")]
+
+
+def _point(spark: SparkSession, root: str, manifest: dict, version: str) -> str:
+    """Make a manifest current: a file whose name sorts after all earlier ones, complete before it gets that name."""
+    jvm, folder, fs = _folder(spark, f"{root}/_versions")
     fs.mkdirs(folder)
-    number = len(fs.listStatus(folder))
-    if not fs.createNewFile(jvm.org.apache.hadoop.fs.Path(folder, f"{number:012d}-{version}")):
+    number = max([int(n.split("-", 1)[0]) + 1 for n in _manifests(spark, root)], default=0)
+    draft = jvm.org.apache.hadoop.fs.Path(folder, f".{version}")
+    out = fs.create(draft, False)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    if not fs.rename(draft, jvm.org.apache.hadoop.fs.Path(folder, f"{number:012d}-{version}")):
         raise RuntimeError("version already published")
     return version
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    jvm, folder, fs = _pointer(spark, root)
-    if not fs.exists(folder):
-        return None
-    names = sorted(s.getPath().getName() for s in fs.listStatus(folder))
-    return names[-1].split("-", 1)[1] if names else None
+def publish(documents: DataFrame, chunks: DataFrame, root: str, rejects: DataFrame | None = None, buckets: int = BUCKETS) -> str:
+    """Write both tables whole, and the rejects, as a new version; readers see it when all are complete.
+
+    Nothing stored is overwritten, so the rows may come from the version they replace.
+    """
+    spark, version = documents.sparkSession, uuid.uuid4().hex
+    given = {"documents": (document_rows(documents), "doc_id"), "chunks": (chunk_rows(chunks), "doc_id")}
+    if rejects is not None:
+        given["rejects"] = (conform(rejects, REJECTS), "uri")
+    manifest: dict = {"buckets": buckets}
+    for table, (rows, key) in given.items():
+        manifest[table] = dict.fromkeys(_write(rows, root, table, key, buckets, version), version)
+    return _point(spark, root, manifest, version)
+
+
+def update(root: str, documents: DataFrame, chunks: DataFrame, rejects: DataFrame | None = None,
+           mode: str = "replace_by_doc", order_by: str | None = None, buckets: int = BUCKETS) -> str:
+    """Upsert into the stored tables; only the buckets that hold an updated key are read and written.
+
+    All other buckets stay the files they are. A uri that comes again loses its old rejects. Give written tables, as
+    each is read several times; ``buckets`` counts for a new store only. There is one writer at a time.
+    """
+    spark, version = documents.sparkSession, uuid.uuid4().hex
+    manifest = read_manifest(spark, root) or {"buckets": buckets}
+    n = manifest["buckets"]
+    touched = lambda key, *dfs: {r["b"] for d in dfs for r in d.select(_bucket(key, n).alias("b")).distinct().collect()}
+    own = touched("doc_id", documents, chunks)
+    old_docs, old_chunks = (_read(spark, root, t, manifest, own) for t in ("documents", "chunks"))
+    documents = documents if order_by else document_rows(documents)
+    parts = {"documents": (document_rows(upsert_documents(old_docs, documents, order_by)), "doc_id", own),
+             "chunks": (chunk_rows(upsert_chunks(old_chunks, chunks if order_by else chunk_rows(chunks), mode, order_by)), "doc_id", own)}
+    if rejects is not None:
+        seen = touched("uri", rejects, documents)
+        again = rejects.select("uri").unionByName(documents.select("uri")).distinct()
+        kept = _read(spark, root, "rejects", manifest, seen).join(again, "uri", "left_anti")
+        parts["rejects"] = (kept.unionByName(conform(rejects, REJECTS).distinct()), "uri", seen)
+    for table, (rows, key, buckets_of) in parts.items():
+        before = {b: v for b, v in manifest.get(table, {}).items() if int(b) not in buckets_of}
+        manifest[table] = before | dict.fromkeys(_write(rows, root, table, key, n, version), version)
+    return _point(spark, root, manifest, version)
 
 
 def read_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """The current version of both tables, empty if nothing is published yet."""
-    version = current_version(spark, root)
-    if version is None:
-        return spark.createDataFrame([], DOCUMENTS), spark.createDataFrame([], CHUNKS)
-    documents = spark.read.schema(DOCUMENTS).parquet(f"{root}/{version}/documents").select(*DOCUMENTS.names)
-    return documents, spark.read.schema(CHUNKS).parquet(f"{root}/{version}/chunks")
+    """The current version of documents and chunks, empty if nothing is published yet."""
+    manifest = read_manifest(spark, root)
+    return _read(spark, root, "documents", manifest), _read(spark, root, "chunks", manifest)
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    return _read(spark, root, "rejects", read_manifest(spark, root))
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Remove all but the last ``keep`` manifests and every folder that none of those names; how many folders went."""
+    names = _manifests(spark, root)
+    kept = [read_manifest(spark, root, n) for n in names[-keep:]]
+    jvm, folder, fs = _folder(spark, f"{root}/_versions")
+    for n in names[:-keep]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(folder, n), False)
+    gone = 0
+    for table in _STORED:
+        held = {f"version={v}/bucket={b}" for m in kept for b, v in m.get(table, {}).items()}
+        for version in _names(spark, f"{root}/{table}"):
+            inside = [b for b in _names(spark, f"{root}/{table}/{version}") if b.startswith("bucket=")]
+            dead = [b for b in inside if f"{version}/{b}" not in held]
+            for b in dead if len(dead) < len(inside) else [""]:
+                path = f"{root}/{table}/{version}/{b}".rstrip("/")
+                fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+                gone += 1
+    return gone
 
 
 # Relational target --------------------------------------------------------------------------------
@@ -204,5 +294,5 @@ def stage_jdbc(df: DataFrame, url: str, staging: str, properties: Mapping[str, s
             return F.to_json(f.name).alias(f.name)
         return F.col(f.name)
 
-    (df.select(*[plain(f) for f in df.schema]).coalesce(partitions)
+    (df.select(*[plain(f) for f in df.schema]).repartition(partitions)
      .write.mode("overwrite").jdbc(url, staging, properties=dict(properties)))

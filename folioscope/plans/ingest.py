@@ -12,9 +12,9 @@ from ..functions.metadata import DOC_TYPE_KEYWORDS
 from ..operators import chunking, tables
 from ..operators.embedding import BATCH_SIZE, DIM, EmbedFn, embed_chunks, hash_embed, settle_embeddings
 from ..operators.extract import parse_documents, parse_rejects
-from ..operators.language import Profiles, language_of
+from ..operators.language import Profiles
 from ..session import staged
-from ..sources.files import MAX_BYTES, read_documents
+from ..sources.files import listing, read_contents, too_large, unreadable
 
 
 @dataclass(frozen=True)
@@ -29,7 +29,7 @@ class Settings:
     profiles: Profiles | None = None
     keywords: dict = field(default_factory=lambda: dict(DOC_TYPE_KEYWORDS))
     ingest_timestamp: str | None = None
-    max_bytes: int = MAX_BYTES
+    max_bytes: int | None = None
 
 
 @dataclass(frozen=True)
@@ -39,14 +39,14 @@ class Ingested:
     rejects: DataFrame
 
 
-def ingest(raw: DataFrame, settings: Settings = Settings(), rejects: DataFrame | None = None) -> Ingested:
-    """Raw documents to the two tables and the rejects.
+def ingest(raw: DataFrame, settings: Settings = Settings(), rejects: DataFrame | None = None, listed: DataFrame | None = None) -> Ingested:
+    """Raw documents to the two tables and the rejects. With ``listed`` (uri, length) files that gave no row are rejected.
 
     Text is extracted once and chunks are embedded once, each written before its several readers.
     Chunks come straight from the parsed rows; only keys and a few numbers are ever shuffled.
     """
     s = settings
-    parsed = staged(parse_documents(raw, None, s.keywords, s.ingest_timestamp), "parsed")
+    parsed = staged(parse_documents(raw, s.profiles, s.keywords, s.ingest_timestamp), "parsed")
     cut = chunking.chunk_documents(parsed, s.chunk_max_tokens, s.chunk_overlap_tokens, tokenizer=s.tokenizer)
     if s.embed_fn is None:
         embedded = hash_embed(cut, dim=s.embedding_dim).withColumn("embed_error", F.lit(None).cast("string"))
@@ -56,9 +56,6 @@ def ingest(raw: DataFrame, settings: Settings = Settings(), rejects: DataFrame |
     chunks, embed_rejects = settle_embeddings(embedded)
 
     meta = parsed.drop("text")
-    if s.profiles is not None:
-        spoken = language_of(parsed, s.profiles)
-        meta = meta.drop("language").join(spoken, "doc_id", "left")
     produced, no_chunks = tables.with_documents_kept(meta, embedded)
     documents = produced.join(embed_rejects.select("doc_id"), "doc_id", "left_anti")
 
@@ -67,16 +64,17 @@ def ingest(raw: DataFrame, settings: Settings = Settings(), rejects: DataFrame |
     lost = parse_rejects(parsed).unionByName(late)
     if rejects is not None:
         lost = lost.unionByName(rejects)
+    if listed is not None:
+        lost = lost.unionByName(unreadable(listed, parsed, s.max_bytes))
     return Ingested(tables.document_rows(documents.drop("parse_error")), tables.chunk_rows(chunks), lost)
 
 
 def ingest_files(spark: SparkSession, prefix: str, settings: Settings = Settings()) -> Ingested:
-    raw, rejects = read_documents(spark, prefix, max_bytes=settings.max_bytes)
-    return ingest(raw, settings, rejects)
+    listed = listing(spark, prefix)
+    raw = read_contents(spark, prefix, max_bytes=settings.max_bytes)
+    return ingest(raw, settings, too_large(listed, settings.max_bytes), listed)
 
 
 def store(result: Ingested, root: str) -> str:
-    """Upsert an ingestion into the tables at ``root`` and publish them as a new version."""
-    documents, chunks = tables.read_tables(result.documents.sparkSession, root)
-    return tables.publish(tables.upsert_documents(documents, result.documents),
-                          tables.upsert_chunks(chunks, result.chunks), root)
+    """Upsert an ingestion into the tables at ``root``, rejects too, and publish them as a new version."""
+    return tables.update(root, staged(result.documents, "documents"), staged(result.chunks, "chunks"), staged(result.rejects, "rejects"))

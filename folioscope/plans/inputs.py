@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.metadata import DOCX, JSON, MARKDOWN, PDF, PLAIN
+from ..functions.metadata import DOCX, HTML, JSON, MARKDOWN, PDF, PLAIN
 from ..functions.strings import fallback_tokens
 from ..operators.paths import normalize_path, prefixes_of
 from ..session import shared_dir
@@ -70,14 +70,16 @@ def line_chunks(spark: SparkSession, sf: str, version: str = "", source: str = "
 
 
 def mixed_raw(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents as bytes of several media types."""
+    """Documents as bytes of several media types; of forty, one is broken JSON and one of an unsupported type."""
     case = F.col("doc_id") % 4
-    as_json = F.to_json(F.struct("text"))
+    as_json = F.when(F.col("doc_id") % 40 == 2, F.concat(F.lit("{oops"), "text")).otherwise(F.to_json(F.struct("text")))
+    escaped = F.replace(F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    as_html = F.concat(F.lit("<html><head><title>t</title><body><p>"), escaped, F.lit("</p><script>x()</script></body></html>"))
     return documents(spark, sf).select(
         F.concat(F.lit("mem://"), F.col("doc_id").cast("string")).alias("uri"),
         F.col("doc_id").cast("string").alias("filename"),
-        F.when(case == 0, PLAIN).when(case == 1, MARKDOWN).when(case == 2, JSON).otherwise(PDF).alias("mime_type"),
-        F.encode(F.when(case == 2, as_json).otherwise(F.col("text")), "UTF-8").alias("content"))
+        F.when(case == 0, PLAIN).when(case == 1, MARKDOWN).when(case == 2, JSON).when(F.col("doc_id") % 40 == 39, PDF).otherwise(HTML).alias("mime_type"),
+        F.encode(F.when(case == 2, as_json).when(case == 3, as_html).otherwise(F.col("text")), "UTF-8").alias("content"))
 
 
 def nested_json(spark: SparkSession, sf: str) -> DataFrame:
@@ -152,5 +154,12 @@ def label_centroids(spark: SparkSession, sf: str) -> DataFrame:
         F.col("label").alias("query_id"), F.transform("v", lambda e: e["x"]).alias("query_vector"))
 
 
+def clustered(spark: SparkSession, sf: str) -> DataFrame:
+    """All vectors, pulled apart by label."""
+    apart = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.when(F.pmod("label", F.lit(64)) == i, F.lit(8.0)).otherwise(F.lit(0.0)))
+    table = read_table(spark, sf, "embeddings")
+    return table.select("label", F.col("vec_id").alias("chunk_id"), F.zip_with("embedding", apart, lambda x, a: (x + a).cast("float")).alias("embedding"))
+
+
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, sf, "embeddings").withColumnRenamed("vec_id", "chunk_id")

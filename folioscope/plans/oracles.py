@@ -8,9 +8,15 @@ from __future__ import annotations
 from functools import reduce
 
 from ..functions.metadata import DOC_TYPE_KEYWORDS, EXTENSION_MIME
-from ..functions.strings import FOREIGN_BREAK, LINE_ENDS, UPPER, WHITESPACE, WS
-from ..operators.catalog import DEFAULT_RULES
-from ..operators.language import PROFILE_SIZE
+
+# Written out again, so that a wrong constant in the package shows.
+WHITESPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+LINE_ENDS = "\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029"
+UPPER = "A-ZÁÉÍÓÚÀÂÃÊÔÜÇ"
+_CLASS = lambda chars: "".join(f"\\x{{{ord(c):x}}}" for c in chars)
+WS, FOREIGN_BREAK = f"[{_CLASS(WHITESPACE)}]", f"\\r\\n|[{_CLASS(LINE_ENDS[1:])}]"
+_RULES = {"email": r"([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)", "date": r"([0-9]{4}-[0-9]{2}-[0-9]{2})",
+          "amount": r"((?:€|EUR|USD|\$) ?[0-9]+(?:[.,][0-9]+)*)", "url": r"(https?://[^\s\"'<>]+)"}
 
 _STAMP = "TIMESTAMP '2024-01-01 00:00:00'"
 
@@ -54,10 +60,12 @@ _LINES = f"""SELECT doc_id, source, (unnest(range(len(l))))::INTEGER AS pos, unn
   FROM (SELECT doc_id, source, string_split(text, {_NL}) AS l FROM documents)"""
 _LINE_CHUNKS = f"""SELECT doc_id || ':' || pos AS chunk_id, doc_id::VARCHAR AS doc_id, pos AS chunk_index,
     CASE WHEN pos % 2 = 0 THEN source END AS section_heading, line AS chunk_text, {_TOKENS.format('line')} AS token_count FROM ({_LINES})"""
-_MIXED = """SELECT 'mem://' || doc_id AS uri, doc_id::VARCHAR AS filename,
-    CASE doc_id % 4 WHEN 0 THEN 'text/plain' WHEN 1 THEN 'text/markdown' WHEN 2 THEN 'application/json' ELSE 'application/pdf' END AS mime_type,
-    CASE doc_id % 4 WHEN 2 THEN 'text: ' || text WHEN 3 THEN '' ELSE text END AS text,
-    CASE doc_id % 4 WHEN 3 THEN 'unsupported_format' END AS parse_error FROM documents"""
+_MIXED_LINES = f"array_to_string(list_transform(string_split({{0}}, {_NL}), lambda x: {_strip('x')}), {_NL})"
+_MIXED = f"""SELECT 'mem://' || doc_id AS uri, doc_id::VARCHAR AS filename, doc_id,
+    CASE WHEN doc_id % 40 = 39 THEN 'application/pdf' WHEN doc_id % 4 = 0 THEN 'text/plain' WHEN doc_id % 4 = 1 THEN 'text/markdown' WHEN doc_id % 4 = 2 THEN 'application/json' ELSE 'text/html' END AS mime_type,
+    CASE WHEN doc_id % 40 IN (2, 39) THEN '' WHEN doc_id % 4 = 2 THEN 'text: ' || text
+      WHEN doc_id % 4 = 3 THEN {_strip("regexp_replace(" + _MIXED_LINES.format('text') + f", '{chr(92)}n{{3,}}', {_NL} || {_NL}, 'g')")} ELSE text END AS text,
+    CASE WHEN doc_id % 40 = 39 THEN 'unsupported_format' WHEN doc_id % 40 = 2 THEN 'JSONDecodeError: Expecting property name enclosed in double quotes: line 1 column 2 (char 1)' END AS parse_error FROM documents"""
 _PAGE_PATHS = """SELECT page_id, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS ns,
     regexp_replace(regexp_replace('/' || regexp_replace(path, '([0-9])([0-9])([0-9])', '\\1/\\2/\\3', 'g'), '/+', '/', 'g'), '/$', '') AS path
   FROM (SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path FROM pages)"""
@@ -194,15 +202,19 @@ _TYPE_SCORES = f"""SELECT *, CASE WHEN greatest({', '.join(f'{t}_hits' for t in
     SELECT uri, lower(filename || ' ' || substring(text, 1, 4000)) AS s FROM {{0}}))"""
 
 _GRAMS = "list_transform(range(1, length(h) - 1), lambda i: substring(h, i, 3))"
-_LANGUAGE = f"""gram AS (SELECT doc_id, lang, text, unnest({_GRAMS}) AS g FROM (SELECT *, lower(substring(text, 1, 500)) AS h FROM documents)),
-    cnt AS (SELECT lang, g, count(*) AS n FROM gram GROUP BY lang, g),
-    kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, g) AS r FROM cnt) WHERE r <= {PROFILE_SIZE}),
-    tot AS (SELECT lang, sum(n) AS total FROM kept GROUP BY lang),
-    unseen AS (SELECT lang, round(ln(1 / (total + {PROFILE_SIZE})::DOUBLE) * 1000000)::BIGINT AS w FROM tot),
-    weight AS (SELECT k.lang, k.g, round(ln((k.n + 1) / (t.total + {PROFILE_SIZE})::DOUBLE) * 1000000)::BIGINT AS w FROM kept k JOIN tot t USING (lang)),
-    score AS (SELECT d.doc_id, u.lang, sum(coalesce(w.w, u.w)) AS s FROM (SELECT doc_id, g FROM gram WHERE length({_strip('text')}) >= 20) d
-      CROSS JOIN unseen u LEFT JOIN weight w ON w.lang = u.lang AND w.g = d.g GROUP BY d.doc_id, u.lang),
-    found AS (SELECT doc_id, lang AS language FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, lang) AS r FROM score) WHERE r = 1)"""
+def _language(train: str, judged: str, key: str = "doc_id") -> str:
+    """CTEs up to ``found(key, language)``: trained on ``train(lang, text)``, judging ``judged(key, text)``."""
+    heads = lambda t, cols: f"SELECT {cols}, unnest({_GRAMS}) AS g FROM (SELECT *, lower(substring(text, 1, 500)) AS h FROM {t})"
+    return f"""cnt AS (SELECT lang, g, count(*) AS n FROM ({heads(train, 'lang')}) GROUP BY lang, g),
+    tot AS (SELECT lang, sum(n) + (SELECT count(DISTINCT g) FROM cnt) AS total FROM cnt GROUP BY lang),
+    unseen AS (SELECT lang, round(ln(1 / total::DOUBLE) * 1000000)::BIGINT AS w FROM tot),
+    weight AS (SELECT k.lang, k.g, round(ln((k.n + 1) / t.total::DOUBLE) * 1000000)::BIGINT AS w FROM cnt k JOIN tot t USING (lang)),
+    score AS (SELECT d.{key}, u.lang, sum(coalesce(w.w, u.w)) AS s FROM ({heads(f"(SELECT * FROM {judged} WHERE length({_strip('text')}) >= 20)", key)}) d
+      CROSS JOIN unseen u LEFT JOIN weight w ON w.lang = u.lang AND w.g = d.g GROUP BY d.{key}, u.lang),
+    found AS (SELECT {key}, lang AS language FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY s DESC, lang) AS r FROM score) WHERE r = 1)"""
+
+
+_LANGUAGE, _HELD = _language("documents", "documents"), "(SELECT * FROM documents WHERE doc_id % 5 = 0)"
 _LANGUAGE_ROWS = "SELECT d.doc_id, d.lang, coalesce(f.language, 'unknown') AS language FROM documents d LEFT JOIN found f USING (doc_id)"
 
 # Retrieval ----------------------------------------------------------------------------------------
@@ -293,11 +305,12 @@ ORACLES = {
     "doc_type_scores": f"""WITH t AS (SELECT doc_id AS uri, filename, text FROM ({_TYPED}))
         SELECT uri AS doc_id, doc_type, {', '.join(f'{t}_hits' for t in DOC_TYPE_KEYWORDS)} FROM ({_TYPE_SCORES.format('t')})""",
     "language_detection": f"WITH {_LANGUAGE} {_LANGUAGE_ROWS}",
-    "language_accuracy": f"WITH {_LANGUAGE} SELECT lang, count(*) AS n, (count(*) FILTER (WHERE lang = language))::BIGINT AS correct FROM ({_LANGUAGE_ROWS}) GROUP BY lang",
+    "language_accuracy": f"""WITH {_language('(SELECT * FROM documents WHERE doc_id % 5 <> 0)', _HELD)} SELECT lang, count(*) AS n, (count(*) FILTER (WHERE lang = language))::BIGINT AS correct
+        FROM ({_LANGUAGE_ROWS.replace('FROM documents d', f'FROM {_HELD} d')}) GROUP BY lang""",
     "text_measures": f"""SELECT doc_id, length(text)::INTEGER AS char_count, n_chars, {_TOKENS.format('text')} AS token_count,
         sha256('mem://' || doc_id) AS document_key, {_CHUNK_KEY.format('doc_id', '0')} AS first_chunk_key FROM documents""",
-    "parse_stage": f"""WITH m AS ({_MIXED}) SELECT sha256(m.uri) AS doc_id, m.uri, m.filename, m.mime_type, t.doc_type, 'unknown' AS language,
-        length(m.text)::INTEGER AS char_count, {_STAMP} AS ingest_timestamp, m.parse_error FROM m JOIN ({_TYPE_SCORES.format('m')}) t USING (uri)""",
+    "parse_stage": f"""WITH m AS ({_MIXED}), {_language('documents', 'm', 'uri')} SELECT sha256(m.uri) AS doc_id, m.uri, m.filename, m.mime_type, t.doc_type, coalesce(l.language, 'unknown') AS language,
+        length(m.text)::INTEGER AS char_count, {_STAMP} AS ingest_timestamp, m.parse_error FROM m JOIN ({_TYPE_SCORES.format('m')}) t USING (uri) LEFT JOIN found l USING (uri)""",
     "line_headings": f"""SELECT * FROM (SELECT doc_id, pos::INTEGER AS pos, {_heading('line')} AS heading FROM (
         SELECT doc_id, unnest(range(len(l))) AS pos, unnest(l) AS line FROM (SELECT doc_id, string_split(text, {_NL}) AS l FROM ({_SECTIONED})))) WHERE heading IS NOT NULL""",
     "lines": f"""SELECT doc_id, pos, line FROM ({_LINES}) x WHERE NOT (line = '' AND pos = (SELECT max(pos) FROM ({_LINES}) y WHERE y.doc_id = x.doc_id))""",
@@ -321,7 +334,23 @@ ORACLES = {
         f"(length(chunk_text) - length(replace(chunk_text, '{c}', '')))::DOUBLE AS v{i}" for i, c in enumerate(' .e', 1))} FROM ({_LINE_CHUNKS})""",
     "embedding_rejects": f"""SELECT doc_id, CASE WHEN bad THEN 0 ELSE n END AS n_embedded, CASE WHEN bad THEN 'ValueError: digits' ELSE 'ok' END AS reason
         FROM (SELECT doc_id, count(*) AS n, bool_or(regexp_matches(chunk_text, '[0-9]')) AS bad FROM ({_LINE_CHUNKS}) GROUP BY doc_id)""",
-    "hashed_embedding": "SELECT doc_id, CASE WHEN w THEN 256 ELSE NULL END AS dim, CASE WHEN w THEN 1.0::DOUBLE END AS length FROM (SELECT doc_id, regexp_matches(text, '[\\p{L}\\p{N}]') AS w FROM documents)",
+    "hashed_embedding": """SELECT doc_id, CASE WHEN w THEN 256 END AS dim, CASE WHEN w THEN 1.0::DOUBLE END AS length, CASE WHEN w THEN 1.0::DOUBLE END AS backwards,
+        CASE WHEN w THEN 1.0::DOUBLE END AS twice, CASE WHEN w THEN true END AS differs FROM (SELECT doc_id, regexp_matches(text, '[\\p{L}\\p{N}]') AS w FROM documents)""",
+    "question_answering": f"""WITH RECURSIVE {_chunks(_DOCS)}, keyed AS (SELECT {_CHUNK_KEY.format('doc_id', 'chunk_index')} AS chunk_id, doc_id, chunk_text FROM chunks),
+        once AS (SELECT min(chunk_id) AS chunk_id, arg_min(doc_id, chunk_id) AS doc_id, chunk_text FROM keyed GROUP BY chunk_text),
+        item AS (SELECT 'c' AS side, chunk_id AS id, chunk_text AS txt FROM once UNION ALL SELECT 'q', conv_id || ':' || turn, text FROM conversations),
+        word AS (SELECT side, id, unnest(list_filter(string_split(txt, ' '), lambda w: w <> '')) AS w FROM item),
+        part AS (SELECT side, id, (('0x' || substring(md5(w), 1, 4))::INTEGER % 64) AS b, count(*)::DOUBLE AS n FROM word GROUP BY ALL),
+        size AS (SELECT side, id, sqrt(sum(n * n)) AS s FROM part GROUP BY side, id),
+        sim AS (SELECT q.id AS query_id, c.id AS chunk_id, sum(q.n * c.n) AS dot FROM part q JOIN part c ON q.side = 'q' AND c.side = 'c' AND q.b = c.b GROUP BY ALL),
+        every AS (SELECT q.id AS query_id, c.id AS chunk_id, coalesce(dot, 0) / q.s / c.s AS sim FROM size q JOIN size c ON q.side = 'q' AND c.side = 'c' LEFT JOIN sim ON sim.query_id = q.id AND sim.chunk_id = c.id),
+        best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, chunk_id) AS r FROM every)
+        SELECT query_id, r::INTEGER AS rank, chunk_id, o.doc_id, d.source, d.lang, round(sim, 5) AS similarity FROM best JOIN once o USING (chunk_id) JOIN documents d ON d.doc_id = o.doc_id WHERE r <= 3""",
+    "inverted_lists_recall": "SELECT DISTINCT label AS query_id, true AS reached FROM embeddings",
+    "stored_rejects": f"""SELECT uri, 'parse' AS stage, parse_error AS reason FROM ({_MIXED}) WHERE parse_error IS NOT NULL AND doc_id % 80 <> 2
+        UNION ALL SELECT uri, 'chunk', 'no_chunks' FROM ({_MIXED}) WHERE {_strip('text')} = '' AND doc_id % 80 <> 2""",
+    "read_rejects": f"SELECT page_id, 'read' AS stage, CASE WHEN octet_length(encode(text)) <= 3000 THEN 'ok' ELSE 'too_large' END AS reason FROM ({_FILES})",
+    "upsert_ties": f"SELECT doc_id, CASE WHEN char_count % 2 = 0 THEN 'relatorio' ELSE 'proposta' END AS doc_type, language, char_count FROM ({_DOCUMENT_TABLE})",
     "upsert_documents": f"""WITH docs AS ({_DOCUMENT_TABLE}), upd AS (SELECT doc_id, arg_max(new_type, batch_no) AS t FROM ({_update_rows()}) WHERE language <> 'en' GROUP BY doc_id)
         SELECT doc_id, uri, coalesce(t, doc_type) AS doc_type, language, char_count, ingest_timestamp FROM docs LEFT JOIN upd USING (doc_id)""",
     "upsert_chunks_merge": f"SELECT chunk_id, doc_id, chunk_index, section_heading, CASE WHEN chunk_index < 3 THEN 'new ' ELSE '' END || chunk_text AS chunk_text, token_count FROM ({_LINE_CHUNKS})",
@@ -352,11 +381,11 @@ ORACLES = {
     "document_chunks": f"SELECT * FROM ({_LINE_CHUNKS}) WHERE doc_id = '0'",
     "ordered_chunks": f"SELECT doc_id, chunk_index, token_count FROM ({_LINE_CHUNKS}) ORDER BY doc_id, chunk_index",
     "heading_filter": f"SELECT chunk_id, section_heading FROM ({_LINE_CHUNKS}) WHERE section_heading LIKE 'src1%'",
-    "ingestion": f"""WITH RECURSIVE m AS ({_MIXED}), {_chunks('SELECT uri AS doc_id, text FROM m')}
-        SELECT m.uri, m.mime_type, t.doc_type, 'unknown' AS language, length(m.text)::INTEGER AS char_count, c.n_chunks, c.n_tokens
-        FROM m JOIN ({_TYPE_SCORES.format('m')}) t USING (uri)
+    "ingestion": f"""WITH RECURSIVE m AS ({_MIXED}), {_language('documents', 'm', 'uri')}, {_chunks('SELECT uri AS doc_id, text FROM m')}
+        SELECT m.uri, m.mime_type, t.doc_type, coalesce(l.language, 'unknown') AS language, length(m.text)::INTEGER AS char_count, c.n_chunks, c.n_tokens
+        FROM m JOIN ({_TYPE_SCORES.format('m')}) t USING (uri) LEFT JOIN found l USING (uri)
         JOIN (SELECT doc_id AS uri, count(*) AS n_chunks, sum(token_count)::BIGINT AS n_tokens FROM chunks GROUP BY doc_id) c USING (uri)""",
-    "ingestion_rejects": f"""SELECT * FROM (SELECT 'parse' AS stage, 'unsupported_format' AS reason, count(*) AS n FROM ({_MIXED}) WHERE parse_error IS NOT NULL
+    "ingestion_rejects": f"""SELECT * FROM (SELECT 'parse' AS stage, parse_error AS reason, count(*) AS n FROM ({_MIXED}) WHERE parse_error IS NOT NULL GROUP BY parse_error
         UNION ALL SELECT 'chunk', 'no_chunks', count(*) FROM ({_MIXED}) WHERE {_strip('text')} = '') WHERE n > 0""",
     "split_paths": f"SELECT page_id, {_PARENT.format('path')} AS parent, {_NAME.format('path')} AS name FROM ({_PAGE_PATHS})",
     "path_lookup": f"""WITH t AS ({_NODES}), r AS (SELECT page_id, ns, CASE page_id % 4 WHEN 0 THEN '/' || path || '//' WHEN 1 THEN path || '/x'
@@ -385,12 +414,13 @@ ORACLES = {
         FROM tree t LEFT JOIN (SELECT * FROM verdict WHERE outcome = 'ok') v ON v.ns = t.ns AND (t.path = v.source OR starts_with(t.path, v.source || '/'))""",
     "skip_ingested": """SELECT min('mem://' || lpad(doc_id::VARCHAR, 12, '0')) AS uri, sha256(text) AS content_sha256 FROM documents
         WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE source = 'src0') GROUP BY sha256(text)""",
-    "arrival_ingest": f"SELECT page_id, mime_type, doc_type, char_count::INTEGER AS char_count FROM (SELECT page_id AS uri, * FROM ({_FILES})) f JOIN ({_TYPE_SCORES.format('(SELECT page_id AS uri, ' + chr(39) * 2 + ' AS filename, text FROM (' + _FILES + '))')}) t USING (uri)",
+    "arrival_ingest": f"WITH f AS (SELECT page_id AS uri, * FROM ({_FILES})), {_language('documents', 'f', 'uri')} SELECT page_id, mime_type, doc_type, coalesce(language, 'unknown') AS language, char_count::INTEGER AS char_count FROM f LEFT JOIN found USING (uri) JOIN ({_TYPE_SCORES.format('(SELECT page_id AS uri, ' + chr(39) * 2 + ' AS filename, text FROM (' + _FILES + '))')}) t USING (uri)",
     "rerank_lexical": f"""WITH asked AS (SELECT e.label AS query_id, min(d.text) AS query_text FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id GROUP BY e.label),
         near AS (SELECT * FROM ({_KNN}) WHERE r <= 20),
         scored AS (SELECT n.query_id, n.vec_id, n.sim, len(list_intersect({_WORDS.format('d.text')}, {_WORDS.format('a.query_text')}))::INTEGER AS overlap
           FROM near n JOIN documents d ON d.doc_id = n.vec_id JOIN asked a ON a.query_id = n.query_id)
         SELECT query_id, vec_id, overlap, r::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY overlap DESC, sim DESC, vec_id) AS r FROM scored) WHERE r <= 5""",
     "extra_metadata": "SELECT doc_id, " + ", ".join(
-        f"nullif(regexp_extract(text, {_q(p)}, 1), '') AS first_{n}" for n, p in DEFAULT_RULES.items()) + " FROM documents",
+        f"CASE WHEN len(m_{n}) > 0 THEN array_to_string(m_{n}, ' ; ') END AS all_{n}" for n in _RULES) + " FROM (SELECT doc_id, " + ", ".join(
+        f"list_transform(list_filter(list_zip(m, range(len(m))), lambda z: list_position(m, z[1]) = z[2] + 1), lambda z: z[1]) AS m_{n}".replace("m,", f"regexp_extract_all(text, {_q(p)}, 1),").replace("(m)", f"(regexp_extract_all(text, {_q(p)}, 1))") for n, p in _RULES.items()) + " FROM documents)",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,19 +36,28 @@ def build_session(app: str = "folioscope", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster such a folder
-    is not visible to the other machines.
+    Only a session in one process may fall back to a temporary folder: executors of their own would not see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by driver and executors")
     root = tempfile.mkdtemp(prefix="folioscope-")
     spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
+def _stages(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/stages-{spark.sparkContext.applicationId}"
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Remove what ``staged`` wrote in this session. Results that still read from it are lost, so call it at the end."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stages(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
@@ -55,6 +65,6 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     the result survives the loss of executors.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_stages(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

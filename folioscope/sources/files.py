@@ -10,13 +10,13 @@ from pyspark.sql import types as T
 
 from ..functions.metadata import EXTENSION_MIME, detect_mime
 from ..functions.strings import basename, extension
+from ..session import staged
 
 # What the binary file source delivers; declared, as a stream has to be told.
 BINARY_FILE = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
     T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType()),
 ])
-MAX_BYTES = 64 << 20
 
 
 def _any_case(suffix: str) -> str:
@@ -41,7 +41,14 @@ def _files(spark: SparkSession, prefix: str) -> DataFrame:
     reader = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
               .option("pathGlobFilter", SUPPORTED_GLOB).option("ignoreMissingFiles", "true")
               .option("ignoreCorruptFiles", "true"))
-    found = reader.load(escaped + ("*" if start else ""))
+    pattern = escaped + ("*" if start else "")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    matched = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    # A prefix that matches nothing is an empty listing, as object stores have it.
+    if not matched:
+        return spark.createDataFrame([], BINARY_FILE)
+    found = reader.load(pattern)
     return found.where(extension(F.col("path")).isin(*EXTENSION_MIME))
 
 
@@ -60,16 +67,41 @@ def to_raw(files: DataFrame, hint: Column | None = None) -> DataFrame:
                         detect_mime(name, hint).alias("mime_type"), "content")
 
 
-def read_documents(spark: SparkSession, prefix: str, hint: Column | None = None,
-                   max_bytes: int = MAX_BYTES, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(raw documents, rejects). A file that cannot be read is skipped, one over ``max_bytes`` is rejected by its listing.
+def listing(spark: SparkSession, prefix: str) -> DataFrame:
+    """uri and length of every supported file, written once, so that what is lost later is known."""
+    return staged(_files(spark, prefix).select(F.col("path").alias("uri"), "length"), "listing")
+
+
+def too_large(listed: DataFrame, max_bytes: int | None) -> DataFrame:
+    """Rejects by the listing alone; without a limit there are none."""
+    over = F.lit(False) if max_bytes is None else F.col("length") > max_bytes
+    return listed.where(over).select("uri", F.lit("read").alias("stage"), F.lit("too_large").alias("reason"))
+
+
+def unreadable(listed: DataFrame, seen: DataFrame, max_bytes: int | None) -> DataFrame:
+    """Rejects for listed files that are not among the rows ``seen`` that came out of reading."""
+    within = listed if max_bytes is None else listed.where(F.col("length") <= max_bytes)
+    return within.join(seen.select("uri"), "uri", "left_anti").select("uri", F.lit("read").alias("stage"), F.lit("unreadable").alias("reason"))
+
+
+def read_contents(spark: SparkSession, prefix: str, hint: Column | None = None, max_bytes: int | None = None,
+                  partitions: int | None = None) -> DataFrame:
+    """Raw documents of all files that can be read. Only with ``max_bytes`` are larger files left out, before they are read.
 
     The scan packs files into tasks by size; ``partitions`` spreads a short list of slow files further.
     """
     files = _files(spark, prefix)
-    small = files.where(F.col("length") <= max_bytes)
+    small = files if max_bytes is None else files.where(F.col("length") <= max_bytes)
     if partitions:
         small = small.repartition(partitions)
-    rejects = files.where(F.col("length") > max_bytes).select(
-        F.col("path").alias("uri"), F.lit("read").alias("stage"), F.lit("too_large").alias("reason"))
-    return to_raw(small, hint), rejects
+    return to_raw(small.where(F.col("content").isNotNull()), hint)
+
+
+def read_documents(spark: SparkSession, prefix: str, hint: Column | None = None, max_bytes: int | None = None,
+                   partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(raw documents, rejects). Every file listed now is in one of them, however reading it goes.
+
+    Evaluating the rejects reads the contents again; ``ingest_files`` compares the listing to its parsed table instead.
+    """
+    listed, raw = listing(spark, prefix), read_contents(spark, prefix, hint, max_bytes, partitions)
+    return raw, unreadable(listed, raw, max_bytes).unionByName(too_large(listed, max_bytes))

@@ -6,15 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def read_table(spark: SparkSession, folder: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """One table of a folder of Parquet tables, spread over the cores if its files make fewer tasks.
-
-    A large table already comes in more splits than there are cores, and then nothing is shuffled.
-    """
+    """One table of a folder of Parquet tables, in the splits of its files."""
     table = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-    if columns:
-        table = table.select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    # A file of one row group is one task, however many splits it is cut into.
-    if len(table.inputFiles()) >= cores:
-        return table
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    return table.select(*columns) if columns else table

@@ -24,11 +24,11 @@ def ingest_arrivals(spark: SparkSession, folder: str, root: str, checkpoint: str
     """Ingest all files that arrived since the last run, then stop.
 
     The checkpoint remembers the files. A batch that is repeated after a failure replaces the
-    same ids, so it leaves the same tables. Each batch publishes a version; choose ``max_files``
-    large enough that a version is worth writing.
+    same ids, so it leaves the same tables. Each batch rewrites the buckets it touches and appends its
+    rejects; choose ``max_files`` large enough that a version is worth writing.
     """
     def batch(files: DataFrame, _batch_id: int) -> None:
-        big = F.col("length") > settings.max_bytes
+        big = F.lit(False) if settings.max_bytes is None else F.col("length") > settings.max_bytes
         rejects = files.where(big).select(F.col("path").alias("uri"), F.lit("read").alias("stage"),
                                           F.lit("too_large").alias("reason"))
         store(ingest(to_raw(files.where(~big)), settings, rejects), root)

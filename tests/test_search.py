@@ -50,16 +50,15 @@ def found(df):
 @pytest.mark.parametrize("k", [1, 7, 60, 1000])
 def test_batch_is_exact_on_both_ways(vectors, queries, data, k):
     assert found(search.batch_top_k(vectors, queries, k)) == expected(data, k)
-    assert found(search.batch_top_k(vectors, queries, k, broadcast_bytes=0)) == expected(data, k)
+    assert found(search.batch_top_k(vectors, queries, k, block_bytes=100)) == expected(data, k)
 
 
-def test_shuffled_way_cuts_cells(vectors, queries, data, monkeypatch):
-    monkeypatch.setattr(search, "CELL_ROWS", 50)
-    monkeypatch.setattr(search, "QUERY_BLOCK", 3)
-    assert found(search.batch_top_k(vectors, queries, 9, broadcast_bytes=0)) == expected(data, 9)
+def test_rows_are_scored_in_tiles(vectors, queries, data, monkeypatch):
+    monkeypatch.setattr(search, "TILE_BYTES", 100)
+    assert found(search.batch_top_k(vectors, queries, 9, block_bytes=100)) == expected(data, 9)
 
 
-def test_all_lists_are_exact_and_few_lists_nearly(spark, vectors, queries, data, monkeypatch, tmp_path):
+def test_all_lists_are_exact_and_few_lists_nearly(spark, vectors, queries, data, tmp_path):
     good = vectors.where(F.size("embedding") == DIM)
     indexed, centroids = search.build_lists(good, lists=6)
     search.write_lists(indexed, str(tmp_path / "lists"))
@@ -67,9 +66,7 @@ def test_all_lists_are_exact_and_few_lists_nearly(spark, vectors, queries, data,
     assert stored.count() == 399
     real = queries.where("query_id < 90")
     assert found(search.approximate_top_k(stored, centroids, real, 9, probes=6)) == expected(data, 9)
-    monkeypatch.setattr(search, "CELL_ROWS", 20)
-    monkeypatch.setattr(search, "QUERY_BLOCK", 2)
-    assert found(search.approximate_top_k(stored, centroids, real, 9, probes=6, broadcast_bytes=0)) == expected(data, 9)
+    assert found(search.approximate_top_k(stored, centroids, real, 9, probes=6, block_bytes=100)) == expected(data, 9)
     exact = search.batch_top_k(good, real, 10)
     some = search.recall(search.approximate_top_k(stored, centroids, real, 10, probes=3), exact).agg(F.avg("recall")).first()[0]
     assert 0.5 < some < 1.0

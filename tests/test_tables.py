@@ -115,3 +115,38 @@ def test_metadata_rules(spark):
     df = spark.createDataFrame([("Mail a@b.pt or c@d.com, a@b.pt. Due 2024-02-03: € 1.250,00", ), ("none",)], "text string")
     out = catalog.extract_metadata(df).select(F.to_json("extra_metadata").alias("m")).collect()
     assert [r.m for r in out] == ['{"amount":["€ 1.250,00"],"date":["2024-02-03"],"email":["a@b.pt","c@d.com"]}', "{}"]
+
+
+def test_an_update_keeps_all_other_buckets(spark, tmp_path):
+    root = str(tmp_path / "t")
+    names = [f"d{i}" for i in range(200)]
+    d, c = docs(spark, [(n, "cv", "en") for n in names]), chunks(spark, [(f"{n}:0", n, 0, "x") for n in names])
+    tables.publish(d, c, root)
+    before = tables.read_manifest(spark, root)
+    new = docs(spark, [("d7", "x", "pt")]).cache()
+    tables.update(root, new, chunks(spark, [("d7:0", "d7", 0, "y")]).cache())
+    after = tables.read_manifest(spark, root)
+    assert len(before["documents"]) > 40
+    for table in ("documents", "chunks"):
+        changed = [b for b in after[table] if after[table][b] != before[table].get(b)]
+        assert len(changed) == 1 and set(after[table]) == set(before[table])
+    got_d, got_c = tables.read_tables(spark, root)
+    assert got_d.count() == 200 and ids(got_d.where("doc_id = 'd7'"), "doc_type") == [("x",)]
+    assert got_c.count() == 200 and [r.chunk_text for r in got_c.where("chunk_id = 'd7:0'").collect()] == ["y"]
+    assert tables.expire_versions(spark, root, keep=1) == 2
+    got_d, got_c = tables.read_tables(spark, root)
+    assert got_d.count() == 200 and got_c.count() == 200
+
+
+def test_null_and_equal_orders(spark):
+    target = spark.createDataFrame([("a", "x", 0)], "doc_id string, v string, o int")
+    updates = spark.createDataFrame([("a", "y", 1), ("a", "z", None), ("b", "p", None), ("b", "q", None)], "doc_id string, v string, o int")
+    out = {r.doc_id: r.v for r in tables.upsert_documents(target, updates, "o").collect()}
+    assert out["a"] == "y" and out["b"] in ("p", "q")
+    assert {r.doc_id: r.v for r in tables.upsert_documents(target, updates.coalesce(1).orderBy("doc_id", "v").coalesce(1)).collect()} == {"a": "z", "b": "q"}
+
+
+def test_no_exchange_carries_contents(spark):
+    raw = spark.createDataFrame([("b", b"1"), ("a", b"1"), ("c", b"2")], "uri string, content binary")
+    plan = catalog.new_contents(raw)._jdf.queryExecution().executedPlan().toString()
+    assert "content#" not in plan and ids(catalog.new_contents(raw), "uri") == [("a",), ("c",)]

@@ -172,4 +172,28 @@ def test_chunk_parameters_are_checked(spark):
 def test_chunking_does_not_shuffle(spark):
     df = spark.range(10).selectExpr("id AS doc_id", "'x' AS text")
     plan = chunking.chunk_documents(df)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Python" not in plan
+    # Only token counts and group numbers visit Python, once per packing.
+    assert "Exchange" not in plan and plan.count("ArrowEvalPython [") == 2
+
+
+def test_chunking_is_linear_in_the_document(spark):
+    import time
+
+    def seconds(n):
+        text = " ".join(f"Sentence number {i} says so." for i in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        assert chunking.chunk_documents(df, 60, 20).count() > n // 12
+        return time.perf_counter() - start
+
+    seconds(1000)
+    short, long = seconds(16_000), seconds(64_000)
+    assert long < 8 * short + 2 and long < 20
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<head><title>t</title><meta x><body><p>a</p>", "a"), ("<head><title>t</title><p>a", "a"), ("<p>a</p><script>var x = 1 < 2;", "a"),
+    ("a<!-- open <b>b</b>", "a"), ("a<style>p {}", "a"), ("<HEAD><TITLE>t</TITLE></HEAD><P>a", "a")])
+def test_unclosed_elements(spark, html, text):
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(markup.html_text(F.col("html"))).first()[0] == text
