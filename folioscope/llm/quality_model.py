@@ -112,6 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "do
     own = own.groupBy("k").agg(F.min("y").alias("y"), F.max("y").alias("y2")).where("y = y2").where(~held_out("k")).select("k", "y")
     chosen = own.orderBy(F.xxhash64("k"), "k").limit(sample)
     rows = docs.select(F.col(key).cast("string").alias("k"), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), "k")
+    rows = rows.groupBy("k", "y").agg(F.min("text").alias("text"))  # one text for a key, however often it is there
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import minhash, mixing, packing, pii, quality_model, quality_rules, simhash, substring_dedup, token_counts, token_store
 from .encoding import public_path
+from .oracles import ORACLES  # noqa: F401  the queries DuckDB can compute too; tests/llm holds the others against plain versions
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,6 +61,3 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_token_counts, op3_fingerprints, op4_quality_model, op5_quality_rules, op6_mixing,
                                    op7_token_store, op8_substring_dedup, op9_packing, op10_simhash)}
-
-# What DuckDB can compute too; the others are held against plain versions in tests/llm.
-ORACLES: dict[str, str] = {}

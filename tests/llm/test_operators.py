@@ -1,5 +1,6 @@
 """Every operator against a plain version, over a table of odd texts and over whole tables."""
 
+import functools
 import random
 from collections import Counter
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from folioscope.llm import minhash, mixing, packing, pii, quality_model, quality_rules, simhash, substring_dedup, token_counts, token_store
 from folioscope.llm.components import components
 from folioscope.llm.encoding import Encoder, public_path, split_safely
+from folioscope.llm.oracles import ORACLES
 from folioscope.llm.queries import QUERIES
 
 from .conftest import SCHEMA, SF, odd_texts, rows_of
@@ -53,10 +55,15 @@ def test_long_texts_are_cut_where_white_space_begins():
     assert list(split_safely("x" * 500, 100)) == ["x" * 500]
 
 
-def _ids(name, text):
+@functools.cache
+def _tokenizer(name):
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(public_path(name)).encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(public_path(name))
+
+
+def _ids(name, text):
+    return _tokenizer(name).encode(text or "", add_special_tokens=False).ids
 
 
 def test_token_counts(table):
@@ -393,3 +400,55 @@ def test_queries_cover_their_table(spark):
     for name, query in QUERIES.items():
         rows = query(spark, SF).collect()
         assert len({r["doc_id"] for r in rows}) == n, name
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_sql_agrees(spark, name):
+    import duckdb
+
+    duck = duckdb.connect()
+    for sf in (SF, "/root/testdata/sf0.01"):
+        duck.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+        frame = duck.execute(ORACLES[name])
+        columns = [c[0] for c in frame.description]
+        assert bag(QUERIES[name](spark, sf).select(*columns).collect()) == bag(frame.fetchall())
+
+
+# The pipeline -------------------------------------------------------------------------------------
+
+def test_pipeline_equals_its_plain_version(spark):
+    import corpus_pipeline
+
+    docs, sf = spark.read.parquet(f"{SF}/documents.parquet"), SF
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["quality_rules", "near_dedup", "pii", "mixing", "packing"]
+    # Quality: the verdicts of the operator, which are held against SQL; all columns unchanged.
+    kept = stages["quality_rules"](spark, docs, sf)
+    verdict = {r["doc_id"] for r in quality_rules.judge(docs, ["doc_id"]).where("kept").collect()}
+    rows = [tuple(r) for r in kept.collect()]
+    assert bag(rows) == bag(r for r in map(tuple, docs.collect()) if r[0] in verdict)
+    # Near duplicates: the smallest key of every component.
+    prints = [(r[0], brute.fingerprint(r[1])) for r in rows]
+    least = {c for c in brute.components(prints)}
+    single = stages["near_dedup"](spark, kept, sf)
+    rows = [r for r in rows if r[0] in least]
+    assert bag(map(tuple, single.collect())) == bag(rows)
+    # Personal data.
+    clean = stages["pii"](spark, single, sf)
+    rows = [(r[0], t, r[2], r[3], len(t)) for r in rows for t in [pii.redact(r[1], pii.find_spans(r[1]))]]
+    assert bag(map(tuple, clean.collect())) == bag(rows)
+    assert not any(sum(brute.base_pii(r[1])[0]) for r in rows)
+    # Mixing: sources come near their targets and no document is taken more than three times.
+    mixed = [tuple(r) for r in stages["mixing"](spark, clean, sf).collect()]
+    sizes, taken, size = Counter(), Counter(), {r[0]: len(brute.words(r[1])) for r in rows}
+    for r in rows:
+        sizes[r[3]] += size[r[0]]
+    for r in mixed:
+        taken[r[3]] += size[r[0]]
+    want = brute.targets(dict(sizes))
+    longest = {s: max(size[r[0]] for r in rows if r[3] == s) for s in sizes}
+    assert all(abs(taken[s] - want[s]) <= longest[s] for s in sizes) and max(bag(mixed).values()) <= 3 and set(mixed) <= set(rows)
+    # Packing: every piece of every taken document once.
+    packed = corpus_pipeline.run(spark, sf).select("doc_id", "piece", "start", "length", "ids_crc32").collect()
+    pieces = [(r[0], p, lo, len(ids[lo:lo + 2048]), brute.crc(ids[lo:lo + 2048])) for r in mixed for ids in [_ids("word_bpe_49k.json", r[1]) + [0]] for p, lo in enumerate(range(0, len(ids), 2048))]
+    assert bag(packed) == bag(pieces)
