@@ -1,4 +1,4 @@
-"""What several operators of this subpackage share: ordered blocks, distributed ranks, per-process objects."""
+"""What several operators of this subpackage share: words, distributed ranks, per-process objects."""
 
 from __future__ import annotations
 
@@ -74,25 +74,3 @@ def ranked(df: DataFrame, keys: list[str], order: Column, tie: list[str], rank:
     for s in same[1:]:
         condition = condition & s
     return numbered.join(shifts, condition).select(*df.columns, (F.col("_below") + F.col("_inner")).alias(rank))
-
-
-def block_bounds(df: DataFrame, key: str, blocks: int) -> list:
-    """At most ``blocks - 1`` ascending cut points that part the rows into blocks of about equal size."""
-    if blocks < 2:
-        return []
-    cuts = [i / blocks for i in range(1, blocks)]
-    found = df.agg(F.percentile_approx(key, F.array(*map(F.lit, cuts)), 10 * blocks).alias("c")).first()["c"]
-    return sorted({c for c in found or [] if c is not None})
-
-
-def block_of(key: Column, bounds: list) -> Column:
-    """Number of the block a key falls in; NULL keys fall in block 0."""
-    if not bounds:
-        return F.lit(0)
-    # Counting the cut points at or below the key, by halves.
-    def pick(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < F.lit(bounds[mid]), pick(lo, mid)).otherwise(pick(mid + 1, hi))
-    return F.when(key.isNull(), F.lit(0)).otherwise(pick(0, len(bounds)))
