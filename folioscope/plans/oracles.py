@@ -332,6 +332,8 @@ ORACLES = {
     "documents_without_chunks": f"SELECT doc_id, CASE WHEN doc_id % 7 = 0 OR {_strip('text')} = '' THEN 'no_chunks' ELSE 'kept' END AS status FROM documents",
     "embedded_lines": f"""SELECT chunk_id, 4 AS dim, length(chunk_text)::DOUBLE AS v0, {', '.join(
         f"(length(chunk_text) - length(replace(chunk_text, '{c}', '')))::DOUBLE AS v{i}" for i, c in enumerate(' .e', 1))} FROM ({_LINE_CHUNKS})""",
+    "embedding_retries": f"""SELECT chunk_id, 4 AS dim, length(chunk_text)::DOUBLE AS v0, {', '.join(
+        f"(length(chunk_text) - length(replace(chunk_text, '{c}', '')))::DOUBLE AS v{i}" for i, c in enumerate(' .e', 1))}, true AS good FROM ({_LINE_CHUNKS})""",
     "embedding_rejects": f"""SELECT doc_id, CASE WHEN bad THEN 0 ELSE n END AS n_embedded, CASE WHEN bad THEN 'ValueError: digits' ELSE 'ok' END AS reason
         FROM (SELECT doc_id, count(*) AS n, bool_or(regexp_matches(chunk_text, '[0-9]')) AS bad FROM ({_LINE_CHUNKS}) GROUP BY doc_id)""",
     "hashed_embedding": """SELECT doc_id, CASE WHEN w THEN 256 END AS dim, CASE WHEN w THEN 1.0::DOUBLE END AS length, CASE WHEN w THEN 1.0::DOUBLE END AS backwards,

@@ -214,6 +214,24 @@ def embedded_lines(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("chunk_id", F.size("embedding").alias("dim"), *parts)
 
 
+_TRIED: set = set()
+
+
+def _busy_at_first(texts):
+    """Fails the first time a task asks for a batch of texts."""
+    if tuple(texts) not in _TRIED:
+        _TRIED.add(tuple(texts))
+        raise RuntimeError("busy")
+    return _letter_counts(texts)
+
+
+def embedding_retries(spark: SparkSession, sf: str) -> DataFrame:
+    chunks = inputs.line_chunks(spark, sf).select("chunk_id", "doc_id", "chunk_text")
+    out = embedding.embed_chunks(chunks, _busy_at_first, dim=4, attempts=2, wait_min=0.0, wait_max=0.0)
+    parts = [F.col("embedding")[i].cast("double").alias(f"v{i}") for i in range(4)]
+    return out.select("chunk_id", F.size("embedding").alias("dim"), *parts, F.col("embed_error").isNull().alias("good"))
+
+
 def embedding_rejects(spark: SparkSession, sf: str) -> DataFrame:
     chunks = inputs.line_chunks(spark, sf).select("chunk_id", "doc_id", "chunk_text")
     done = staged(embedding.embed_chunks(chunks, _fails_on_digits, dim=4, attempts=1), "embedded")
@@ -313,7 +331,7 @@ def column_defaults(spark: SparkSession, sf: str) -> DataFrame:
 def published_tables(spark: SparkSession, sf: str) -> DataFrame:
     root = f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
     docs, chunks = inputs.document_table(spark, sf), inputs.line_chunks(spark, sf)
-    tables.publish(docs.where("doc_type = 'cv'"), chunks, root)
+    tables.publish(docs.where("doc_type = 'cv'"), chunks, root, buckets=8)
     _, old_chunks = tables.read_tables(spark, root)
     tables.update(root, staged(tables.document_rows(docs), "documents"), old_chunks.limit(0))
     docs, chunks = tables.read_tables(spark, root)
@@ -324,7 +342,7 @@ def stored_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """Rejects of an ingestion whose failed documents come once more, half of them mended."""
     root = f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
     raw = inputs.mixed_raw(spark, sf)
-    store(ingest(raw, Settings(embedding_dim=64)), root)
+    store(ingest(raw, Settings(embedding_dim=64)), root, 4)
     again = raw.where("filename % 40 = 2").withColumn("content", F.when(F.col("filename") % 80 == 2, F.lit('{"a": 1}').cast("binary")).otherwise(F.col("content")))
     store(ingest(again, Settings(embedding_dim=64)), root)
     return tables.read_rejects(spark, root)
@@ -416,12 +434,19 @@ def inverted_lists_recall(spark: SparkSession, sf: str) -> DataFrame:
     return search.recall(found, search.batch_top_k(vectors, queries, 10)).select("query_id", (F.col("recall") >= 0.9).alias("reached"))
 
 
+def _stored_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The document table, published and read back."""
+    root = f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+    tables.publish(inputs.document_table(spark, sf), inputs.line_chunks(spark, sf).where("chunk_index = 0"), root, buckets=4)
+    return tables.read_tables(spark, root)[0]
+
+
 def uri_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.by_uri(inputs.document_table(spark, sf), "mem://src7/7.txt").select("uri", *NARROW)
+    return catalog.by_uri(_stored_documents(spark, sf), "mem://src7/7.txt").select("uri", *NARROW)
 
 
 def type_language_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.by_type_language(inputs.document_table(spark, sf), "contrato", "de").select(*NARROW)
+    return catalog.by_type_language(_stored_documents(spark, sf), "contrato", "de").select(*NARROW)
 
 
 def json_containment(spark: SparkSession, sf: str) -> DataFrame:
@@ -564,7 +589,7 @@ def arrival_ingest(spark: SparkSession, sf: str) -> DataFrame:
     base = f"{shared_dir(spark)}/arrivals-{uuid.uuid4().hex}"
     folder = inputs.page_files(spark, sf)
     settings = Settings(embedding_dim=64, profiles=_profiles(spark, sf))
-    ingest_arrivals(spark, folder, f"{base}/tables", f"{base}/progress", settings).awaitTermination()
+    ingest_arrivals(spark, folder, f"{base}/tables", f"{base}/progress", settings, buckets=4).awaitTermination()
     documents, _ = tables.read_tables(spark, f"{base}/tables")
     return documents.select(inputs.page_number(F.col("uri")).alias("page_id"), "mime_type", "doc_type", "language", "char_count")
 
@@ -593,7 +618,7 @@ QUERIES = {f.__name__: f for f in (
     doc_type_scores, language_detection, language_accuracy, text_measures, parse_stage, line_headings,
     lines, line_counts, sections, turn_sections, paragraphs, sentences, packed_paragraphs, resplit_paragraphs,
     packed_sentences, chunk_documents, chunk_sectioned, chunk_small, chunk_pages, documents_without_chunks,
-    embedded_lines, embedding_rejects, hashed_embedding, question_answering,
+    embedded_lines, embedding_retries, embedding_rejects, hashed_embedding, question_answering,
     upsert_documents, upsert_chunks_merge, upsert_chunks_replace, cascade_delete, constraint_violations,
     column_defaults, published_tables, stored_rejects, read_rejects, upsert_ties,
     cosine_top_k, cosine_top_k_referenced, filtered_top_k, batch_top_k, batch_top_k_shuffled, inverted_lists_all, inverted_lists_shuffled,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.tables import BUCKETS
 from ..plans.ingest import Settings, ingest, store
 from ..sources.files import BINARY_FILE, SUPPORTED_GLOB, to_raw
 
@@ -20,7 +21,7 @@ def arriving_documents(spark: SparkSession, folder: str, max_files: int | None =
 
 
 def ingest_arrivals(spark: SparkSession, folder: str, root: str, checkpoint: str,
-                    settings: Settings = Settings(), max_files: int | None = None) -> StreamingQuery:
+                    settings: Settings = Settings(), max_files: int | None = None, buckets: int = BUCKETS) -> StreamingQuery:
     """Ingest all files that arrived since the last run, then stop.
 
     The checkpoint remembers the files. A batch that is repeated after a failure replaces the
@@ -31,7 +32,7 @@ def ingest_arrivals(spark: SparkSession, folder: str, root: str, checkpoint: str
         big = F.lit(False) if settings.max_bytes is None else F.col("length") > settings.max_bytes
         rejects = files.where(big).select(F.col("path").alias("uri"), F.lit("read").alias("stage"),
                                           F.lit("too_large").alias("reason"))
-        store(ingest(to_raw(files.where(~big)), settings, rejects), root)
+        store(ingest(to_raw(files.where(~big)), settings, rejects), root, buckets)
 
     return (arriving_documents(spark, folder, max_files).writeStream.foreachBatch(batch)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
