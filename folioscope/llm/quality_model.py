@@ -84,11 +84,8 @@ def train(counted: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCH
         order = rng.permutation(len(counted))
         for lo in range(0, len(order), BATCH):
             part = [counted[i] for i in order[lo:lo + BATCH]]
-            ids, n = np.concatenate([p[0] for p in part]), [len(p[0]) for p in part]
-            share = np.concatenate([p[1] / max(p[1].sum(), 1) for p in part]).astype(np.float32)
-            owner = np.repeat(np.arange(len(part)), n)
-            mean = np.zeros((len(part), DIM), np.float32)
-            np.add.at(mean, owner, vectors[ids] * share[:, None]) if len(ids) else None
+            share = [(n / max(n.sum(), 1)).astype(np.float32) for _, n, _ in part]
+            mean = np.stack([w @ vectors[ids] for w, (ids, _, _) in zip(share, part)])
             z = mean @ output + bias
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
@@ -96,8 +93,9 @@ def train(counted: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCH
             back = p @ output.T
             output -= rate * mean.T @ p / len(part)
             bias -= rate * p.mean(axis=0)
-            # A feature's step isn't divided by the batch: most occur in few of its texts.
-            np.subtract.at(vectors, ids, (rate * 20 * share)[:, None] * back[owner])
+            # A text names a feature once. Its step isn't divided by the batch: most features occur in few of its texts.
+            for w, (ids, _, _), b in zip(share, part, back):
+                vectors[ids] -= (rate * 20 * w)[:, None] * b
     return Model((vectors @ (output[:, 1] - output[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
