@@ -33,7 +33,7 @@ def op4_quality_model(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
-    judged = quality_rules.judge(_documents(spark, sf), ["doc_id"])
+    judged = quality_rules.judge(_documents(spark, sf), ["doc_id"], as_sql=True)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

@@ -145,6 +145,20 @@ def test_quality_model_takes_odd_texts(spark, odd, none):
     assert quality_model.score(none, quality_model.fit(none, labels)).collect() == []
 
 
+
+def _letters(rnd, n):
+    return ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(2, 9))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("share", [25, 33, 40])
+def test_groups_with_much_junk(spark, share):
+    rnd = random.Random(share)
+    clean = [(i, " ".join(_letters(rnd, rnd.randrange(30, 200)))) for i in range(300 - 3 * share)]
+    junk = [(1000 + i, " ".join(w + "$$$" for w in _letters(rnd, 60))) for i in range(3 * share)]
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.judge(spark.createDataFrame(rows_of(clean + junk), SCHEMA), ["doc_id"]).collect()}
+    assert all(got[i] for i, _ in clean) and not any(got[i] for i, _ in junk)
+
+
 # Near duplicates ----------------------------------------------------------------------------------
 
 def test_simhash(table):
