@@ -150,6 +150,14 @@ def _letters(rnd, n):
     return ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(2, 9))) for _ in range(n)]
 
 
+def test_tables_of_words_are_rejected(spark):
+    rnd = random.Random(2)
+    clean = [(i, " ".join(_letters(rnd, rnd.randrange(30, 200)))) for i in range(300)]
+    junk = [(1000 + i, "\n".join(" | ".join(_letters(rnd, 3)) for _ in range(30))) for i in range(30)]
+    got = {r["doc_id"]: (r["kept"], r["distance"]) for r in quality_rules.judge(spark.createDataFrame(rows_of(clean + junk), SCHEMA), ["doc_id"]).collect()}
+    assert all(got[i][0] for i, _ in clean) and not any(got[i][0] for i, _ in junk)
+
+
 @pytest.mark.parametrize("share", [25, 33, 40])
 def test_groups_with_much_junk(spark, share):
     rnd = random.Random(share)
