@@ -157,13 +157,14 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text")
     return both.withColumns(text_of).withColumnRenamed("key", key)
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key, class_id (the smallest key reachable over links) and n_links (links of its text to other texts).
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text", with_hash: bool = False) -> DataFrame:
+    """Per row: key, class_id (the smallest key reachable over links) and n_links (links found from its text to others).
 
     Texts are taken once, whatever the number of their copies. Signature bands meet in a shuffle; distinct pairs of
     different texts are verified by the Jaccard similarity of their sets of shingle hashes. Within a band of many texts
-    each is compared to the smallest one; those it doesn't verify go on to another round among themselves, so that no
-    round compares all pairs. Texts without words are one class. Links not found as rounds skip them only lower n_links.
+    each is compared to the smallest one; those it doesn't verify go on to another round, while rounds halve them. What these
+    rounds leave in different classes is then compared pair by pair wherever it meets in a band, so that classes are those
+    of all pairs; links within a class that no round asked for are not counted. Texts without words are one class.
     """
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -185,23 +186,40 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "d
                 yield pa.RecordBatch.from_arrays([batch.column(2).slice(lo, hi - lo), pa.array(band.view(np.int64).tolist(), pa.list_(pa.int64())), pa.array(sets, pa.list_(pa.int64()))], names=["t", "bands", "s"])
 
     once = staged(rows.groupBy("t").agg(F.min("text").alias("text")).select(F.lit(None).cast(kind).alias("key"), "text", "t").mapInArrow(run, "t long, bands array<long>, s array<long>"), "signatures")
-    met = once.select("t", F.posexplode("bands").alias("no", "band")).withColumn("round", F.lit(0))
-    sets, links, alone = once.select("t", "s"), None, None
+    every = once.select("t", F.size("s").alias("n"), F.posexplode("bands").alias("no", "band"))
+    met, sets, links, seen = every.select("t", "no", "band"), once.select("t", "s"), None, None
+    left = None
+
+    def judge(pairs: DataFrame) -> DataFrame:
+        sides = pairs.join(sets.select(F.col("t").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("t").alias("b"), F.col("s").alias("sb")), "b")
+        common = F.size(F.array_intersect("sa", "sb"))
+        return staged(sides.select("a", "b", (common >= threshold * (F.size("sa") + F.size("sb") - common)).alias("good")), "judged")
+
     while True:
         least = met.groupBy("no", "band").agg(F.min("t").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
         pairs = met.join(least, ["no", "band"]).where("t <> a").select("no", "band", "a", F.col("t").alias("b"))
         asked = staged(pairs, "candidates")
-        sides = asked.select("a", "b").distinct().join(sets.select(F.col("t").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("t").alias("b"), F.col("s").alias("sb")), "b")
-        common = F.size(F.array_intersect("sa", "sb"))
-        judged = staged(sides.select("a", "b", (common >= threshold * (F.size("sa") + F.size("sb") - common)).alias("good")), "judged")
+        judged = judge(asked.select("a", "b").distinct())
+        seen = judged if seen is None else seen.unionByName(judged)
         good = judged.where("good").select("a", "b")
         links = good if links is None else links.unionByName(good)
         met = staged(asked.join(judged.where("NOT good"), ["a", "b"]).select("no", "band", F.col("b").alias("t")), "unlinked")
-        if met.isEmpty():
+        before, left = left, met.count()
+        if not left or (before is not None and 2 * left > before):
             break
     links = staged(links.distinct(), "links")
+    # Pairs in different classes that meet in a band and were not compared, of sizes that can be alike enough.
+    roots = components(links).select(F.col("node").alias("t"), "root")
+    apart = every.join(roots, "t", "left").withColumn("root", F.coalesce("root", "t"))
+    mixed_bands = apart.groupBy("no", "band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("no", "band")
+    apart = staged(apart.join(mixed_bands, ["no", "band"]), "apart")
+    sides = [apart.select("no", "band", *[F.col(c).alias(f"{c}_{x}") for c in ("t", "n", "root")]) for x in "ab"]
+    unlike = sides[0].join(sides[1], ["no", "band"]).where("t_a < t_b AND root_a <> root_b").where(F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
+    unseen = unlike.select(F.col("t_a").alias("a"), F.col("t_b").alias("b")).distinct().join(seen.select("a", "b"), ["a", "b"], "left_anti")
+    links = staged(links.unionByName(judge(staged(unseen, "unseen")).where("good").select("a", "b")), "links")
     linked = components(links).select(F.col("node").alias("t"), "root")
     n_links = links.select(F.col("a").alias("t")).unionByName(links.select(F.col("b").alias("t"))).groupBy("t").agg(F.count(F.lit(1)).alias("n_links"))
     members = rows.select("key", "t").join(linked, "t", "left").withColumn("root", F.coalesce("root", "t"))
     least = members.groupBy("root").agg(F.min("key").alias("class_id"))
-    return members.join(least, "root").join(n_links, "t", "left").select(F.col("key").alias(key), "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    more = [F.col("t").alias("text_hash")] if with_hash else []
+    return members.join(least, "root").join(n_links, "t", "left").select(F.col("key").alias(key), "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), *more)

@@ -266,6 +266,38 @@ def test_minhash_near_duplicates(spark):
     assert got == root
 
 
+def _classes(rows):
+    """Smallest key of every row's class, from all pairs."""
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    sets = [(i, _shingles(t)) for i, t in rows]
+    for n, (i, s) in enumerate(sets):
+        for j, t in sets[:n]:
+            if find(i) != find(j) and len(s & t) >= 0.8 * len(s | t):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i: find(i) for i, _ in rows}
+
+
+def test_minhash_with_many_variants(spark):
+    rnd = random.Random(12)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(300)]
+    texts = []
+    for _ in range(400):
+        own = list(base)
+        for i in rnd.sample(range(300), rnd.randrange(2, 11)):
+            own[i] = f"n{rnd.randrange(10**6)}"
+        texts.append(" ".join(own))
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows_of(rows), SCHEMA)).collect()}
+    assert got == _classes(rows)
+
+
 # Mixing and packing -------------------------------------------------------------------------------
 
 def test_targets_and_mix(table):
