@@ -92,7 +92,11 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, key: str = "doc_id", text: s
 
     Its columns pass unchanged; of rows equal in key and text one stays. NULL texts count as empty.
     """
-    found = staged(near_duplicates(docs, radius, key, text, with_hash=True), "groups")
+    return least_rows(docs, staged(near_duplicates(docs, radius, key, text, with_hash=True), "groups"), key, text)
+
+
+def least_rows(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` of each group of ``found``: key, component_id and text_hash of every row. As ``keep_one`` has it."""
     order = F.struct(F.col(key).isNull(), F.col(key).alias("k"), "text_hash")
     best = found.groupBy("component_id").agg(F.min(order).alias("m"))
     name = ["k", "is_null", "text_hash"]

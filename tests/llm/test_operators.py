@@ -506,3 +506,17 @@ def test_pipeline_equals_its_plain_version(spark):
     packed = corpus_pipeline.run(spark, sf).select("doc_id", "piece", "start", "length", "ids_crc32").collect()
     pieces = [(r[0], p, lo, len(ids[lo:lo + 2048]), brute.crc(ids[lo:lo + 2048])) for r in mixed for ids in [_ids("word_bpe_49k.json", r[1]) + [0]] for p, lo in enumerate(range(0, len(ids), 2048))]
     assert bag(packed) == bag(pieces)
+
+
+def test_pipeline_removes_near_copies(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(13)
+    texts = []
+    for _ in range(20):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(200)]
+        for i in (20, 60, 100):
+            texts.append(" ".join([*base[:i], f"n{i}", *base[i + 1:]]))
+    rows = list(enumerate(texts))
+    single = dict(corpus_pipeline.STAGES)["near_dedup"](spark, spark.createDataFrame(rows_of(rows), SCHEMA), SF)
+    assert sorted(r["doc_id"] for r in single.collect()) == sorted(set(_classes(rows).values())) == list(range(0, 60, 3))
