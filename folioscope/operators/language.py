@@ -42,16 +42,20 @@ class Profiles:
         return Profiles(names, table["code"].to_numpy(np.int64)[1:], weights[1:], weights[0])
 
     def label(self, head: str) -> str | None:
-        """The language of a lower-cased text, the first by name of equal ones; None without trigrams."""
-        p = np.frombuffer(head.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        if len(p) < 3 or not self.languages:
-            return None
-        code = p[:-2] << 42 | p[1:-1] << 21 | p[2:]
-        total = self.unseen * len(code)
-        if len(self.codes):
-            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-            total = total + self.gains[at[self.codes[at] == code]].sum(axis=0)
-        return self.languages[int(np.argmax(total))]
+        return likeliest(head, self.languages, self.codes, self.gains, self.unseen)
+
+
+def likeliest(head: str, languages: tuple[str, ...], codes: np.ndarray, gains: np.ndarray, unseen: np.ndarray) -> str | None:
+    """The language of a lower-cased text, the first by name of equal ones; None without trigrams."""
+    p = np.frombuffer(head.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    if len(p) < 3 or not languages:
+        return None
+    code = p[:-2] << 42 | p[1:-1] << 21 | p[2:]
+    total = unseen * len(code)
+    if len(codes):
+        at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+        total = total + gains[at[codes[at] == code]].sum(axis=0)
+    return languages[int(np.argmax(total))]
 
 
 def head_of(text: Column) -> Column:
@@ -100,12 +104,13 @@ def detect_language(df: DataFrame, profiles: Profiles, text: str = "text") -> Da
 
     A row is decided where it lies: only its first characters visit Python, nothing is shuffled or joined.
     """
-    shared = df.sparkSession.sparkContext.broadcast(profiles)
+    # A tuple of arrays: a class would be looked up in the package, which workers need not have.
+    shared = df.sparkSession.sparkContext.broadcast((profiles.languages, profiles.codes, profiles.gains, profiles.unseen))
 
     @F.pandas_udf("string")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for heads in batches:
-            yield heads.map(lambda h: None if h is None else shared.value.label(h)).astype(object)
+            yield heads.map(lambda h: None if h is None else likeliest(h, *shared.value)).astype(object)
 
     long_enough = F.char_length(strip(F.col(text))) >= MIN_CHARS
     return df.withColumn("language", F.coalesce(label(F.when(long_enough, head_of(F.col(text)))), F.lit("unknown")))
