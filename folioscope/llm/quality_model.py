@@ -61,17 +61,21 @@ class Model:
     bias: float
 
     def score(self, raw: list[bytes]) -> np.ndarray:
-        """Probability of label 1; a text without features gets that of the biases alone."""
-        out = np.zeros(len(raw))
-        for lo, hi in groups(raw):
-            total, n = np.zeros(hi - lo), np.zeros(hi - lo)
-            for f, at in features(raw[lo:hi]):
-                full = np.flatnonzero(np.diff(at))
-                if len(full):
-                    total[full] += np.add.reduceat(self.weight[f], at[full])
-                    n += np.diff(at)
-            out[lo:hi] = total / np.maximum(n, 1)
-        return 1 / (1 + np.exp(-np.clip(out + self.bias, -60, 60)))
+        return scores(raw, self.weight, self.bias)
+
+
+def scores(raw: list[bytes], weight: np.ndarray, bias: float) -> np.ndarray:
+    """Probability of label 1; a text without features gets that of the bias alone."""
+    out = np.zeros(len(raw))
+    for lo, hi in groups(raw):
+        total, n = np.zeros(hi - lo), np.zeros(hi - lo)
+        for f, at in features(raw[lo:hi]):
+            full = np.flatnonzero(np.diff(at))
+            if len(full):
+                total[full] += np.add.reduceat(weight[f], at[full])
+                n += np.diff(at)
+        out[lo:hi] = total / np.maximum(n, 1)
+    return 1 / (1 + np.exp(-np.clip(out + bias, -60, 60)))
 
 
 def train(counted: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS, seed: int = SEED) -> Model:
@@ -136,11 +140,12 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     The score depends on the text alone. NULL texts count as empty and get the biases' score; NULL keys are in no fold
     (held_out false); repeated rows are scored each; an empty table gives an empty result; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Arrays alone travel: a class would be looked up in the package, which workers need not have.
+    shared = docs.sparkSession.sparkContext.broadcast((model.weight, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            s = shared.value.score(_raw(batch.column(2)))
+            s = scores(_raw(batch.column(2)), *shared.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s), pa.array((s >= CUT).astype(np.int32))], names=[key, "held_out", "score", "predicted"])
 
     rows = docs.select(F.col(key), held_out(key).alias("held_out"), F.col(text).cast("string").alias("text"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,8 @@ from .components import components
 SHINGLE, SEED, BITS, RADIUS = 3, 42, 64, 2
 _UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _CHUNK = 1 << 16
+# Distinct fingerprints in a task that emits their variants.
+EMIT_ROWS = 1 << 14
 
 
 def fingerprint(text: str) -> int:
@@ -77,8 +80,10 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, key: str = "doc_id",
     component_id; repeated rows stay repeated; an empty table gives an empty result; other columns are not read.
     """
     prints = staged(fingerprints(docs, key, text), "simhash")
-    nodes = prints.groupBy("fp").agg(F.min("key").alias("key"))
-    linked = components(staged(ball_links(nodes, radius), "links"))
+    nodes = staged(prints.groupBy("fp").agg(F.min("key").alias("key")), "nodes")
+    # Each sends 65 rows: a small table of them is dealt out first.
+    dealt = nodes.select("fp").repartition(max(1, math.ceil(nodes.count() / EMIT_ROWS)))
+    linked = components(staged(ball_links(dealt, radius), "links"))
     # Fingerprints without a link are components of their own.
     roots = nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = roots.groupBy("root").agg(F.min("key").alias("component_id"))
