@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioscope.llm import minhash, mixing, packing, pii, quality_rules, simhash
+from folioscope.llm import mixing, packing, pii, quality_rules, simhash
 from folioscope.session import staged
 
 
@@ -16,9 +16,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: Jaccard similarity 0.8 of five-word shingles."""
-    found = minhash.near_duplicates(docs, with_hash=True).withColumnRenamed("class_id", "component_id")
-    return simhash.least_rows(docs, staged(found, "groups"))
+    """One document of each group of near duplicates, linked as in ``op10``: three-word shingles, at most two bits apart."""
+    return simhash.keep_one(docs)
 
 
 def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +38,7 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality), ("near_dedup", near_dedup), ("pii", redaction), ("mixing", mixture), ("packing", packed_sequences)]
 
-# Sketched orders, components and tokenizers have no SQL counterpart: tests/llm holds run() against a brute-force version.
+# Components and tokenizers have no SQL counterpart: tests/llm holds run() against a brute-force version.
 ORACLE_SQL: str | None = None
 
 
