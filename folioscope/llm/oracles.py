@@ -77,4 +77,28 @@ ORACLES = {
         word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
         kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
         SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)""",
+    "op11_lexical_search": """WITH seen AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t FROM documents),
+        held AS (SELECT doc_id, len(t) AS n, t FROM seen WHERE len(t) > 0), total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS length FROM held),
+        tfs AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(t) AS term FROM held) GROUP BY ALL),
+        asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+        weight AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tfs, total GROUP BY term, docs),
+        scored AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // length))))::BIGINT AS score
+          FROM asked JOIN tfs USING (term) JOIN weight USING (term), total GROUP BY item_id, doc_id)
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+        QUALIFY rank <= 10""",
+    "op12_turn_trie": """WITH own AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p, [coalesce(role, ''), coalesce(text, '')] AS said FROM conversations),
+        conv AS (SELECT DISTINCT c, c - c % 20 AS base, xor(4294967295::UBIGINT, list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+            lambda a, b: list_reduce(list_concat([xor(a, b)], list_transform(range(8), lambda i: i::UBIGINT)), lambda s, i: if(s & 1 = 1, xor(s >> 1, 3988292384::UBIGINT), s >> 1)))) % 4 AS h FROM own),
+        turns AS (SELECT conv.c, 0 AS part, p, said FROM conv JOIN own ON own.c = base AND p <= h UNION ALL SELECT c, 1, p, said FROM conv JOIN own USING (c) WHERE p > h),
+        built AS (SELECT conv.c, coalesce(seq, []) AS seq FROM conv LEFT JOIN (SELECT c, list(said ORDER BY part, p) AS seq FROM turns GROUP BY c) USING (c)),
+        node AS (SELECT seq[:d] AS path, d, min(c) AS conv_id, count(*) AS n, list(c ORDER BY c) FILTER (WHERE len(seq) = d) AS ends FROM (SELECT c, seq, unnest(range(len(seq) + 1)) AS d FROM built) GROUP BY ALL),
+        size AS (SELECT *, if(d = 0, 0, len(list_filter(regexp_split_to_array(path[d][2], '[\\x20\\x09-\\x0D]+'), lambda x: x <> ''))) AS words,
+            (SELECT count(*) FROM node AS k WHERE k.d = node.d + 1 AND k.path[:node.d] = node.path) AS children FROM node)
+        SELECT a.conv_id::BIGINT AS conv_id, a.d::BIGINT AS depth, (SELECT up.conv_id FROM node AS up WHERE up.d = a.d - 1 AND up.path = a.path[:a.d - 1])::BIGINT AS parent_conv_id, a.n::BIGINT AS n_convs, a.children::BIGINT AS n_children,
+          sum((b.children = 0)::INTEGER)::BIGINT AS n_leaves, sum((b.n - 1) * b.words)::BIGINT AS saved_tokens, sha256(coalesce(array_to_string(a.ends, ','), '')) AS ends_sha256
+        FROM size AS a JOIN size AS b ON b.path[:a.d] = a.path AND b.d >= a.d GROUP BY ALL""",
+    "op13_vector_top_k": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT AS score FROM v AS q JOIN v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id)
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM scored QUALIFY rank <= 20""",
 }

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, packing, pii, quality_model, quality_rules, simhash, substring_dedup, token_counts, token_store
+from . import fptree, maxscore, minhash, mixing, packing, pii, quality_model, quality_rules, simhash, substring_dedup, token_counts, token_store, turn_trie
 from .encoding import public_path
 from .oracles import ORACLES  # noqa: F401  the queries DuckDB can compute too; tests/llm holds the others against plain versions
 
 
+def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+
+
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet")
+    return _table(spark, sf, "documents")
 
 
 def op1_pii(spark: SparkSession, sf: str) -> DataFrame:
@@ -28,8 +32,7 @@ def op3_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 
 def op4_quality_model(spark: SparkSession, sf: str) -> DataFrame:
     docs = _documents(spark, sf)
-    labels = spark.read.parquet(f"{sf.rstrip('/')}/labels.parquet")
-    return quality_model.score(docs, quality_model.fit(docs, labels))
+    return quality_model.score(docs, quality_model.fit(docs, _table(spark, sf, "labels")))
 
 
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,5 +62,17 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return fptree.ranked_search(_documents(spark, sf), _table(spark, sf, "benchmark"))
+
+
+def op12_turn_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return turn_trie.prefix_trie(_table(spark, sf, "conversations"))
+
+
+def op13_vector_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return maxscore.exact_top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {f.__name__: f for f in (op1_pii, op2_token_counts, op3_fingerprints, op4_quality_model, op5_quality_rules, op6_mixing,
-                                   op7_token_store, op8_substring_dedup, op9_packing, op10_simhash)}
+                                   op7_token_store, op8_substring_dedup, op9_packing, op10_simhash, op11_lexical_search, op12_turn_trie, op13_vector_top_k)}
