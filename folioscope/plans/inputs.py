@@ -163,3 +163,14 @@ def clustered(spark: SparkSession, sf: str) -> DataFrame:
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, sf, "embeddings").withColumnRenamed("vec_id", "chunk_id")
+
+
+def asked_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Every vector whose id is divisible by 20, as it is, as a batch of queries."""
+    return read_table(spark, sf, "embeddings").where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("query_vector"))
+
+
+def spoken_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """All vectors with the language of the document of the same number; vectors beyond the documents have none."""
+    langs = documents(spark, sf, "doc_id", "lang")
+    return vectors(spark, sf).join(langs.withColumnRenamed("doc_id", "chunk_id"), "chunk_id", "left")

@@ -223,6 +223,8 @@ _SIM = "list_cosine_similarity({0}::DOUBLE[], {1}::DOUBLE[])"
 _QV = "(SELECT embedding FROM embeddings WHERE vec_id = 0)"
 _KNN = f"""SELECT query_id, vec_id, sim, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS r
   FROM (SELECT q.query_id, e.vec_id, {_SIM.format('e.embedding', 'q.v')} AS sim FROM embeddings e CROSS JOIN ({_CENTROIDS}) q)"""
+_ASKED = f"""SELECT query_id, vec_id, round(sim, 6) AS similarity, rank FROM (SELECT query_id, vec_id, sim, (row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id))::INTEGER AS rank
+  FROM (SELECT q.vec_id AS query_id, e.vec_id, {_SIM.format('e.embedding', 'q.embedding')} AS sim FROM embeddings q JOIN {{}} e ON q.vec_id % 20 = 0 AND {{}})) WHERE rank <= 10"""
 _KNN_10 = f"SELECT query_id, vec_id, round(sim, 6) AS similarity, r::INTEGER AS rank FROM ({_KNN}) WHERE r <= 10"
 
 # Path changes, level by level; the derived trees are at most four deep ------------------------------
@@ -348,7 +350,11 @@ ORACLES = {
         every AS (SELECT q.id AS query_id, c.id AS chunk_id, coalesce(dot, 0) / q.s / c.s AS sim FROM size q JOIN size c ON q.side = 'q' AND c.side = 'c' LEFT JOIN sim ON sim.query_id = q.id AND sim.chunk_id = c.id),
         best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, chunk_id) AS r FROM every)
         SELECT query_id, r::INTEGER AS rank, chunk_id, o.doc_id, d.source, d.lang, round(sim, 5) AS similarity FROM best JOIN once o USING (chunk_id) JOIN documents d ON d.doc_id = o.doc_id WHERE r <= 3""",
-    "inverted_lists_recall": "SELECT DISTINCT label AS query_id, true AS reached FROM embeddings",
+    "inverted_lists_recall": "SELECT vec_id AS query_id, 1.0::DOUBLE AS recall FROM embeddings WHERE vec_id % 20 = 0",
+    "bounded_lists_top_k": _ASKED.format("embeddings", "true"),
+    "coded_top_k": _ASKED.format("embeddings", "true"),
+    "filtered_lists_top_k": _ASKED.format("(SELECT vec_id, embedding, lang FROM embeddings JOIN documents ON doc_id = vec_id)",
+                                          "e.lang = (['fr', 'de', 'es', 'en'])[(q.vec_id // 20) % 4 + 1]"),
     "stored_rejects": f"""SELECT uri, 'parse' AS stage, parse_error AS reason FROM ({_MIXED}) WHERE parse_error IS NOT NULL AND doc_id % 80 <> 2
         UNION ALL SELECT uri, 'chunk', 'no_chunks' FROM ({_MIXED}) WHERE {_strip('text')} = '' AND doc_id % 80 <> 2""",
     "read_rejects": f"SELECT page_id, 'read' AS stage, CASE WHEN octet_length(encode(text)) <= 3000 THEN 'ok' ELSE 'too_large' END AS reason FROM ({_FILES})",

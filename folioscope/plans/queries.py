@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import markup
 from ..functions.metadata import DOC_TYPE_KEYWORDS, chunk_id, detect_mime, document_id, heading_of
 from ..functions.strings import basename, fallback_tokens, split_lines
-from ..operators import catalog, chunking, embedding, extract, language, paths, search, tables
+from ..operators import ann, catalog, chunking, codes, embedding, extract, language, paths, search, tables
 from ..session import shared_dir, staged
 from ..sources.commands import parse_commands
 from ..sources.files import list_documents, read_documents
@@ -421,17 +421,37 @@ def inverted_lists_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     return _ranked(search.approximate_top_k(indexed, centroids, inputs.label_centroids(spark, sf), 10, probes=centroids.count(), block_bytes=2048))
 
 
+def _index(spark: SparkSession, vectors: DataFrame, attribute: str | None = None) -> ann.Index:
+    return ann.build_index(vectors, f"{shared_dir(spark)}/cells-{uuid.uuid4().hex}", attribute)
+
+
+def bounded_lists_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    """Every twentieth vector against all, visiting lists until their bounds rule out the rest."""
+    found, _ = ann.bounded_top_k(_index(spark, inputs.vectors(spark, sf)), inputs.asked_vectors(spark, sf), 10)
+    return _ranked(found)
+
+
 def inverted_lists_recall(spark: SparkSession, sf: str) -> DataFrame:
-    """Vectors that lie apart by label, searched for the mean of every label: whether nine of the ten best are found."""
-    vectors = staged(inputs.clustered(spark, sf), "clustered")
-    means = vectors.select("label", F.posexplode("embedding").alias("pos", "x")).groupBy("label", "pos").agg(F.avg("x").alias("x"))
-    queries = means.groupBy(F.col("label").alias("query_id")).agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("v"))
-    queries = staged(queries.select("query_id", F.transform("v", lambda e: e["x"]).alias("query_vector")), "queries")
-    indexed, centroids = search.build_lists(vectors)
-    path = f"{shared_dir(spark)}/lists-{uuid.uuid4().hex}"
-    search.write_lists(indexed, path)
-    found = search.approximate_top_k(spark.read.schema(indexed.schema).parquet(path), centroids, queries, 10)
-    return search.recall(found, search.batch_top_k(vectors, queries, 10)).select("query_id", (F.col("recall") >= 0.9).alias("reached"))
+    """Recall of the bounded search on the vectors as they are, per query."""
+    vectors, queries = inputs.vectors(spark, sf), inputs.asked_vectors(spark, sf)
+    found, _ = ann.bounded_top_k(_index(spark, vectors), queries, 10)
+    return search.recall(found, search.batch_top_k(vectors, queries, 10))
+
+
+def filtered_lists_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    """Every twentieth vector asks for those of one language, which goes by its number."""
+    turn = (F.col("query_id") / 20).cast("int") % 4
+    wanted = F.when(turn == 0, "fr").when(turn == 1, "de").when(turn == 2, "es").otherwise("en")
+    index = _index(spark, inputs.spoken_vectors(spark, sf), "lang")
+    found, _ = ann.bounded_top_k(index, inputs.asked_vectors(spark, sf).withColumn("wanted", wanted), 10, "wanted")
+    return _ranked(found)
+
+
+def coded_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    """Every twentieth vector against the byte codes of all, the best ranked again by their vectors."""
+    vectors = inputs.vectors(spark, sf)
+    books = codes.learn_codebooks(vectors)
+    return _ranked(codes.coded_top_k(staged(codes.encode(vectors, books), "codes"), vectors, books, inputs.asked_vectors(spark, sf), 10))
 
 
 def _stored_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -622,7 +642,7 @@ QUERIES = {f.__name__: f for f in (
     upsert_documents, upsert_chunks_merge, upsert_chunks_replace, cascade_delete, constraint_violations,
     column_defaults, published_tables, stored_rejects, read_rejects, upsert_ties,
     cosine_top_k, cosine_top_k_referenced, filtered_top_k, batch_top_k, batch_top_k_shuffled, inverted_lists_all, inverted_lists_shuffled,
-    inverted_lists_recall, uri_lookup, type_language_filter, json_containment, document_chunks, ordered_chunks,
+    inverted_lists_recall, bounded_lists_top_k, filtered_lists_top_k, coded_top_k, uri_lookup, type_language_filter, json_containment, document_chunks, ordered_chunks,
     heading_filter, ingestion, ingestion_rejects,
     split_paths, path_lookup, subtree_listing, tree_listing, empty_directories, tree_violations, capacity_report,
     bulk_create, created_nodes, contested_create, bulk_delete, remaining_nodes, bulk_move, moved_nodes,

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioscope.operators import search
+from folioscope.operators import ann, codes, search
 from folioscope.plans import inputs
 
 DIM = 8
@@ -72,6 +72,81 @@ def test_all_lists_are_exact_and_few_lists_nearly(spark, vectors, queries, data,
     assert 0.5 < some < 1.0
 
 
+@pytest.fixture(scope="module")
+def index(vectors, tmp_path_factory):
+    labelled = vectors.where(F.size("embedding") == DIM).withColumn("kind", F.when(F.col("chunk_id") < "c300", F.substring("chunk_id", 4, 1)))
+    return ann.build_index(labelled, str(tmp_path_factory.mktemp("index") / "cells"), "kind", lists=7)
+
+
+def test_cells_bound_their_rows(index):
+    angles = {}
+    for r in index.rows.collect():
+        cell = index.cells.slice(r["cell"], 1).to_pylist()[0]
+        centre = index.centres[cell["list_id"]]
+        v = np.array(r["embedding"], float)
+        angles.setdefault(r["cell"], []).append(np.arccos(np.clip(v @ centre / np.linalg.norm(v), -1, 1)))
+        assert cell["value"] == (r["chunk_id"][3] if r["chunk_id"] < "c300" else None)
+    for c in index.cells.to_pylist():
+        assert len(angles[c["cell"]]) == c["n"]
+        assert np.allclose([min(angles[c["cell"]]), max(angles[c["cell"]])], [c["near"], c["far"]], atol=1e-6)
+    assert sum(map(len, angles.values())) == 399
+
+
+@pytest.mark.parametrize("k, probes, block", [(1, 1, ann.BLOCK_BYTES), (9, 1, 100), (60, 3, ann.BLOCK_BYTES), (1000, 1, ann.BLOCK_BYTES)])
+def test_bounded_search_is_exact(index, queries, data, k, probes, block):
+    best, visited = ann.bounded_top_k(index, queries.where("query_id < 90"), k, probes=probes, block_bytes=block)
+    assert found(best) == expected(data, k)
+    assert {r["query_id"] for r in visited.collect()} == set(range(12))
+
+
+def test_bounds_spare_lists_of_vectors_in_clusters(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    means = rng.normal(size=(8, DIM)) * 9
+    rows = [(f"c{i:03d}", (means[i % 8] + rng.normal(size=DIM)).tolist()) for i in range(800)]
+    table = spark.createDataFrame(rows, "chunk_id string, embedding array<double>")
+    asked = table.where("chunk_id < 'c040'").select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    index = ann.build_index(table, str(tmp_path / "cells"), lists=16)
+    best, visited = ann.bounded_top_k(index, asked, 5, probes=1)
+    assert found(best) == found(search.batch_top_k(table, asked, 5))
+    assert visited.agg(F.avg("cells")).first()[0] < 6
+
+
+def test_filtered_search_finds_k_rows_wherever_there_are_as_many(index, queries, data):
+    asked = queries.where("query_id < 90").withColumn("wanted", F.when(F.col("query_id") == 5, "none").when(F.col("query_id") != 7, (F.col("query_id") % 10).cast("string")))
+    got = found(ann.bounded_top_k(index, asked, 10, "wanted", probes=1)[0])
+    every = expected(data, 400)
+    for q in range(12):
+        want = every[q][:10] if q == 7 else [] if q == 5 else [x for x in every[q] if x[0] < "c300" and x[0][3] == str(q % 10)][:10]
+        assert got.get(q, []) == want
+
+
+def test_queries_without_direction_and_empty_batches_find_nothing(index, queries):
+    for asked in (queries.where("query_id > 90"), queries.limit(0)):
+        best, visited = ann.bounded_top_k(index, asked, 5)
+        assert best.count() == 0 and visited.count() == 0
+
+
+def test_codes_are_near_and_ranked_again(spark, vectors, queries, data):
+    good = vectors.where(F.size("embedding") == DIM)
+    books = codes.learn_codebooks(good, parts=2)
+    assert [b.shape[1] for b in books] == [4, 4] and all(len(b) == 256 for b in books)
+    coded = codes.encode(vectors.where("chunk_id <> 'short'"), books)
+    assert coded.count() == 399 and {len(r["code"]) for r in coded.collect()} == {2}
+    real = queries.where("query_id < 97")
+    assert found(codes.coded_top_k(coded, vectors, books, real, 9, again=50)) == expected(data, 9)  # all rows are ranked again
+    some = search.recall(codes.coded_top_k(coded, vectors, books, real, 10, again=4, block_bytes=3000), search.batch_top_k(vectors, real, 10)).agg(F.avg("recall")).first()[0]
+    assert some > 0.9
+    assert codes.coded_top_k(coded, vectors, books, queries.limit(0), 9).count() == 0
+
+
+def test_codebooks_of_few_rows_are_the_rows(spark):
+    table = spark.createDataFrame([(i, [float(i % 3), 1.0, 2.0]) for i in range(30)], "chunk_id int, embedding array<double>")
+    books = codes.learn_codebooks(table, parts=1)
+    assert books[0].shape == (3, 3)
+    assert codes.encode(table, books).select("code").distinct().count() == 3
+    assert codes.learn_codebooks(table.limit(0)) == []
+
+
 def test_empty_query_batch(vectors, queries):
     assert search.batch_top_k(vectors, queries.limit(0)).count() == 0
 
