@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staged
@@ -110,6 +110,30 @@ def new_contents(raw: DataFrame, ingested: DataFrame | None = None, content: str
     return first.select(uri, "content_sha256")
 
 
+def _part(digest: Column) -> Column:
+    return F.substring(digest, 1, 2)
+
+
+def known_contents(spark: SparkSession, root: str, asked: DataFrame, before: int) -> DataFrame:
+    """The hashes among ``asked`` (content_sha256) that batches before number ``before`` left at ``root``.
+
+    The stored set lies in folders by the first two digits, of which only those asked for are opened.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return asked.select("content_sha256").limit(0)
+    parts = [r["part"] for r in asked.select(_part(F.col("content_sha256")).alias("part")).distinct().collect()]  # at most 256
+    stored = spark.read.schema("content_sha256 string, part string, batch long").parquet(root).where(F.col("part").isin(parts) & (F.col("batch") < before))
+    return stored.join(asked.select("content_sha256"), "content_sha256", "left_semi").select("content_sha256")
+
+
+def remember_contents(hashes: DataFrame, root: str, batch: int) -> None:
+    """Add a batch's hashes to the stored set. A batch that comes again replaces what it left."""
+    rows = hashes.select("content_sha256", _part(F.col("content_sha256")).alias("part"), F.lit(batch).cast("long").alias("batch"))
+    writer = rows.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("part", "batch").parquet(root)
+
+
 # Extra metadata -----------------------------------------------------------------------------------
 
 # Patterns for a few facts that documents state; the first group of each is the value.
@@ -126,3 +150,25 @@ def extract_metadata(df: DataFrame, rules: Mapping[str, str] = DEFAULT_RULES, te
     found = F.struct(*[F.nullif(F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1))),
                                 F.array().cast("array<string>")).alias(name) for name, pattern in rules.items()])
     return df.withColumn("extra_metadata", F.parse_json(F.to_json(found)))
+
+
+def extract_by_type(df: DataFrame, rules: DataFrame, doc_type: str = "doc_type", text: str = "text") -> DataFrame:
+    """Add ``extra_metadata`` by the rules (doc_type, name, pattern) of each document's type; a rule without type is for all.
+
+    The rules of a type are one row, so a document meets them in a join by type that adds no rows. Per name the
+    distinct matches of the pattern's first group, in order; several rules of one name add up, in the order of their
+    patterns; names without a match are absent, and a document without rules or text gets an empty object.
+    """
+    own = rules.where(F.col("doc_type").isNotNull()).groupBy(F.col("doc_type").alias("_type")).agg(F.collect_list(F.struct("name", "pattern")).alias("_own"))
+    common = [(r["name"], r["pattern"]) for r in rules.where(F.col("doc_type").isNull()).select("name", "pattern").distinct().collect()]
+    kind = "array<struct<name: string, pattern: string>>"
+    general = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(p).alias("pattern")) for n, p in common]).cast(kind)
+    joined = df.join(own, F.col(doc_type) == F.col("_type"), "left")
+    every = F.array_sort(F.array_distinct(F.concat(F.coalesce(F.col("_own").cast(kind), F.array().cast(kind)), general)))
+    found = F.transform(every, lambda r: F.struct(r["name"].alias("name"), F.regexp_extract_all(F.col(text), r["pattern"], F.lit(1)).alias("m")))
+    names = F.array_distinct(F.transform(every, lambda r: r["name"]))
+    merged = F.transform(names, lambda n: F.struct(n.alias("key"), F.array_distinct(F.flatten(F.transform(F.filter(F.col("_found"), lambda x: x["name"] == n), lambda x: x["m"]))).alias("value")))
+    full = F.filter(F.col("_merged"), lambda e: F.size(e["value"]) > 0)
+    out = joined.withColumn("_found", found).withColumn("_merged", merged)
+    value = F.coalesce(F.parse_json(F.to_json(F.map_from_entries(full))), F.parse_json(F.lit("{}")))
+    return out.withColumn("extra_metadata", value).drop("_type", "_own", "_found", "_merged")

@@ -7,7 +7,7 @@ Bulk changes take requests ``(ns, seq, ...)``, ``seq`` being unique and ordering
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
@@ -67,6 +67,41 @@ def list_subtree(nodes: DataFrame, prefix: str = "/", order: bool = True) -> Dat
     return found.orderBy("ns", F.split("path", "/")) if order else found
 
 
+# Places that a bin of labels holds, by which intervals meet the nodes inside them.
+BIN = 4096
+
+
+def label_subtrees(nodes: DataFrame) -> DataFrame:
+    """(ns, path, node_type, first, last): the pre-order place of every node, roots included, and of the last node below it.
+
+    Nodes are dealt into ranges of (ns, path) and numbered there, then shifted by the counts of the lower ranges. A
+    subtree is as long as the number of paths that pass through its top, counted where the paths lie.
+    """
+    roots = nodes.select("ns").distinct().select("ns", F.lit("").alias("path"), F.lit(DIRECTORY).alias("node_type"))
+    whole = nodes.select("ns", "path", "node_type").unionByName(roots).withColumn("_parts", F.split("path", "/"))
+    dealt = staged(whole.repartitionByRange("ns", "_parts").withColumn("_part", F.spark_partition_id()), "labels")
+    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    below = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_below"))  # a row per range
+    inner = F.row_number().over(Window.partitionBy("_part").orderBy("ns", "_parts"))
+    numbered = dealt.withColumn("_inner", inner).join(F.broadcast(below), "_part").withColumn("first", F.col("_below") + F.col("_inner") - 1)
+    tops = F.when(F.col("path") == "", F.array(F.lit(""))).otherwise(F.concat(F.array(F.lit("")), prefixes_of(F.col("path"))))
+    sizes = dealt.select("ns", F.explode(tops).alias("path")).groupBy("ns", "path").agg(F.count(F.lit(1)).alias("_size"))
+    return numbered.join(sizes, ["ns", "path"]).select("ns", "path", "node_type", "first", (F.col("first") + F.col("_size") - 1).alias("last"))
+
+
+def list_subtrees(labels: DataFrame, requests: DataFrame) -> DataFrame:
+    """(ns, top, path, node_type, place): what lies at and below every asked (ns, path), many at once; '' and '/' are the root.
+
+    A request becomes the bins that its interval touches and meets the nodes of these bins. ``labels`` is the written
+    result of ``label_subtrees``; ``place`` counts from 0 in pre-order. Unknown paths have no rows.
+    """
+    asked = requests.select("ns", normalize_path(F.col("path")).alias("path")).distinct()
+    spans = labels.join(asked, ["ns", "path"], "left_semi").select(F.col("path").alias("top"), F.col("first").alias("_lo"), F.col("last").alias("_hi"))
+    binned = spans.withColumn("_bin", F.explode(F.sequence(F.expr(f"_lo div {BIN}"), F.expr(f"_hi div {BIN}"))))
+    met = labels.withColumn("_bin", F.expr(f"first div {BIN}")).join(binned, "_bin").where("first BETWEEN _lo AND _hi")
+    return met.select("ns", "top", "path", "node_type", (F.col("first") - F.col("_lo")).alias("place"))
+
+
 def directory_emptiness(nodes: DataFrame) -> DataFrame:
     """Every directory with ``is_empty``. Parents are made distinct per partition first."""
     parents = nodes.select("ns", parent_of(F.col("path")).alias("path")).distinct().withColumn("_used", F.lit(True))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.metadata import document_id
 from ..schemas import CHUNK_DEFAULTS, CHUNKS, DOCUMENT_DEFAULTS, DOCUMENTS, REJECTS
 
 
@@ -131,8 +132,10 @@ def create_tables(spark: SparkSession, database: str = "default") -> None:
 
 
 BUCKETS = 64
+# So many uris are looked up by a filter that Parquet can use; more are joined.
+FEW_URIS = 100
 # Stored layout: <table>/version=<id>/bucket=<n>/[doc_type=…/language=…/]; a manifest names the current folder of every bucket.
-_STORED = {"documents": (DOCUMENTS, ["doc_type", "language"], []), "chunks": (CHUNKS, [], ["doc_id", "chunk_index"]), "rejects": (REJECTS, [], [])}
+_STORED = {"documents": (DOCUMENTS, ["doc_type", "language"], ["uri"]), "chunks": (CHUNKS, [], ["doc_id", "chunk_index"]), "rejects": (REJECTS, [], [])}
 
 
 def _bucket(key: str, buckets: int) -> Column:
@@ -181,7 +184,10 @@ def _write(rows: DataFrame, root: str, table: str, key: str, buckets: int, versi
     keys = ["bucket", *folders]
     dealt = rows.withColumn("bucket", _bucket(key, buckets)).hint("rebalance", *keys)
     path = f"{root}/{table}/version={version}"
-    dealt.sortWithinPartitions(*keys, *order).write.mode("error").partitionBy(*keys).parquet(path)
+    writer = dealt.sortWithinPartitions(*keys, *order).write.mode("error").partitionBy(*keys)
+    if "uri" in rows.columns:
+        writer = writer.option("parquet.bloom.filter.enabled#uri", "true")
+    writer.parquet(path)
     return [n.split("=", 1)[1] for n in _names(rows.sparkSession, path) if n.startswith("bucket=")]
 
 
@@ -247,6 +253,23 @@ def read_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     return _read(spark, root, "documents", manifest), _read(spark, root, "chunks", manifest)
 
 
+def lookup_uris(spark: SparkSession, root: str, uris: DataFrame) -> DataFrame:
+    """The stored documents of the given uris, if their ids are the hashes of their uris, as the ingestion has them.
+
+    A uri gives its id and so its bucket: only these buckets are opened, and within them the row groups whose range and
+    bloom filter may hold one of a few uris.
+    """
+    manifest = read_manifest(spark, root)
+    asked = uris.select("uri", document_id(F.col("uri")).alias("doc_id")).distinct()
+    few = asked.select("uri", _bucket("doc_id", (manifest or {}).get("buckets", 1)).alias("b")).limit(FEW_URIS + 1).collect()
+    if len(few) <= FEW_URIS:
+        held = _read(spark, root, "documents", manifest, {r["b"] for r in few})
+        return held.where(F.col("uri").isin([r["uri"] for r in few]))
+    n = manifest["buckets"] if manifest else 1
+    touched = {r["b"] for r in asked.select(_bucket("doc_id", n).alias("b")).distinct().collect()}
+    return _read(spark, root, "documents", manifest, touched).join(asked, ["uri", "doc_id"], "left_semi").select(*DOCUMENTS.names)
+
+
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, root, "rejects", read_manifest(spark, root))
 

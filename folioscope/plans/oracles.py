@@ -431,4 +431,51 @@ ORACLES = {
     "extra_metadata": "SELECT doc_id, " + ", ".join(
         f"CASE WHEN len(m_{n}) > 0 THEN array_to_string(m_{n}, ' ; ') END AS all_{n}" for n in _RULES) + " FROM (SELECT doc_id, " + ", ".join(
         f"list_transform(list_filter(list_zip(m, range(len(m))), lambda z: list_position(m, z[1]) = z[2] + 1), lambda z: z[1]) AS m_{n}".replace("m,", f"regexp_extract_all(text, {_q(p)}, 1),").replace("(m)", f"(regexp_extract_all(text, {_q(p)}, 1))") for n, p in _RULES.items()) + " FROM documents)",
+    "uri_batch_lookup": f"SELECT uri, doc_type, language, char_count FROM ({_DOCUMENT_TABLE}) WHERE doc_id::BIGINT % 3 = 0",
+    "containment_postings": f"""WITH e AS (SELECT event_id, event_type, value, props, {_JSON_PROPS} AS k FROM events),
+        kinds AS (SELECT DISTINCT event_type FROM events)
+        SELECT '{{"props": ' || p.props || ', "type": "' || p.event_type || '", "none": {{}}}}' AS pattern, e.event_id FROM (SELECT DISTINCT event_type, props, k FROM e) p JOIN e ON e.k = p.k AND e.event_type = p.event_type
+        UNION ALL SELECT '{{"type": "' || event_type || '", "props": {{}}, "value": 10.0}}', event_id FROM e WHERE value = 10""",
+    "subtree_sizes": f"""WITH t AS (SELECT ns, path, node_type FROM ({_NODES}) UNION ALL SELECT DISTINCT ns, '', 'd' FROM ({_NODES})),
+        placed AS (SELECT *, row_number() OVER (ORDER BY ns, string_split(path, '/')) - 1 AS first FROM t)
+        SELECT ns, path, first, (SELECT count(*) FROM t b WHERE b.ns = a.ns AND starts_with(b.path, a.path || '/')) AS n_below FROM placed a WHERE node_type = 'd'""",
+    "many_subtrees": f"""WITH t AS ({_NODES}) SELECT a.ns, a.path AS top, b.path, b.node_type, row_number() OVER (PARTITION BY a.ns, a.path ORDER BY string_split(b.path, '/')) - 1 AS place
+        FROM t a JOIN t b ON a.ns = b.ns AND a.node_type = 'd' AND (b.path = a.path OR starts_with(b.path, a.path || '/'))""",
+    "arrival_of_copies": f"""WITH f AS (SELECT false AS is_copy, page_id, 'page_id=' || page_id || '/' AS uri, html AS h FROM pages),
+        g AS (SELECT true AS is_copy, page_id, 'copy_id=' || page_id || '/' AS uri, CASE WHEN page_id % 10 = 0 THEN html || '<p>again</p>' ELSE html END AS h FROM pages),
+        one AS (SELECT arg_min(is_copy, uri) AS is_copy, arg_min(page_id, uri) AS page_id, h FROM f GROUP BY h),
+        two AS (SELECT arg_min(is_copy, uri) AS is_copy, arg_min(page_id, uri) AS page_id, h FROM g WHERE h NOT IN (SELECT h FROM f) GROUP BY h)
+        SELECT is_copy, page_id, length(h)::INTEGER + 1 AS char_count FROM (FROM one UNION ALL FROM two)""",
+    "health_windows": """WITH e AS (SELECT event_id, ts, event_type, value, least(4, (day(ts) - 1) // 6 + (event_id % 37 = 0)::INTEGER) AS part FROM events),
+        mark AS (SELECT p AS part, (SELECT max(ts) - INTERVAL 12 HOUR FROM e WHERE part < p) AS watermark FROM (SELECT unnest(range(5)) AS p)),
+        kept AS (SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2024-01-01') AS window_start, event_type, value FROM e JOIN mark USING (part)
+          WHERE watermark IS NULL OR time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2024-01-01') + INTERVAL 6 HOUR > watermark)
+        SELECT window_start::VARCHAR AS window_start, event_type, count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS n_failed, round(avg(value), 6) AS mean_latency, max(value) AS max_latency FROM kept GROUP BY ALL""",
+    "health_alerts": """WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '2024-01-01') AS window_start, count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS n_failed, max(value) AS max_latency FROM events GROUP BY ALL)
+        SELECT window_start::VARCHAR AS window_start, n, n_failed, max_latency, CASE WHEN n_failed / n > 0.25 AND max_latency > 250 THEN 'errors and latency' WHEN n_failed / n > 0.25 THEN 'errors' ELSE 'latency' END AS reason
+        FROM w WHERE n >= 3 AND (n_failed / n > 0.25 OR max_latency > 250)""",
+    "fused_search": """WITH docs AS (SELECT min(doc_id) AS key, text FROM documents GROUP BY text),
+        asked AS (SELECT conv_id || ':' || turn AS query_id, text FROM conversations),
+        tok AS (SELECT key, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')) AS term FROM docs),
+        cnt AS (SELECT key, term, count(*) AS tf FROM tok GROUP BY ALL), len AS (SELECT key, sum(tf) AS n FROM cnt GROUP BY key), spread AS (SELECT term, count(*) AS df FROM cnt GROUP BY term),
+        total AS (SELECT count(*)::DOUBLE AS docs, sum(n)::DOUBLE AS words FROM len),
+        weight AS (SELECT term, key, floor(1000000.0::DOUBLE * ln(1 + (docs - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * n::DOUBLE * docs / words)))::BIGINT AS w
+          FROM cnt JOIN len USING (key) JOIN spread USING (term), total),
+        term AS (SELECT DISTINCT query_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')) AS term FROM asked),
+        lex AS (SELECT query_id, key, row_number() OVER (PARTITION BY query_id ORDER BY sum(w) DESC, key) AS r FROM term JOIN weight USING (term) GROUP BY query_id, key),
+        item AS (SELECT 'd' AS side, key::VARCHAR AS id, text AS txt FROM docs UNION ALL SELECT 'q', query_id, text FROM asked),
+        word AS (SELECT side, id, unnest(list_filter(string_split(txt, ' '), lambda w: w <> '')) AS w FROM item),
+        part AS (SELECT side, id, (('0x' || substring(md5(w), 1, 4))::INTEGER % 64) AS b, count(*)::DOUBLE AS n FROM word GROUP BY ALL),
+        size AS (SELECT side, id, sqrt(sum(n * n)) AS s FROM part GROUP BY side, id),
+        dot AS (SELECT q.id AS query_id, d.id AS key, sum(q.n * d.n) AS dot FROM part q JOIN part d ON q.side = 'q' AND d.side = 'd' AND q.b = d.b GROUP BY ALL),
+        near AS (SELECT q.id AS query_id, d.id::BIGINT AS key, row_number() OVER (PARTITION BY q.id ORDER BY coalesce(dot, 0) / q.s / d.s DESC, d.id::BIGINT) AS r
+          FROM size q JOIN size d ON q.side = 'q' AND d.side = 'd' LEFT JOIN dot ON dot.query_id = q.id AND dot.key = d.id),
+        fused AS (SELECT query_id, key, sum(floor(1000000000 / (60 + r)))::BIGINT AS score FROM (SELECT * FROM lex WHERE r <= 20 UNION ALL SELECT * FROM near WHERE r <= 20) GROUP BY ALL)
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, key))::INTEGER AS rank, key AS doc_id, score FROM fused QUALIFY rank <= 10""",
+    "type_metadata": "SELECT doc_id, doc_type, " + ", ".join(
+        f"nullif(array_to_string(list_filter({x}, lambda v, i: list_position({x}, v) = i), ' ; '), '') AS all_{n}" for n, x in (
+            ("amount", r"(CASE WHEN doc_type = 'contrato' THEN regexp_extract_all(text, '([0-9]+(?:[.,][0-9]+)+)', 1) ELSE [] END)"),
+            ("word", r"(CASE WHEN doc_type = 'contrato' THEN regexp_extract_all(text, '([A-Z][a-z]{9,})', 1) WHEN doc_type = 'cv' THEN list_concat(regexp_extract_all(text, '([A-Z][a-z]{9,})', 1), regexp_extract_all(text, '([a-z]{14,})', 1)) ELSE [] END)"),
+            ("email", r"(CASE WHEN doc_type = 'cv' THEN regexp_extract_all(text, '([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)', 1) ELSE [] END)"),
+            ("url", "regexp_extract_all(text, '(https?://[^\\s\"''<>]+)', 1)"))) + f" FROM documents JOIN (SELECT doc_id::BIGINT AS doc_id, doc_type FROM ({_DOCUMENT_TABLE})) USING (doc_id)",
 }

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from ..functions import markup
 from ..functions.metadata import DOC_TYPE_KEYWORDS, chunk_id, detect_mime, document_id, heading_of
 from ..functions.strings import basename, fallback_tokens, split_lines
-from ..operators import ann, catalog, chunking, codes, embedding, extract, language, paths, search, tables
+from ..operators import ann, catalog, chunking, codes, embedding, extract, language, lexical, paths, postings, search, tables
 from ..session import shared_dir, staged
 from ..sources.commands import parse_commands
 from ..sources.files import list_documents, read_documents
 from ..sources.tables import read_table
+from ..streaming import monitor
 from ..streaming.arrival import ingest_arrivals
 from . import inputs
 from .ingest import Settings, ingest, store
@@ -214,14 +215,16 @@ def embedded_lines(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("chunk_id", F.size("embedding").alias("dim"), *parts)
 
 
-_TRIED: set = set()
+_LAST: list = [None]
 
 
 def _busy_at_first(texts):
-    """Fails the first time a task asks for a batch of texts."""
-    if tuple(texts) not in _TRIED:
-        _TRIED.add(tuple(texts))
+    """Fails the first time it is asked for a batch, as long as no other comes between; one hash is remembered."""
+    name = hashlib.md5("\0".join(texts).encode()).digest()
+    if _LAST[0] != name:
+        _LAST[0] = name
         raise RuntimeError("busy")
+    _LAST[0] = None
     return _letter_counts(texts)
 
 
@@ -469,6 +472,16 @@ def type_language_filter(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.by_type_language(_stored_documents(spark, sf), "contrato", "de").select(*NARROW)
 
 
+def uri_batch_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every third document's uri and as many unknown ones, looked up in tables whose ids are hashes of uris."""
+    root = f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+    docs = inputs.document_table(spark, sf).withColumn("doc_id", document_id(F.col("uri")))
+    tables.publish(docs, inputs.line_chunks(spark, sf).where("chunk_index = 0"), root, buckets=16)
+    asked = docs.where("cast(substring_index(filename, '.', 1) AS bigint) % 3 = 0").select("uri")
+    unknown = asked.select(F.concat("uri", F.lit("x")).alias("uri"))
+    return tables.lookup_uris(spark, root, asked.unionByName(unknown)).select("uri", "doc_type", "language", "char_count")
+
+
 def json_containment(spark: SparkSession, sf: str) -> DataFrame:
     value = F.parse_json("text")
     return inputs.nested_json(spark, sf).select(
@@ -477,6 +490,20 @@ def json_containment(spark: SparkSession, sf: str) -> DataFrame:
         catalog.json_has_key(F.col("text"), "props").alias("has_props"), catalog.json_has_key(F.col("text"), "k").alias("has_k"))
 
 
+def containment_postings(spark: SparkSession, sf: str) -> DataFrame:
+    """Every pattern of a type and a number that occurs, and some of other shapes, against the postings of all events."""
+    root = f"{shared_dir(spark)}/postings-{uuid.uuid4().hex}"
+    events = inputs.nested_json(spark, sf).withColumnRenamed("event_id", "key")
+    postings.write_postings(events, root)
+    props = read_table(spark, sf, "events", ["event_type", "props"])
+    exact = props.select(F.concat(F.lit('{"props": '), "props", F.lit(', "type": "'), "event_type", F.lit('", "none": {}}')).alias("pattern")).distinct()
+    loose = props.select(F.concat(F.lit('{"type": "'), "event_type", F.lit('", "props": {}, "value": 10.0}')).alias("pattern")).distinct()
+    wrong = props.select(F.concat(F.lit('{"type": "'), "event_type", F.lit('", "props": {"k": "69"}}')).alias("pattern")).distinct()
+    patterns = staged(exact.unionByName(loose).unionByName(wrong).withColumn("pattern_id", F.col("pattern")), "patterns")
+    found = postings.containing(spark, root, patterns, events)
+    return found.select(F.col("pattern_id").alias("pattern"), F.col("key").alias("event_id"))
+
+
 def document_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.chunks_of(inputs.line_chunks(spark, sf), "0")
 
@@ -519,6 +546,19 @@ def subtree_listing(spark: SparkSession, sf: str) -> DataFrame:
     return paths.list_subtree(inputs.nodes(spark, sf), "/en/7")
 
 
+def subtree_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every directory, roots included, with its pre-order place among all nodes and the nodes below it."""
+    labels = paths.label_subtrees(inputs.nodes(spark, sf))
+    return labels.where("node_type = 'd'").select("ns", "path", "first", (F.col("last") - F.col("first")).alias("n_below"))
+
+
+def many_subtrees(spark: SparkSession, sf: str) -> DataFrame:
+    """What lies at and below every directory, all in one question."""
+    nodes = inputs.nodes(spark, sf)
+    labels = staged(paths.label_subtrees(nodes), "labels")
+    return paths.list_subtrees(labels, nodes.where("node_type = 'd'").select("ns", "path"))
+
+
 def tree_listing(spark: SparkSession, sf: str) -> DataFrame:
     return paths.list_subtree(inputs.nodes(spark, sf))
 
@@ -614,6 +654,54 @@ def arrival_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return documents.select(inputs.page_number(F.col("uri")).alias("page_id"), "mime_type", "doc_type", "language", "char_count")
 
 
+def arrival_of_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages arrive, then all of them again under other names, every tenth with an addition: what the tables then hold."""
+    base = f"{shared_dir(spark)}/arrivals-{uuid.uuid4().hex}"
+    folder = inputs.page_files(spark, sf)
+    arrive = lambda: ingest_arrivals(spark, folder, f"{base}/tables", f"{base}/progress", Settings(embedding_dim=64), buckets=4, known=f"{base}/known").awaitTermination()
+    arrive()
+    again = F.when(F.col("page_id") % 10 == 0, F.concat("html", F.lit("<p>again</p>"))).otherwise(F.col("html"))
+    pages = read_table(spark, sf, "pages", ["page_id", "html"])
+    pages.select(F.col("page_id").alias("copy_id"), again.alias("html")).write.mode("append").partitionBy("copy_id").text(folder)
+    arrive()
+    documents, _ = tables.read_tables(spark, f"{base}/tables")
+    copy = F.regexp_extract("uri", "copy_id=([0-9]+)", 1)
+    return documents.select((copy != "").alias("is_copy"), F.when(copy != "", copy.cast("long")).otherwise(inputs.page_number(F.col("uri"))).alias("page_id"), "char_count")
+
+
+def health_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Events arrive in five parts of six days, every 37th a part too late, and are counted by six hours and type."""
+    base = f"{shared_dir(spark)}/health-{uuid.uuid4().hex}"
+    events = read_table(spark, sf, "events", ["event_id", "ts", "event_type", "value"])
+    part = F.least(F.lit(4), F.expr("(dayofmonth(ts) - 1) div 6") + (F.col("event_id") % 37 == 0).cast("int"))
+    for number in range(5):
+        events.where(part == number).write.mode("append").parquet(f"{base}/events")
+        stream = spark.readStream.schema(events.schema).parquet(f"{base}/events")
+        windows = monitor.health_windows(stream, F.col("event_type") == "error", F.col("value"), ["event_type"], width="6 hours", delay="12 hours")
+        monitor.watch_health(windows, f"{base}/windows", f"{base}/progress").awaitTermination()
+    kept = monitor.watched_windows(spark, f"{base}/windows", ["event_type"])
+    return kept.select(F.col("window_start").cast("string").alias("window_start"), "event_type", "n", "n_failed", F.round("mean_latency", 6).alias("mean_latency"), "max_latency")
+
+
+def health_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """Hours of all events with over a quarter of errors, or a latency over 250."""
+    events = read_table(spark, sf, "events", ["ts", "event_type", "value"])
+    windows = monitor.health_windows(events, F.col("event_type") == "error", F.col("value"))
+    return monitor.alerts(windows, 0.25, 250.0, 3).select(F.col("window_start").cast("string").alias("window_start"), "n", "n_failed", "max_latency", "reason")
+
+
+def fused_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Every turn as a question: documents by the words they share, by the nearness of hashed counts, and both fused."""
+    texts = staged(inputs.documents(spark, sf).groupBy("text").agg(F.min("doc_id").alias("key")).select("key", "text"), "texts")
+    asked = staged(read_table(spark, sf, "conversations").select(F.concat_ws(":", "conv_id", "turn").alias("query_id"), F.col("text").alias("query_text")), "asked")
+    words = lexical.lexical_top_k(staged(lexical.weigh_terms(texts), "index"), asked, 20)
+    vectors = staged(embedding.embed_chunks(texts, _word_counts, dim=64, text="text", doc_id="key", attempts=1).select("key", "embedding"), "vectors")
+    questions = embedding.embed_chunks(asked, _word_counts, dim=64, text="query_text", doc_id="query_id", attempts=1).select("query_id", F.col("embedding").alias("query_vector"))
+    near = search.batch_top_k(vectors, questions, 20, key="key")
+    found = lexical.fuse([words, near], 10)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("key").alias("doc_id"), "score")
+
+
 def rerank_lexical(spark: SparkSession, sf: str) -> DataFrame:
     """Twenty nearest vectors of every label's mean, ranked again by the words they share with the label's first text."""
     texts = inputs.documents(spark, sf)
@@ -632,6 +720,19 @@ def extra_metadata(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", *every)
 
 
+_TYPE_RULES = [("contrato", "amount", r"([0-9]+(?:[.,][0-9]+)+)"), ("contrato", "word", r"([A-Z][a-z]{9,})"), ("cv", "email", r"([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"),
+               ("cv", "word", r"([a-z]{14,})"), ("cv", "word", r"([A-Z][a-z]{9,})"), (None, "url", r"(https?://[^\s\"'<>]+)")]
+
+
+def type_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """What the rules of each document's type find, one row per document, all matches of every rule as texts."""
+    rules = spark.createDataFrame(_TYPE_RULES, "doc_type string, name string, pattern string")
+    kinds = inputs.document_table(spark, sf).select(F.col("doc_id").cast("long").alias("doc_id"), "doc_type")
+    out = catalog.extract_by_type(inputs.documents(spark, sf).join(kinds, "doc_id"), rules)
+    every = [F.array_join(F.try_variant_get("extra_metadata", f"$.{n}", "array<string>"), " ; ").alias(f"all_{n}") for n in ("amount", "word", "email", "url")]
+    return out.select("doc_id", "doc_type", *every)
+
+
 QUERIES = {f.__name__: f for f in (
     mime_detection, file_listing, file_reading, command_log,
     text_decoding, html_to_text, json_to_text, nested_json_to_text, docx_to_text, mixed_extraction,
@@ -642,9 +743,9 @@ QUERIES = {f.__name__: f for f in (
     upsert_documents, upsert_chunks_merge, upsert_chunks_replace, cascade_delete, constraint_violations,
     column_defaults, published_tables, stored_rejects, read_rejects, upsert_ties,
     cosine_top_k, cosine_top_k_referenced, filtered_top_k, batch_top_k, batch_top_k_shuffled, inverted_lists_all, inverted_lists_shuffled,
-    inverted_lists_recall, bounded_lists_top_k, filtered_lists_top_k, coded_top_k, uri_lookup, type_language_filter, json_containment, document_chunks, ordered_chunks,
+    inverted_lists_recall, bounded_lists_top_k, filtered_lists_top_k, coded_top_k, uri_lookup, uri_batch_lookup, type_language_filter, json_containment, containment_postings, document_chunks, ordered_chunks,
     heading_filter, ingestion, ingestion_rejects,
-    split_paths, path_lookup, subtree_listing, tree_listing, empty_directories, tree_violations, capacity_report,
+    split_paths, path_lookup, subtree_listing, tree_listing, subtree_sizes, many_subtrees, empty_directories, tree_violations, capacity_report,
     bulk_create, created_nodes, contested_create, bulk_delete, remaining_nodes, bulk_move, moved_nodes,
-    skip_ingested, arrival_ingest, rerank_lexical, extra_metadata,
+    skip_ingested, arrival_ingest, arrival_of_copies, health_windows, health_alerts, rerank_lexical, fused_search, extra_metadata, type_metadata,
 )}

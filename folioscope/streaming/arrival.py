@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.catalog import known_contents, new_contents, remember_contents
 from ..operators.tables import BUCKETS
 from ..plans.ingest import Settings, ingest, store
+from ..session import staged
 from ..sources.files import BINARY_FILE, SUPPORTED_GLOB, to_raw
 
 
@@ -21,18 +23,30 @@ def arriving_documents(spark: SparkSession, folder: str, max_files: int | None =
 
 
 def ingest_arrivals(spark: SparkSession, folder: str, root: str, checkpoint: str,
-                    settings: Settings = Settings(), max_files: int | None = None, buckets: int = BUCKETS) -> StreamingQuery:
+                    settings: Settings = Settings(), max_files: int | None = None, buckets: int = BUCKETS,
+                    known: str | None = None) -> StreamingQuery:
     """Ingest all files that arrived since the last run, then stop.
 
     The checkpoint remembers the files. A batch that is repeated after a failure replaces the
     same ids, so it leaves the same tables. Each batch rewrites the buckets it touches and appends its
     rejects; choose ``max_files`` large enough that a version is worth writing.
+
+    With ``known``, a folder that keeps the hashes of all contents that were ingested, a content is ingested once: of
+    equal files the lowest uri of the first batch that has it. A content stays known when its document is replaced. The
+    hashes are kept after the tables are written, under the batch's number, which its repetition leaves out of account.
     """
-    def batch(files: DataFrame, _batch_id: int) -> None:
+    def batch(files: DataFrame, batch_id: int) -> None:
         big = F.lit(False) if settings.max_bytes is None else F.col("length") > settings.max_bytes
         rejects = files.where(big).select(F.col("path").alias("uri"), F.lit("read").alias("stage"),
                                           F.lit("too_large").alias("reason"))
-        store(ingest(to_raw(files.where(~big)), settings, rejects), root, buckets)
+        raw = to_raw(files.where(~big))
+        if known is None:
+            store(ingest(raw, settings, rejects), root, buckets)
+            return
+        hashes = staged(new_contents(raw), "arrived")
+        fresh = staged(hashes.join(known_contents(spark, known, hashes, batch_id), "content_sha256", "left_anti"), "fresh")
+        store(ingest(raw.join(fresh.select("uri"), "uri", "left_semi"), settings, rejects), root, buckets)
+        remember_contents(fresh, known, batch_id)
 
     return (arriving_documents(spark, folder, max_files).writeStream.foreachBatch(batch)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
