@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 _WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
-_FLOORS = (0.15, 0.35, 0.35, 0.35, 0.35)
+_FLOORS = (0.15, 0.35, 0.6, 0.6, 0.35)
 _N = len(_FLOORS)
 _PAIRS = [(i, j) for i in range(_N) for j in range(i + 1)]
 
@@ -37,39 +37,60 @@ def _distance() -> str:
     return f"(SELECT *, {' + '.join(f'y{i} * y{i}' for i in range(_N))} AS d2 FROM {inner})"
 
 
-def _factor(source: str) -> str:
-    """Means and Cholesky factors from sums."""
-    inner = f"(SELECT gl, gs, {', '.join(f's{i} / n::DOUBLE / 1024 AS m{i}' for i in range(_N))}, {', '.join(f'p{i}{j} / n::DOUBLE / (1024 * 1024) AS q{i}{j}' for i, j in _PAIRS)} FROM {source})"
+def _factor(source: str, keys: str, consistency: str) -> str:
+    """Means, Cholesky factors and the logarithm of the determinant from sums."""
+    inner = f"(SELECT {keys}, {', '.join(f's{i} / n::DOUBLE / 1024 AS m{i}' for i in range(_N))}, {', '.join(f'p{i}{j} / n::DOUBLE / (1024 * 1024) AS q{i}{j}' for i, j in _PAIRS)} FROM {source})"
     for i, j in _PAIRS:
         rest = f"(q{i}{j} - m{i} * m{j})"
-        rest = f"(greatest({rest}, 0) * 1.41::DOUBLE + {_FLOORS[i] ** 2!r}::DOUBLE)" if i == j else f"({rest} * 1.41::DOUBLE)"
+        rest = f"(greatest({rest}, 0) * {consistency}::DOUBLE + {_FLOORS[i] ** 2!r}::DOUBLE)" if i == j else f"({rest} * {consistency}::DOUBLE)"
         rest += "".join(f" - l{i}{k} * l{j}{k}" for k in range(j))
         value = f"sqrt(greatest({rest}, {_FLOORS[i] ** 2 / 4!r}::DOUBLE))" if i == j else f"({rest}) / l{j}{j}"
         inner = f"(SELECT *, {value} AS l{i}{j} FROM {inner})"
-    return inner
+    return f"(SELECT {keys}, {', '.join(_FIELDS)}, 2 * ({' + '.join(f'ln(l{i}{i})' for i in range(_N))}) AS log_det FROM {inner})"
 
 
-def _steps(steps: int = 3) -> str:
-    keys = [f"s{i}" for i in range(_N)] + [f"p{i}{j}" for i, j in _PAIRS]
-    sums = ", ".join([f"sum(x{i}) AS s{i}" for i in range(_N)] + [f"sum(x{i} * x{j}) AS p{i}{j}" for i, j in _PAIRS])
-    out = ["r AS MATERIALIZED (SELECT gl, gs, x0, x1, x2, x3, x4 FROM m WHERE NOT base_failed AND (gl, gs) IN (SELECT (gl, gs) FROM m WHERE NOT base_failed GROUP BY gl, gs HAVING count(*) >= 20))",
-           "v AS (SELECT gl, gs, i, v, sum(count(*)) OVER (PARTITION BY gl, gs, i ORDER BY v) AS below, sum(count(*)) OVER (PARTITION BY gl, gs, i) AS n FROM ("
-           + " UNION ALL ".join(f"SELECT gl, gs, {i} AS i, x{i} // 16 AS v FROM r" for i in range(_N)) + ") GROUP BY gl, gs, i, v)",
-           f"e0 AS MATERIALIZED (SELECT gl, gs, {', '.join(f'min(v) FILTER (WHERE i = {i}) * 16 / 1024.0::DOUBLE AS m{i}' for i in range(_N))}, "
-           + ", ".join(f"{_FLOORS[i] if i == j else 0.0!r}::DOUBLE AS l{i}{j}" for i, j in _PAIRS) + " FROM v WHERE 2 * below >= n GROUP BY gl, gs)"]
+_FIELDS = [f"m{i}" for i in range(_N)] + [f"l{i}{j}" for i, j in _PAIRS]
+_KEYS = [f"s{i}" for i in range(_N)] + [f"p{i}{j}" for i, j in _PAIRS]
+_SUMS = ", ".join([f"sum(x{i}) AS s{i}" for i in range(_N)] + [f"sum(x{i} * x{j}) AS p{i}{j}" for i, j in _PAIRS])
+
+
+def _starts() -> str:
+    """Rows of large groups, their quartiles, and the three starts: medians with least or quartile deviations, all rows."""
+    quarter = {"a": 1, "v": 2, "b": 3}
+    around = lambda l: ", ".join([f"v{i} * 16 / 1024.0::DOUBLE AS m{i}" for i in range(_N)] + [f"{l(i) if i == j else '0.0'}::DOUBLE AS l{i}{j}" for i, j in _PAIRS])
+    spread = lambda i: f"sqrt(power((b{i} - a{i}) * 16 / 1024.0::DOUBLE / 1.349::DOUBLE, 2) + {_FLOORS[i] * _FLOORS[i]!r}::DOUBLE)"
+    return f"""r AS MATERIALIZED (SELECT gl, gs, x0, x1, x2, x3, x4 FROM m WHERE NOT base_failed AND (gl, gs) IN (SELECT (gl, gs) FROM m WHERE NOT base_failed GROUP BY gl, gs HAVING count(*) >= 20)),
+        v AS (SELECT gl, gs, i, v, sum(count(*)) OVER (PARTITION BY gl, gs, i ORDER BY v) AS below, sum(count(*)) OVER (PARTITION BY gl, gs, i) AS n
+          FROM ({' UNION ALL '.join(f'SELECT gl, gs, {i} AS i, x{i} // 16 AS v FROM r' for i in range(_N))}) GROUP BY gl, gs, i, v),
+        q AS MATERIALIZED (SELECT gl, gs, {', '.join(f'min(v) FILTER (WHERE i = {i} AND 4 * below >= {q} * n) AS {c}{i}' for i in range(_N) for c, q in quarter.items())} FROM v GROUP BY gl, gs),
+        e0 AS MATERIALIZED (SELECT *, 'inf'::DOUBLE AS log_det, true AS falling FROM (SELECT gl, gs, 0 AS start, {around(lambda i: repr(_FLOORS[i]))} FROM q
+          UNION ALL SELECT gl, gs, 1, {around(spread)} FROM q
+          UNION ALL SELECT gl, gs, 2, {', '.join(_FIELDS)} FROM {_factor(f'(SELECT gl, gs, count(*) AS n, {_SUMS} FROM r GROUP BY gl, gs)', 'gl, gs', '1.0')}))"""
+
+
+def _steps(steps: int) -> str:
+    """Steps from all starts; one whose determinant has stopped falling stays as it is."""
+    out = []
     for k in range(1, steps + 1):
-        joined = f"(SELECT r.*, {', '.join([f'm{i}' for i in range(_N)] + [f'l{i}{j}' for i, j in _PAIRS])} FROM r JOIN e{k - 1} USING (gl, gs))"
-        out += [f"b{k} AS (SELECT gl, gs, bin, count(*) AS n, {sums} FROM (SELECT *, floor(log2(1 + d2) * 64)::INTEGER AS bin FROM {_distance().format(joined)}) GROUP BY gl, gs, bin)",
-                f"c{k} AS (SELECT gl, gs, bin, sum(n) OVER (PARTITION BY gl, gs) AS everything, " + ", ".join(f"sum({x}) OVER (PARTITION BY gl, gs ORDER BY bin) AS {x}" for x in ["n", *keys]) + f" FROM b{k})",
-                f"e{k} AS MATERIALIZED {_factor(f'(SELECT * FROM c{k} WHERE n >= 0.75 * everything QUALIFY row_number() OVER (PARTITION BY gl, gs ORDER BY bin) = 1)')}"]
+        joined = f"(SELECT r.*, start, {', '.join(_FIELDS)} FROM r JOIN e{k - 1} USING (gl, gs) WHERE falling)"
+        nearest = f"(SELECT * FROM c{k} WHERE n >= 0.5 * everything QUALIFY row_number() OVER (PARTITION BY gl, gs, start ORDER BY bin) = 1)"
+        fell = "coalesce(f.log_det < e.log_det - 1e-6::DOUBLE, false)"
+        out += [f"b{k} AS (SELECT gl, gs, start, bin, count(*) AS n, {_SUMS} FROM (SELECT *, floor(log2(1 + d2) * 64)::INTEGER AS bin FROM {_distance().format(joined)}) GROUP BY gl, gs, start, bin)",
+                f"c{k} AS (SELECT gl, gs, start, bin, sum(n) OVER (PARTITION BY gl, gs, start) AS everything, " + ", ".join(f"sum({x}) OVER (PARTITION BY gl, gs, start ORDER BY bin) AS {x}" for x in ["n", *_KEYS]) + f" FROM b{k})",
+                f"f{k} AS MATERIALIZED {_factor(nearest, 'gl, gs, start', _CONSISTENCY)}",
+                f"e{k} AS MATERIALIZED (SELECT gl, gs, start, {', '.join(f'if({fell}, f.{x}, e.{x}) AS {x}' for x in [*_FIELDS, 'log_det'])}, {fell} AS falling FROM e{k - 1} AS e LEFT JOIN f{k} AS f USING (gl, gs, start))"]
     return ", ".join(out)
 
 
-_LAST = f"(SELECT m.*, {', '.join([f'm{i}' for i in range(_N)] + [f'l{i}{j}' for i, j in _PAIRS])} FROM m LEFT JOIN e3 USING (gl, gs))"
+# Half of the rows, widened to all of a normal group; the squared distance that one in a million of its rows passes.
+_CONSISTENCY, _CUTOFF = "1.912208058512948", "35.88818687953741"
+# More than the given tables need; steps without a falling determinant change nothing.
+_ROUNDS = 16
+_LAST = f"(SELECT m.*, {', '.join(_FIELDS)} FROM m LEFT JOIN (SELECT * FROM e{_ROUNDS} QUALIFY row_number() OVER (PARTITION BY gl, gs ORDER BY log_det, start) = 1) USING (gl, gs))"
 
 ORACLES = {
-    "op5_quality_rules": f"""WITH {_BASE}, {_steps()}
-        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(d2, 0) <= 90 AS kept FROM {_distance().format(_LAST)}""",
+    "op5_quality_rules": f"""WITH {_BASE}, {_starts()}, {_steps(_ROUNDS)}
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(d2, 0) <= {_CUTOFF}::DOUBLE AS kept FROM {_distance().format(_LAST)}""",
     "op8_substring_dedup": f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         win AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
         least AS (SELECT s, min(doc_id) AS k FROM win GROUP BY s),

@@ -19,8 +19,9 @@ WINDOW, MIN_WORDS, MAX_REPEATED_PERCENT = 5, 10, 20
 # Transformed statistics: base-2 logarithms in 1024ths, whole numbers so that their sums don't depend on the order.
 STATS = ("word_length", "symbols", "duplicate_lines", "repeats", "capitals")
 UNIT = 1024
-# Least standard deviations: most texts have no symbols or repeated lines at all.
-FLOORS = (0.15, 0.35, 0.35, 0.35, 0.35)
+# Least standard deviations: most texts have no symbols or repeated lines at all. One repeated line of a short text moves
+# two statistics at once and is no outlier yet.
+FLOORS = (0.15, 0.35, 0.6, 0.6, 0.35)
 # Rows a group must have to reject any, and bins of distance per doubling.
 MIN_ROWS, BINS = 20, 64
 
@@ -47,8 +48,6 @@ CONSISTENCY = SHARE / chi_square(quantile(SHARE, len(STATS)), len(STATS) + 2)
 CUTOFF = quantile(1 - TAIL, len(STATS))
 # The logarithm of a determinant has to fall by this to go on.
 LEAST_FALL = 1e-6
-# The rule that op5's SQL writes out: share, steps from one start, consistency factor, squared distance.
-SQL_SHARE, SQL_STEPS, SQL_CONSISTENCY, SQL_CUTOFF = 0.75, 3, 1.41, 90.0
 
 
 # The expressions are SQL texts: a text is one call to the session, however large the expression.
@@ -155,8 +154,8 @@ def _starts(rows: DataFrame) -> DataFrame:
         centres.selectExpr("g", "1 AS start", _around_medians(spread))).unionByName(whole.selectExpr("g", "2 AS start", "est"))
 
 
-def _concentrate(rows: DataFrame, estimates: DataFrame, share: float, consistency: float) -> DataFrame:
-    """One step: estimates from the ``share`` of each group's rows that lie nearest to the present ones, per start.
+def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """One step: estimates from the share of each group's rows that lie nearest to the present ones, per start.
 
     Rows are summed per group and bin of distance; running sums over a group's bins, at most a few thousand, give the
     sums of its nearest rows.
@@ -165,8 +164,8 @@ def _concentrate(rows: DataFrame, estimates: DataFrame, share: float, consistenc
     near = _with_distance(rows.join(estimates, "g")).withColumn("bin", F.expr(f"cast(floor(log2(1 + d2) * {BINS}) AS int)"))
     binned = near.groupBy(*keys, "bin").agg(*[F.expr(f"{v} AS {k}") for k, v in _SUMS.items()])
     run = binned.selectExpr(*keys, "bin", "sum(n) OVER (PARTITION BY g, start) AS everything", *[f"sum({k}) OVER (PARTITION BY g, start ORDER BY bin) AS {k}" for k in _SUMS])
-    enough = run.where(f"n >= {share} * everything")
-    return _factor(enough.groupBy(*keys).agg(F.expr(f"min_by(struct({', '.join(_SUMS)}), bin) AS b")).select(*keys, "b.*"), keys, consistency)
+    enough = run.where(f"n >= {SHARE} * everything")
+    return _factor(enough.groupBy(*keys).agg(F.expr(f"min_by(struct({', '.join(_SUMS)}), bin) AS b")).select(*keys, "b.*"), keys, CONSISTENCY)
 
 
 def _group(lang: str, source: str) -> Column:
@@ -188,7 +187,7 @@ def estimate(measured: DataFrame) -> DataFrame:
     rows = _large_groups(measured)
     now = staged(_starts(rows).selectExpr("*", "cast('Infinity' AS double) AS log_det", "true AS falling"), "estimates")
     while not now.where("falling").isEmpty():
-        after = _concentrate(rows, now.where("falling").select("g", "start", "est"), SHARE, CONSISTENCY)
+        after = _concentrate(rows, now.where("falling").select("g", "start", "est"))
         after = after.selectExpr("g", "start", "est AS new", "log_det AS new_det")
         fell = f"coalesce(new_det < log_det - {LEAST_FALL!r}D, false)"
         now = staged(now.join(after, ["g", "start"], "left").selectExpr(
@@ -196,31 +195,20 @@ def estimate(measured: DataFrame) -> DataFrame:
     return now.groupBy("g").agg(F.expr("min_by(est, struct(log_det, start)) AS est"))
 
 
-def estimate_as_sql(measured: DataFrame) -> DataFrame:
-    """(g, est) of every large group as op5's SQL has it."""
-    rows = _large_groups(measured)
-    now = staged(_centres(rows).selectExpr("g", "0 AS start", _around_medians(_LEAST)), "medians")
-    for _ in range(SQL_STEPS):
-        now = staged(_concentrate(rows, now, SQL_SHARE, SQL_CONSISTENCY).drop("log_det"), "estimates")
-    return now.drop("start")
-
-
-def judge(docs: DataFrame, keep: list[str], text: str = "text", lang: str = "lang", source: str = "source", as_sql: bool = False) -> DataFrame:
+def judge(docs: DataFrame, keep: list[str], text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The columns ``keep`` and, per row, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance, kept.
 
     ``kept`` is false if the base rules fail or the squared distance is over ``CUTOFF``. NULL texts have no words and
     fail; NULL languages and sources are groups of their own; groups of few rows reject by the base rules alone
-    (distance NULL); repeated rows count each; an empty table gives an empty result. ``as_sql`` takes the estimate and
-    the squared distance of op5's SQL, which keeps more junk.
+    (distance NULL); repeated rows count each; an empty table gives an empty result.
     """
     measured = staged(measure(docs, [F.struct(*[F.col(f"`{c}`") for c in keep]).alias("own"), _group(lang, source).alias("g")], text), "measured")
-    found, cutoff = (estimate_as_sql(measured), SQL_CUTOFF) if as_sql else (estimate(measured), CUTOFF)
-    return _verdict(measured, found, cutoff).select("own.*", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "kept")
+    return _verdict(measured, estimate(measured)).select("own.*", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "kept")
 
 
-def _verdict(measured: DataFrame, estimates: DataFrame, cutoff: float) -> DataFrame:
+def _verdict(measured: DataFrame, estimates: DataFrame) -> DataFrame:
     joined = measured.join(estimates.withColumnRenamed("g", "_g"), F.col("g") == F.col("_g"), "left")
-    return _with_distance(joined).withColumn("distance", F.expr("if(base_failed, NULL, d2)")).withColumn("kept", F.expr(f"NOT base_failed AND coalesce(distance, 0D) <= {cutoff!r}D"))
+    return _with_distance(joined).withColumn("distance", F.expr("if(base_failed, NULL, d2)")).withColumn("kept", F.expr(f"NOT base_failed AND coalesce(distance, 0D) <= {CUTOFF!r}D"))
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -231,4 +219,4 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: s
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
     measured = staged(measure(docs, [row, _group(lang, source).alias("g")], text), "measured")
-    return _verdict(measured, estimate(measured), CUTOFF).where("kept").select("own.*")
+    return _verdict(measured, estimate(measured)).where("kept").select("own.*")

@@ -116,6 +116,21 @@ def test_robust_outliers_are_rejected(spark):
     assert all(got[i] for i, _ in clean) and not any(got[i] for i, _ in junk)
 
 
+@pytest.mark.parametrize("share", [0.25, 0.4])
+@pytest.mark.parametrize("kind", ["symbols", "tables", "capitals"])
+def test_much_junk_is_rejected_and_repeated_lines_are_kept(spark, share, kind):
+    """Up to nearly half of a group may be junk; one repeated line makes none."""
+    rnd = random.Random(2)
+    say = lambda n: [" ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(2, 9))) for _ in range(rnd.randrange(8, 16))) for _ in range(n)]
+    spoil = {"symbols": lambda w: w + "$$$", "tables": lambda w: w + " |", "capitals": str.upper}[kind]
+    lines = [say(rnd.randrange(15, 30)) for _ in range(300)]
+    texts = ["\n".join(x + x[:1] if i % 10 == 0 else x) for i, x in enumerate(lines)]
+    junk = int(len(texts) * share)
+    rows = [(i, " ".join(map(spoil, t.split())) if i < junk else t) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.judge(spark.createDataFrame(rows_of(rows), SCHEMA), ["doc_id"]).collect()}
+    assert not any(got[i] for i in range(junk)) and all(got[i] for i in range(junk, len(rows)))
+
+
 def test_quality_model(spark, documents):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     model = quality_model.fit(documents, labels)
