@@ -26,7 +26,8 @@ _INVISIBLE = "|".join(
        "</?[a-z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>",
        "</?[a-z][^>]*>"]
 )
-_ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
+# Names are those of HTML 4 and need their semicolon; numbers end where their digits end.
+_ENTITY = "&(?:#[0-9]{1,7}(?![0-9])|#[xX][0-9a-fA-F]{1,6}(?![0-9a-fA-F])|[a-zA-Z][a-zA-Z0-9]*(?=;));?"
 
 
 def decode_text(content: Column) -> Column:

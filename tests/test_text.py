@@ -90,6 +90,7 @@ def test_decode(spark):
     ("a<!-- <p>no</p> -->b<script>var x='</p>';</script>c<style>q</style><noscript>n</noscript>", "a\nb\nc"),
     ("<header>h</header><meta charset=x>m", "h\nm"),
     ("x &lt;b&gt; &amp;lt; &eacute;&#233;&#xE9; &unknown; &#x1F600; &nbsp;|", "x <b> &lt; ééé &unknown; \U0001f600 \xa0|"),
+    ("&#65 &#66&#x43x &#x44, &#12345678; &copy 2024 &check; &#; &", "A BCx D, &#12345678; &copy 2024 &check; &#; &"),
     ("1 < 2 <a title='x>y' href=\"p>q\">link</a> > 3", "1 < 2\nlink\n> 3"),
     ("<p>  a  </p><p>\n\n\n\n</p>b", "a\n\nb"),
     ("<!DOCTYPE html><?xml x?><br/>only", "only"),
