@@ -1,9 +1,8 @@
-"""Maintenance of the document and chunk tables: upsert, cascade, checks, versions."""
+"""Maintenance of the document and chunk tables: upsert, cascade, checks, storage."""
 
 from __future__ import annotations
 
-import json
-import uuid
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.metadata import document_id
 from ..schemas import CHUNK_DEFAULTS, CHUNKS, DOCUMENT_DEFAULTS, DOCUMENTS, REJECTS
+from ..session import staged
 
 
 def latest_per_key(updates: DataFrame, key: str, order_by: str | None) -> DataFrame:
@@ -131,11 +131,14 @@ def create_tables(spark: SparkSession, database: str = "default") -> None:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet {part}")
 
 
-BUCKETS = 64
+# Rows that a bucket of a new table is meant for; a table that grows to so many times as many is dealt out again.
+ROWS_PER_BUCKET, GROWTH = 1 << 18, 4
 # So many uris are looked up by a filter that Parquet can use; more are joined.
 FEW_URIS = 100
-# Stored layout: <table>/version=<id>/bucket=<n>/[doc_type=…/language=…/]; a manifest names the current folder of every bucket.
-_STORED = {"documents": (DOCUMENTS, ["doc_type", "language"], ["uri"]), "chunks": (CHUNKS, [], ["doc_id", "chunk_index"]), "rejects": (REJECTS, [], [])}
+# Stored layout: <table>/of=<buckets>/bucket=<n>/[doc_type=…/language=…/], buckets by a hash of the key. The writing with the most
+# buckets that Spark has marked complete is the current one. Per table: schema, key, folders within a bucket, order within a file.
+_STORED = {"documents": (DOCUMENTS, "doc_id", ["doc_type", "language"], ["uri"]), "chunks": (CHUNKS, "doc_id", [], ["doc_id", "chunk_index"]),
+           "rejects": (REJECTS, "uri", [], ["uri"])}
 
 
 def _bucket(key: str, buckets: int) -> Column:
@@ -143,114 +146,112 @@ def _bucket(key: str, buckets: int) -> Column:
 
 
 def _folder(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
-    _, folder, fs = _folder(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+def writings(spark: SparkSession, root: str, table: str) -> list[int]:
+    """The bucket counts of a table's complete writings, the current one last."""
+    folder, fs = _folder(spark, f"{root}/{table}")
+    names = [s.getPath() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(int(p.getName()[3:]) for p in names if p.getName().startswith("of=") and fs.exists(p.suffix("/_SUCCESS")))
 
 
-def _manifests(spark: SparkSession, root: str) -> list[str]:
-    return [n for n in _names(spark, f"{root}/_versions") if not n.startswith((".", "_"))]
-
-
-def read_manifest(spark: SparkSession, root: str, name: str | None = None) -> dict | None:
-    """The current manifest, or the named one: buckets, and per table the version that holds each bucket."""
-    names = [name] if name else _manifests(spark, root)
-    return json.loads(spark.read.text(f"{root}/_versions/{names[-1]}", wholetext=True).first()[0]) if names else None
-
-
-def current_version(spark: SparkSession, root: str) -> str | None:
-    names = _manifests(spark, root)
-    return names[-1].split("-", 1)[1] if names else None
-
-
-def _read(spark: SparkSession, root: str, table: str, manifest: dict | None, buckets=None) -> DataFrame:
+def _read(spark: SparkSession, root: str, table: str, buckets=None, with_bucket: bool = False) -> DataFrame:
+    """The current rows, of the given buckets only; these are folders, so no other is opened."""
     schema = _STORED[table][0]
-    held = {b: v for b, v in (manifest or {}).get(table, {}).items() if buckets is None or int(b) in buckets}
-    if not held:
-        return spark.createDataFrame([], schema)
-    paths = [f"{root}/{table}/version={v}/bucket={b}" for b, v in held.items()]
-    whole = T.StructType([*schema.fields, T.StructField("version", T.StringType()), T.StructField("bucket", T.IntegerType())])
-    return spark.read.schema(whole).option("basePath", f"{root}/{table}").parquet(*paths).select(*schema.names)
+    whole = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
+    held = writings(spark, root, table)
+    rows = spark.read.schema(whole).parquet(f"{root}/{table}/of={held[-1]}") if held else spark.createDataFrame([], whole)
+    if buckets is not None:
+        rows = rows.where(F.col("bucket").isin(sorted(buckets)))
+    return rows.select(*schema.names, *["bucket"] * with_bucket)
 
 
-def _write(rows: DataFrame, root: str, table: str, key: str, buckets: int, version: str) -> list[str]:
-    """Write rows into their buckets of a new version; the buckets that have rows. A bucket with most rows is split into files."""
-    _, folders, order = _STORED[table]
+def _write(rows: DataFrame, root: str, table: str, n: int, whole: bool = True) -> None:
+    """Rows (with ``bucket``) into their folders, as all that there is or in place of what these folders hold.
+
+    A bucket with most rows is split into files.
+    """
+    _, _, folders, order = _STORED[table]
     keys = ["bucket", *folders]
-    dealt = rows.withColumn("bucket", _bucket(key, buckets)).hint("rebalance", *keys)
-    path = f"{root}/{table}/version={version}"
-    writer = dealt.sortWithinPartitions(*keys, *order).write.mode("error").partitionBy(*keys)
+    writer = rows.hint("rebalance", *keys).sortWithinPartitions(*keys, *order).write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic")
     if "uri" in rows.columns:
         writer = writer.option("parquet.bloom.filter.enabled#uri", "true")
-    writer.parquet(path)
-    return [n.split("=", 1)[1] for n in _names(rows.sparkSession, path) if n.startswith("bucket=")]
+    writer.partitionBy(*keys).parquet(f"{root}/{table}/of={n}")
 
 
-def _point(spark: SparkSession, root: str, manifest: dict, version: str) -> str:
-    """Make a manifest current: a file whose name sorts after all earlier ones, complete before it gets that name."""
-    jvm, folder, fs = _folder(spark, f"{root}/_versions")
-    fs.mkdirs(folder)
-    number = max([int(n.split("-", 1)[0]) + 1 for n in _manifests(spark, root)], default=0)
-    draft = jvm.org.apache.hadoop.fs.Path(folder, f".{version}")
-    out = fs.create(draft, False)
-    out.write(bytearray(json.dumps(manifest).encode()))
-    out.close()
-    if not fs.rename(draft, jvm.org.apache.hadoop.fs.Path(folder, f"{number:012d}-{version}")):
-        raise RuntimeError("version already published")
-    return version
+def _publish(rows: DataFrame, root: str, table: str, buckets: int | None) -> None:
+    """Write a table whole beside its earlier writings, which rows may come from. Tables of unknown size are counted."""
+    spark, key = rows.sparkSession, _STORED[table][1]
+    n = buckets or max(1, math.ceil(rows.count() / ROWS_PER_BUCKET))
+    n = max([n, *[w + 1 for w in writings(spark, root, table)]])
+    _write(rows.withColumn("bucket", _bucket(key, n)), root, table, n)
 
 
-def publish(documents: DataFrame, chunks: DataFrame, root: str, rejects: DataFrame | None = None, buckets: int = BUCKETS) -> str:
-    """Write both tables whole, and the rejects, as a new version; readers see it when all are complete.
+def publish(documents: DataFrame, chunks: DataFrame, root: str, rejects: DataFrame | None = None, buckets: int | None = None) -> None:
+    """Write both tables whole, and the rejects: documents, then chunks, each visible when it is complete.
 
-    Nothing stored is overwritten, so the rows may come from the version they replace.
+    ``buckets`` follows the number of rows unless given. Nothing stored is overwritten, so the rows may come from the
+    tables they replace; ``drop_superseded`` removes these.
     """
-    spark, version = documents.sparkSession, uuid.uuid4().hex
-    given = {"documents": (document_rows(documents), "doc_id"), "chunks": (chunk_rows(chunks), "doc_id")}
+    _publish(document_rows(documents), root, "documents", buckets)
+    _publish(chunk_rows(chunks), root, "chunks", buckets)
     if rejects is not None:
-        given["rejects"] = (conform(rejects, REJECTS), "uri")
-    manifest: dict = {"buckets": buckets}
-    for table, (rows, key) in given.items():
-        manifest[table] = dict.fromkeys(_write(rows, root, table, key, buckets, version), version)
-    return _point(spark, root, manifest, version)
+        _publish(conform(rejects, REJECTS), root, "rejects", buckets)
+
+
+def _replace(rows: DataFrame, root: str, table: str, touched: set[int]) -> None:
+    """Put the rows of the touched buckets in place of what these hold: Spark overwrites the folders that get rows, those that
+    are left without any go. Where buckets have grown long, the table is dealt into more."""
+    spark = rows.sparkSession
+    _, key, folders, _ = _STORED[table]
+    n = writings(spark, root, table)[-1]
+    kept = staged(rows.withColumn("bucket", _bucket(key, n)), table)  # what is read lies where is written
+    if touched and kept.count() > GROWTH * ROWS_PER_BUCKET * len(touched):
+        others = _read(spark, root, table, with_bucket=True).where(~F.col("bucket").isin(sorted(touched)))
+        _publish(others.unionByName(kept).drop("bucket"), root, table, None)
+        return
+    leaves = lambda df: {tuple(r) for r in df.select("bucket", *folders).distinct().collect()}  # noqa: E731  a row per folder
+    before, after = leaves(_read(spark, root, table, touched, True)), leaves(kept)
+    _write(kept, root, table, n, whole=False)
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for leaf in before - after:
+        inner = "/".join(f"{c}={escape(str(v))}" for c, v in zip(["bucket", *folders], leaf))
+        path, fs = _folder(spark, f"{root}/{table}/of={n}/{inner}")
+        fs.delete(path, True)
 
 
 def update(root: str, documents: DataFrame, chunks: DataFrame, rejects: DataFrame | None = None,
-           mode: str = "replace_by_doc", order_by: str | None = None, buckets: int = BUCKETS) -> str:
-    """Upsert into the stored tables; only the buckets that hold an updated key are read and written.
+           mode: str = "replace_by_doc", order_by: str | None = None, buckets: int | None = None) -> None:
+    """Upsert into the stored tables, documents first; only the buckets that hold an updated key are read and written.
 
     All other buckets stay the files they are. A uri that comes again loses its old rejects. Give written tables, as
-    each is read several times; ``buckets`` counts for a new store only. There is one writer at a time.
+    each is read several times; ``buckets`` counts for a new store only. There is one writer at a time; an update that
+    failed is repeated, which leaves the same rows. Where a catalog has MERGE, prefer it.
     """
-    spark, version = documents.sparkSession, uuid.uuid4().hex
-    manifest = read_manifest(spark, root) or {"buckets": buckets}
-    n = manifest["buckets"]
-    touched = lambda key, *dfs: {r["b"] for d in dfs for r in d.select(_bucket(key, n).alias("b")).distinct().collect()}
-    own = touched("doc_id", documents, chunks)
-    old_docs, old_chunks = (_read(spark, root, t, manifest, own) for t in ("documents", "chunks"))
-    documents = documents if order_by else document_rows(documents)
-    parts = {"documents": (document_rows(upsert_documents(old_docs, documents, order_by)), "doc_id", own),
-             "chunks": (chunk_rows(upsert_chunks(old_chunks, chunks if order_by else chunk_rows(chunks), mode, order_by)), "doc_id", own)}
+    spark = documents.sparkSession
+    for table, new in (("documents", documents), ("chunks", chunks), ("rejects", rejects)):
+        if new is not None and not writings(spark, root, table):
+            # An empty writing has no folders; the count of its buckets follows the first rows.
+            n = buckets or max(1, math.ceil(new.count() / ROWS_PER_BUCKET))
+            _write(spark.createDataFrame([], _STORED[table][0]).withColumn("bucket", F.lit(0)), root, table, n)
+    touched = lambda table, key, *dfs: {r["b"] for d in dfs for r in d.select(_bucket(key, writings(spark, root, table)[-1]).alias("b")).distinct().collect()}
+    in_docs, in_chunks = touched("documents", "doc_id", documents), touched("chunks", "doc_id", documents, chunks)
+    new_docs, new_chunks = (documents, chunks) if order_by else (document_rows(documents), chunk_rows(chunks))
+    merged = upsert_documents(_read(spark, root, "documents", in_docs), new_docs, order_by)
+    _replace(document_rows(merged), root, "documents", in_docs)
+    _replace(chunk_rows(upsert_chunks(_read(spark, root, "chunks", in_chunks), new_chunks, mode, order_by)), root, "chunks", in_chunks)
     if rejects is not None:
-        seen = touched("uri", rejects, documents)
+        seen = touched("rejects", "uri", rejects, documents)
         again = rejects.select("uri").unionByName(documents.select("uri")).distinct()
-        kept = _read(spark, root, "rejects", manifest, seen).join(again, "uri", "left_anti")
-        parts["rejects"] = (kept.unionByName(conform(rejects, REJECTS).distinct()), "uri", seen)
-    for table, (rows, key, buckets_of) in parts.items():
-        before = {b: v for b, v in manifest.get(table, {}).items() if int(b) not in buckets_of}
-        manifest[table] = before | dict.fromkeys(_write(rows, root, table, key, n, version), version)
-    return _point(spark, root, manifest, version)
+        kept = _read(spark, root, "rejects", seen).join(again, "uri", "left_anti")
+        _replace(kept.unionByName(conform(rejects, REJECTS).distinct()), root, "rejects", seen)
 
 
 def read_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """The current version of documents and chunks, empty if nothing is published yet."""
-    manifest = read_manifest(spark, root)
-    return _read(spark, root, "documents", manifest), _read(spark, root, "chunks", manifest)
+    """Documents and chunks as they are stored, empty if there are none yet."""
+    return _read(spark, root, "documents"), _read(spark, root, "chunks")
 
 
 def lookup_uris(spark: SparkSession, root: str, uris: DataFrame) -> DataFrame:
@@ -259,38 +260,28 @@ def lookup_uris(spark: SparkSession, root: str, uris: DataFrame) -> DataFrame:
     A uri gives its id and so its bucket: only these buckets are opened, and within them the row groups whose range and
     bloom filter may hold one of a few uris.
     """
-    manifest = read_manifest(spark, root)
+    held = writings(spark, root, "documents")
     asked = uris.select("uri", document_id(F.col("uri")).alias("doc_id")).distinct()
-    few = asked.select("uri", _bucket("doc_id", (manifest or {}).get("buckets", 1)).alias("b")).limit(FEW_URIS + 1).collect()
+    placed = asked.withColumn("b", _bucket("doc_id", held[-1] if held else 1))
+    few = placed.limit(FEW_URIS + 1).collect()
     if len(few) <= FEW_URIS:
-        held = _read(spark, root, "documents", manifest, {r["b"] for r in few})
-        return held.where(F.col("uri").isin([r["uri"] for r in few]))
-    n = manifest["buckets"] if manifest else 1
-    touched = {r["b"] for r in asked.select(_bucket("doc_id", n).alias("b")).distinct().collect()}
-    return _read(spark, root, "documents", manifest, touched).join(asked, ["uri", "doc_id"], "left_semi").select(*DOCUMENTS.names)
+        return _read(spark, root, "documents", {r["b"] for r in few}).where(F.col("uri").isin([r["uri"] for r in few]))
+    touched = {r["b"] for r in placed.select("b").distinct().collect()}
+    return _read(spark, root, "documents", touched).join(asked, ["uri", "doc_id"], "left_semi").select(*DOCUMENTS.names)
 
 
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, "rejects", read_manifest(spark, root))
+    return _read(spark, root, "rejects")
 
 
-def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> int:
-    """Remove all but the last ``keep`` manifests and every folder that none of those names; how many folders went."""
-    names = _manifests(spark, root)
-    kept = [read_manifest(spark, root, n) for n in names[-keep:]]
-    jvm, folder, fs = _folder(spark, f"{root}/_versions")
-    for n in names[:-keep]:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(folder, n), False)
+def drop_superseded(spark: SparkSession, root: str) -> int:
+    """Remove all writings but the current one of every table; how many went. Rows that were read from them are lost."""
     gone = 0
     for table in _STORED:
-        held = {f"version={v}/bucket={b}" for m in kept for b, v in m.get(table, {}).items()}
-        for version in _names(spark, f"{root}/{table}"):
-            inside = [b for b in _names(spark, f"{root}/{table}/{version}") if b.startswith("bucket=")]
-            dead = [b for b in inside if f"{version}/{b}" not in held]
-            for b in dead if len(dead) < len(inside) else [""]:
-                path = f"{root}/{table}/{version}/{b}".rstrip("/")
-                fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
-                gone += 1
+        for n in writings(spark, root, table)[:-1]:
+            path, fs = _folder(spark, f"{root}/{table}/of={n}")
+            fs.delete(path, True)
+            gone += 1
     return gone
 
 

@@ -75,9 +75,9 @@ def ingest_files(spark: SparkSession, prefix: str, settings: Settings = Settings
     return ingest(raw, settings, too_large(listed, settings.max_bytes), listed)
 
 
-def store(result: Ingested, root: str, buckets: int = tables.BUCKETS) -> str:
-    """Upsert an ingestion into the tables at ``root``, rejects too, and publish them as a new version.
+def store(result: Ingested, root: str, buckets: int | None = None) -> None:
+    """Upsert an ingestion into the tables at ``root``, rejects too.
 
-    ``buckets`` counts when the tables are new; a store that grows large wants more of them.
+    ``buckets`` counts when the tables are new; unless given it follows their rows.
     """
-    return tables.update(root, staged(result.documents, "documents"), staged(result.chunks, "chunks"), staged(result.rejects, "rejects"), buckets=buckets)
+    tables.update(root, staged(result.documents, "documents"), staged(result.chunks, "chunks"), staged(result.rejects, "rejects"), buckets=buckets)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.catalog import known_contents, new_contents, remember_contents
-from ..operators.tables import BUCKETS
 from ..plans.ingest import Settings, ingest, store
 from ..session import staged
 from ..sources.files import BINARY_FILE, SUPPORTED_GLOB, to_raw
@@ -23,13 +22,13 @@ def arriving_documents(spark: SparkSession, folder: str, max_files: int | None =
 
 
 def ingest_arrivals(spark: SparkSession, folder: str, root: str, checkpoint: str,
-                    settings: Settings = Settings(), max_files: int | None = None, buckets: int = BUCKETS,
+                    settings: Settings = Settings(), max_files: int | None = None, buckets: int | None = None,
                     known: str | None = None) -> StreamingQuery:
     """Ingest all files that arrived since the last run, then stop.
 
     The checkpoint remembers the files. A batch that is repeated after a failure replaces the
     same ids, so it leaves the same tables. Each batch rewrites the buckets it touches and appends its
-    rejects; choose ``max_files`` large enough that a version is worth writing.
+    rejects; choose ``max_files`` large enough that rewriting buckets is worth it.
 
     With ``known``, a folder that keeps the hashes of all contents that were ingested, a content is ingested once: of
     equal files the lowest uri of the first batch that has it. A content stays known when its document is replaced. The

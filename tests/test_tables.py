@@ -61,20 +61,24 @@ def test_cascade_and_violations(spark):
                      ("documents_not_null_uri", "b")]
 
 
-def test_versions(spark, tmp_path):
+def test_whole_writings(spark, tmp_path):
     root = str(tmp_path / "t")
-    assert tables.read_tables(spark, root)[0].count() == 0 and tables.current_version(spark, root) is None
+    assert tables.read_tables(spark, root)[0].count() == 0 and tables.writings(spark, root, "documents") == []
     d, c = docs(spark, [("a", "cv", "en"), ("b", "x", "pt")]), chunks(spark, [("a1", "a", 1, "x"), ("a0", "a", 0, "x"), ("b0", "b", 0, "y")])
-    first = tables.publish(d, c, root)
+    tables.publish(d, c, root)
     old_d, old_c = tables.read_tables(spark, root)
-    second = tables.publish(tables.upsert_documents(old_d, docs(spark, [("b", "y", "pt")])), old_c, root)
-    assert first != second == tables.current_version(spark, root)
+    tables.publish(tables.upsert_documents(old_d, docs(spark, [("b", "y", "pt")])), old_c, root)
+    assert tables.writings(spark, root, "documents") == [1, 2]
     new_d, new_c = tables.read_tables(spark, root)
     assert ids(new_d, "doc_id", "doc_type") == [("a", "cv"), ("b", "y")] and new_d.columns == DOCUMENTS.names
     assert [r.chunk_id for r in catalog.chunks_of(new_c, "a").collect()] == ["a0", "a1"]
     plan = catalog.by_type_language(new_d, "cv", "en")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(doc_type" in plan.replace("\n", " ") and catalog.by_type_language(new_d, "cv").count() == 1
     assert "PushedFilters: [IsNotNull(uri), EqualTo(uri,u)]" in catalog.by_uri(new_d, "u")._jdf.queryExecution().executedPlan().toString()
+    assert tables.drop_superseded(spark, root) == 2 and tables.read_tables(spark, root)[0].count() == 2
+    # A writing that was cut off has no mark and is not read.
+    (tmp_path / "t" / "documents" / "of=99").mkdir()
+    assert tables.read_tables(spark, root)[0].count() == 2
 
 
 def test_create_tables(spark):
@@ -117,25 +121,48 @@ def test_metadata_rules(spark):
     assert [r.m for r in out] == ['{"amount":["€ 1.250,00"],"date":["2024-02-03"],"email":["a@b.pt","c@d.com"]}', "{}"]
 
 
+def held(spark, root):
+    return [{f.split(root)[1] for f in t.inputFiles()} for t in tables.read_tables(spark, root)]
+
+
 def test_an_update_keeps_all_other_buckets(spark, tmp_path):
     root = str(tmp_path / "t")
     names = [f"d{i}" for i in range(200)]
     d, c = docs(spark, [(n, "cv", "en") for n in names]), chunks(spark, [(f"{n}:0", n, 0, "x") for n in names])
-    tables.publish(d, c, root)
-    before = tables.read_manifest(spark, root)
+    tables.publish(d, c, root, buckets=64)
+    before = held(spark, root)
     new = docs(spark, [("d7", "x", "pt")]).cache()
     tables.update(root, new, chunks(spark, [("d7:0", "d7", 0, "y")]).cache())
-    after = tables.read_manifest(spark, root)
-    assert len(before["documents"]) > 40
-    for table in ("documents", "chunks"):
-        changed = [b for b in after[table] if after[table][b] != before[table].get(b)]
-        assert len(changed) == 1 and set(after[table]) == set(before[table])
+    assert len(before[0]) > 40
+    for old, now in zip(before, held(spark, root)):
+        assert len({f.split("/")[3] for f in old ^ now}) == 1
     got_d, got_c = tables.read_tables(spark, root)
     assert got_d.count() == 200 and ids(got_d.where("doc_id = 'd7'"), "doc_type") == [("x",)]
     assert got_c.count() == 200 and [r.chunk_text for r in got_c.where("chunk_id = 'd7:0'").collect()] == ["y"]
-    assert tables.expire_versions(spark, root, keep=1) == 2
+
+
+def test_folders_that_lose_all_rows_go(spark, tmp_path):
+    """A document changes its type, alone in its bucket; names of folders need escaping."""
+    root = str(tmp_path / "t")
+    given = lambda *rows: (docs(spark, [r[:3] for r in rows]).cache(), chunks(spark, [r[3] for r in rows if r[3]]).cache())
+    tables.update(root, *given(("a", "c v/1=", "en", ("a0", "a", 0, "x")), ("b", "cv", "pt", ("b0", "b", 0, "y"))), buckets=16)
+    tables.update(root, *given(("a", "x", "en", None)))
     got_d, got_c = tables.read_tables(spark, root)
-    assert got_d.count() == 200 and got_c.count() == 200
+    assert ids(got_d, "doc_id", "doc_type") == [("a", "x"), ("b", "cv")] and ids(got_c, "chunk_id") == [("a0",), ("b0",)]
+    tables.update(root, *given(("a", "x", "en", None)))  # the same once more
+    assert ids(tables.read_tables(spark, root)[0], "doc_id", "doc_type") == [("a", "x"), ("b", "cv")]
+
+
+def test_tables_that_grow_are_dealt_into_more_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 10)
+    root = str(tmp_path / "t")
+    batch = lambda lo, hi: (docs(spark, [(f"d{i}", "cv", "en") for i in range(lo, hi)]).cache(), chunks(spark, [(f"d{i}:0", f"d{i}", 0, "x") for i in range(lo, hi)]).cache())
+    tables.update(root, *batch(0, 15))
+    assert tables.writings(spark, root, "chunks") == [2]
+    tables.update(root, *batch(10, 120))
+    assert tables.writings(spark, root, "chunks") == [2, 12] and [t.count() for t in tables.read_tables(spark, root)] == [120, 120]
+    tables.update(root, *batch(100, 130))
+    assert [t.count() for t in tables.read_tables(spark, root)] == [130, 130]
 
 
 def test_null_and_equal_orders(spark):
