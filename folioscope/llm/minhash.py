@@ -52,7 +52,7 @@ def signatures(raw: list[bytes]) -> np.ndarray:
         s, at = shingles(raw[lo:hi])
         for c in range(0, len(s), _CHUNK):
             part = s[c:c + _CHUNK]
-            rows = np.flatnonzero((at[:-1] < c + len(part)) & (at[1:] > c))
+            rows = np.flatnonzero((at[:-1] < c + len(part)) & (at[1:] > c) & (at[1:] > at[:-1]))  # not those without shingles
             begin = np.maximum(at[rows] - c, 0)
             v = np.empty_like(part)
             for k in range(PERMUTATIONS):
