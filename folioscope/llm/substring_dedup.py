@@ -148,7 +148,8 @@ def repeated_places(rows: DataFrame) -> DataFrame:
     leaders = found.join(kinds.select("mark", "stretch", "first"), ["mark", "stretch"]).where(F.col("id").eqNullSafe(F.col("first")))
     some = leaders.join(varied, "mark", "left_semi").select("id", "t", "place", "mark", F.posexplode("windows").alias("i", "w"))
     some = staged(some.select("id", "t", (F.col("place") + F.col("i")).alias("place"), "mark", "w"), "edges")
-    least = some.groupBy("mark", "w").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    # Written, so that both sides of the join are exchanged and Spark can split a window that very many stretches have.
+    least = staged(some.groupBy("mark", "w").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "least")
     parts = some.join(least, ["mark", "w"]).where(_before("first", "id")).select("id", "t", "place", F.lit(1).alias("n"))
     return later.unionByName(parts)
 
