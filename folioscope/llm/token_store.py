@@ -12,13 +12,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import shared_dir, staged
 from .common import by_bytes, texts_of
 from .encoding import encoder, public_path
 
 END_ID = 2
 CHUNK_BITS, RANK_EVERY = 8, 512  # one chunk is a byte; a directory entry per 512 flags
 SEGMENT_IDS = 1 << 20
+# So many numbers of segments are named in a filter that Parquet can use.
+FEW_SEGMENTS = 100
 _MAGIC = b"DAC1"
 
 
@@ -90,8 +92,9 @@ def write_store(docs: DataFrame, folder: str, path: str | None = None, end_id: i
     """Encode every whole text, append ``end_id``, and write the ids in ascending order of key to ``folder``.
 
     A row of the store is a segment of about a million ids: its place (part, seq), the keys and numbers of ids of its
-    texts, and ``codes``, the bytes of ``encode_ids``. Segments lie in Parquet files, so that any file system of the
-    cluster takes them and a task that is repeated leaves no second copy. A text is never parted. NULL keys come last,
+    texts, and ``codes``, the bytes of ``encode_ids``. Segments lie in Parquet files, a folder for each part and about a
+    segment in a row group, so that a reader opens what it asks for; any file system of the cluster takes them and a
+    task that is repeated leaves no second copy. A text is never parted. NULL keys come last,
     rows of one key are ordered by a hash of their text, NULL texts count as empty.
     """
     path = path or public_path("byte_bpe_50k.json")
@@ -129,7 +132,7 @@ def write_store(docs: DataFrame, folder: str, path: str | None = None, end_id: i
             yield segment()
 
     schema = f"part int, seq int, n_ids long, keys array<{kind.simpleString()}>, lengths binary, codes binary"
-    dealt.mapInArrow(run, schema).write.mode("error").parquet(folder)
+    dealt.mapInArrow(run, schema).write.mode("error").option("parquet.block.size", 2 * SEGMENT_IDS).partitionBy("part").parquet(folder)
 
 
 def _starts(store: DataFrame) -> DataFrame:
@@ -141,9 +144,18 @@ def _starts(store: DataFrame) -> DataFrame:
     return sizes.withColumn("inner", inner).join(before, "part").select("part", "seq", (F.col("before") + F.col("inner")).alias("first"))
 
 
-def read_documents(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
+def _store(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The segments of a store; None for that of an empty table, which has no part."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/part=*")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return spark.read.parquet(folder) if found else None
+
+
+def read_documents(spark: SparkSession, folder: str, key: str = "doc_id", kind: str = "long") -> DataFrame:
     """Per document of the store: key, start (ids before it), n_tokens, ids_crc32 of its ids as 32-bit integers."""
-    store = spark.read.parquet(folder)
+    store = _store(spark, folder)
+    if store is None:
+        return spark.createDataFrame([], f"`{key}` {kind}, start long, n_tokens long, ids_crc32 long")
     kind = store.schema["keys"].dataType.elementType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,15 +174,28 @@ def read_documents(spark: SparkSession, folder: str, key: str = "doc_id") -> Dat
 
 
 def read_ids(spark: SparkSession, folder: str, places: DataFrame, place: str = "place") -> DataFrame:
-    """(place, id) for places counted from the first id of the store; each id is read by itself from its segment."""
-    store = spark.read.parquet(folder)
+    """(place, id) per row of ``places``, counted from the first id of the store; outside of it, and for NULL, id is NULL.
+
+    Each id is read by itself from its segment. Sizes of segments alone tell which parts hold the places; no other
+    part's files are opened, and within them no row group without an asked segment.
+    """
+    store = _store(spark, folder)
+    asked_for = places.select(F.col(place).cast("long").alias("place"))
+    if store is None:
+        return asked_for.withColumn("id", F.lit(None).cast("long"))
     parts = _starts(store).join(store.select("part", "seq", "n_ids"), ["part", "seq"])
     # Places and segments meet by the million of ids they lie in; a segment touches few of them.
     touched = F.sequence(F.expr(f"first div {SEGMENT_IDS}"), F.expr(f"(first + n_ids - 1) div {SEGMENT_IDS}"))
     parts = parts.withColumn("million", F.explode(touched))
-    asked_for = places.select(F.col(place).alias("place"), F.expr(f"`{place}` div {SEGMENT_IDS}").alias("million"))
-    inside = asked_for.join(parts, "million").where((F.col("place") >= F.col("first")) & (F.col("place") < F.col("first") + F.col("n_ids")))
-    asked = inside.groupBy("part", "seq").agg(F.collect_list("place").alias("places"), F.min("first").alias("first"))
+    once = asked_for.distinct().withColumn("million", F.expr(f"place div {SEGMENT_IDS}"))
+    inside = once.join(parts, "million").where((F.col("place") >= F.col("first")) & (F.col("place") < F.col("first") + F.col("n_ids")))
+    # A segment has about a million places.
+    asked = staged(inside.groupBy("part", "seq").agg(F.collect_list("place").alias("places"), F.min("first").alias("first")), "asked")
+    own = [r["part"] for r in asked.select("part").distinct().collect()]  # a row per part
+    few = [r["seq"] for r in asked.select("seq").distinct().limit(FEW_SEGMENTS + 1).collect()]
+    held = store.where(F.col("part").isin(own))
+    if len(few) <= FEW_SEGMENTS:
+        held = held.where(F.col("seq").isin(few))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,7 +203,8 @@ def read_ids(spark: SparkSession, folder: str, places: DataFrame, place: str = "
                 c = Codes(codes)
                 yield pa.RecordBatch.from_arrays([pa.array(wanted, pa.int64()), pa.array([c[p - first] for p in wanted], pa.int64())], names=["place", "id"])
 
-    return store.select("part", "seq", "codes").join(asked, ["part", "seq"]).select("codes", "places", "first").mapInArrow(run, "place long, id long")
+    found = held.select("part", "seq", "codes").join(asked, ["part", "seq"]).select("codes", "places", "first").mapInArrow(run, "place long, id long")
+    return asked_for.join(found, "place", "left").select("place", "id")
 
 
 def stored_documents(docs: DataFrame, path: str | None = None, end_id: int = END_ID, key: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:
@@ -186,4 +212,4 @@ def stored_documents(docs: DataFrame, path: str | None = None, end_id: int = END
     spark = docs.sparkSession
     folder = folder or f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"
     write_store(docs, folder, path, end_id, key, text)
-    return read_documents(spark, folder, key)
+    return read_documents(spark, folder, key, docs.schema[key].dataType.simpleString())
