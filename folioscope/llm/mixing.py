@@ -110,16 +110,31 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
 def mixed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The rows the mix takes, each as often as it says, with their columns unchanged.
 
-    Rows sharing a key are matched to their decisions by size and source. One exchange of the rows serves the join
-    and the numbering.
+    Rows are matched to their decisions by key, size and source. Rows that share all three, as those with NULL keys
+    may, are taken in the order of a hash: all as often as the least of their decisions, and the first of them once more.
     """
-    name = ["k", "is_null"]
+    same = ["k", "is_null", "size", "source"]
     ident = {"k": F.coalesce(F.col(key).cast("string"), F.lit("")), "is_null": F.col(key).isNull()}
     plan = mix(docs, key=key, text=text, source=source, **options)
-    decided = plan.select(*[v.alias(k) for k, v in ident.items()], F.struct("size", F.col(source).alias("source"), "copies").alias("d"))
-    decided = decided.groupBy(*name).agg(F.array_sort(F.collect_list("d")).alias("d"))
-    whole = packed(docs, **ident, size=F.size(words(F.col(text).cast("string"))), source=F.col(source).cast("string"))
-    order = Window.partitionBy(*name).orderBy("size", F.asc_nulls_first("source"), F.xxhash64("row"))
-    told = whole.join(decided, name).withColumn("copies", F.get("d", F.row_number().over(order) - 1)["copies"].cast("int"))
-    times = told.where("copies > 0").withColumn("time", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    decided = plan.select(*[v.alias(k) for k, v in ident.items()], "size", F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("source"), "copies")
+    decided = staged(decided.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min("copies").alias("least"), F.sum("copies").alias("total")), "decided")
+    whole = packed(docs, **ident, size=F.size(words(F.col(text).cast("string"))).cast("long"), source=F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")))
+    alone = whole.join(decided.where("n = 1 AND least > 0").select(*same, "least"), same).select("row", F.col("least").cast("int").alias("copies"))
+    several = decided.where("n > 1 AND total > 0")
+    if not several.isEmpty():
+        alone = alone.unionByName(_shared(whole.join(several, same), same))
+    times = alone.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return unpacked(times, docs.columns)
+
+
+def _shared(rows: DataFrame, same: list[str]) -> DataFrame:
+    """(row, copies) of rows that share a decision: equal rows are one with a count, and running sums over slices of the
+    hash of the rows say how many lie before it, so that no decision's rows meet in one task."""
+    once = staged(rows.groupBy("row", *same, "n", "least", "total").agg(F.count(F.lit(1)).alias("c")).withColumn("order", F.xxhash64("row")), "shared")
+    once = once.withColumn("slice", F.shiftrightunsigned("order", 54).cast("int"))
+    sums = once.groupBy(*same, "slice").agg(F.sum("c").alias("s"))
+    below = sums.select(*same, "slice", (F.sum("s").over(Window.partitionBy(*same).orderBy("slice")) - F.col("s")).alias("below"))
+    inner = F.sum("c").over(Window.partitionBy(*same, "slice").orderBy("order", F.to_json("row")).rowsBetween(Window.unboundedPreceding, 0)) - F.col("c")
+    placed = once.withColumn("inner", inner).join(below, [*same, "slice"])
+    more = F.least(F.col("c"), F.greatest(F.lit(0), F.col("total") - F.col("n") * F.col("least") - F.col("below") - F.col("inner")))
+    return placed.select("row", (F.col("c") * F.col("least") + more).cast("int").alias("copies")).where("copies > 0")

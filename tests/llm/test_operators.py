@@ -2,6 +2,7 @@
 
 import functools
 import random
+import re
 from collections import Counter
 
 from . import brute_llm as brute
@@ -67,10 +68,10 @@ def _ids(name, text):
 
 
 def test_token_counts(table):
-    want = bag((k, len((t or "").encode()), n, n > 100) for k, t in pairs(table) for n in [len(_ids("word_bpe_49k.json", t))]) if table.count() < 50 else None
-    got = token_counts.count_tokens(table, limit=100).collect()
-    assert len(got) == table.count()
-    assert want is None or bag(got) == want
+    counts = [(k, len((t or "").encode()), len(_ids("word_bpe_49k.json", t))) for k, t in pairs(table)]
+    edge = sorted(n for *_, n in counts)[-2]  # one text has more, at least one exactly as many
+    for limit in (100, 2048, edge):
+        assert bag(token_counts.count_tokens(table, limit=limit).collect()) == bag((*c, c[-1] > limit) for c in counts)
 
 
 # Personal data ------------------------------------------------------------------------------------
@@ -313,6 +314,70 @@ def test_minhash_with_many_variants(spark):
     assert got == _classes(rows)
 
 
+def test_signatures_are_least_values_of_shingles(table):
+    """Against plain integers: one hash per distinct shingle, the least of each permutation, likeness near the true Jaccard."""
+    texts = [t or "" for _, t in pairs(table)][:60]
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    hashes, at = minhash.shingles(raw)
+    own = [set(hashes[at[i]:at[i + 1]].tolist()) for i in range(len(raw))]
+    sets = [_shingles(t) for t in texts]
+    assert [len(o) for o in own] == [len(s) for s in sets]
+    assert len(set().union(*own)) == len(set().union(*sets))
+    sig = minhash.signatures(raw)
+    for i, o in enumerate(own):
+        want = [min(((h * int(f) + int(c)) % 2**64 for h in o), default=2**64 - 1) for f, c in zip(minhash.FACTORS, minhash.OFFSETS)]
+        assert sig[i].tolist() == want
+    small = minhash.compact(sig)
+    for i in range(0, len(raw) - 1):
+        union = sets[i] | sets[i + 1]
+        true = len(sets[i] & sets[i + 1]) / len(union) if union else 1.0
+        same = sum(a == b for a, b in zip(small[i].tolist(), small[i + 1].tolist())) / 128
+        assert minhash.likeness(small[i:i + 1], small[i + 1:i + 2])[0] == pytest.approx(max(0.0, (same - 1 / 256) / (255 / 256))) and abs(same - true) < 0.2
+
+
+def test_training_and_scoring_equal_plain_loops():
+    """The same steps on floats of Python, text by text; scores as averages of features' weights."""
+    import math
+
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice(["good", "fine", "text", "word"] if i % 2 else ["spam", "$$$", "buy", "word"]) for _ in range(rnd.randrange(0, 12))) for i in range(24)]
+    def plain(t):
+        return Counter(x for f, _ in quality_model.features([t.encode()]) for x in f.tolist())
+
+    counted = [(np.array(sorted(c), np.int64), np.array([c[x] for x in sorted(c)], np.int64), i % 2) for i, c in enumerate(map(plain, texts))]
+    model = quality_model.train(counted, epochs=3, seed=1)
+    rng = np.random.default_rng(1)
+    vectors = rng.normal(0, 0.1, (quality_model.KINDS << quality_model.BUCKET_BITS, quality_model.DIM)).astype(np.float32)
+    output, bias = rng.normal(0, 0.1, (quality_model.DIM, 2)).tolist(), [0.0, 0.0]
+    held = {int(x): [float(v) for v in vectors[x]] for ids, _, _ in counted for x in ids}
+    for epoch in range(3):
+        rate, order = quality_model.RATE * (1 - epoch / 3), rng.permutation(len(counted)).tolist()
+        for lo in range(0, len(order), quality_model.BATCH):
+            part = [counted[i] for i in order[lo:lo + quality_model.BATCH]]
+            steps = []
+            for ids, n, y in part:
+                share = [c / max(int(n.sum()), 1) for c in n.tolist()]
+                mean = [sum(w * held[x][d] for w, x in zip(share, ids.tolist())) for d in range(quality_model.DIM)]
+                z = [sum(m * o[k] for m, o in zip(mean, output)) + bias[k] for k in (0, 1)]
+                e = [math.exp(v - max(z)) for v in z]
+                g = [v / sum(e) - (k == y) for k, v in enumerate(e)]
+                steps.append((ids.tolist(), share, mean, g, [sum(o[k] * g[k] for k in (0, 1)) for o in output]))
+            for d in range(quality_model.DIM):
+                for k in (0, 1):
+                    output[d][k] -= rate * sum(s[2][d] * s[3][k] for s in steps) / len(part)
+            for k in (0, 1):
+                bias[k] -= rate * sum(s[3][k] for s in steps) / len(part)
+            for ids, share, _, _, back in steps:
+                for x, w in zip(ids, share):
+                    held[x] = [v - rate * 20 * w * b for v, b in zip(held[x], back)]
+    want = []
+    for t in texts:
+        c = plain(t)
+        total = sum(n * sum(v * (o[1] - o[0]) for v, o in zip(held[x], output)) for x, n in c.items()) / max(sum(c.values()), 1)
+        want.append(1 / (1 + math.exp(-(total + bias[1] - bias[0]))))
+    assert model.score([t.encode() for t in texts]) == pytest.approx(want, abs=1e-4)
+
+
 # Mixing and packing -------------------------------------------------------------------------------
 
 def test_targets_and_mix(table):
@@ -356,6 +421,20 @@ def test_mixed_rows(odd, documents):
         assert Counter((r["doc_id"], len(brute.words(r["text"]))) for r in rows.collect()) == +want
 
 
+def test_mixed_rows_that_share_keys(spark):
+    """Half of the rows have no key or the same one, of few sizes, many of them equal: all are taken as often as decided."""
+    rnd = random.Random(4)
+    rows = [(rnd.choice([None, None, 7, i]), " ".join(["w"] * rnd.randrange(1, 4) + rnd.choice([[], ["x"]])), rnd.choice(["s", "t", None])) for i in range(400)]
+    table = spark.createDataFrame(rows_of(rows), SCHEMA)
+    got = [tuple(r) for r in mixing.mixed_rows(table).collect()]
+    want = Counter()
+    for r in mixing.mix(table).collect():
+        want[r["doc_id"], r["size"], r["source"]] += r["copies"]
+    assert Counter((r[0], len(brute.words(r[1])), r[3]) for r in got) == +want
+    given, taken = bag(map(tuple, table.collect())), bag(got)
+    assert set(taken) <= set(given) and all(n <= 3 * given[r] for r, n in taken.items()) and bag(map(tuple, mixing.mixed_rows(table).collect())) == taken
+
+
 def test_best_fit_plan_equals_best_fit_by_piece():
     import bisect
 
@@ -388,12 +467,11 @@ def test_packing(table, capacity):
         assert at <= capacity
     total = sum(r["length"] for r in rows)
     assert len(by_sequence) <= 1.1 * total / capacity + 2
-    if table.count() < 50:
-        want = []
-        for k, t in pairs(table):
-            ids = _ids("word_bpe_49k.json", t) + [0]
-            want += [(k, p, lo, len(ids[lo:lo + capacity]), brute.crc(ids[lo:lo + capacity])) for p, lo in enumerate(range(0, len(ids), capacity))]
-        assert bag(r[:5] for r in rows) == bag(want)
+    want = []
+    for k, t in pairs(table):
+        ids = _ids("word_bpe_49k.json", t) + [0]
+        want += [(k, p, lo, len(ids[lo:lo + capacity]), brute.crc(ids[lo:lo + capacity])) for p, lo in enumerate(range(0, len(ids), capacity))]
+    assert bag(r[:5] for r in rows) == bag(want)
 
 
 def test_sequences_hold_their_ids(odd):
@@ -425,10 +503,29 @@ def test_token_store(spark, table):
         at += r["n_tokens"]
     ids = [r["doc_id"] for r in order]
     assert ids == sorted(ids, key=lambda k: (k is None, k or 0))
-    if table.count() < 50:
-        assert bag((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == bag((k, len(i), brute.crc(i)) for k, t in pairs(table) for i in [_ids("byte_bpe_50k.json", t) + [2]])
-        places = spark.createDataFrame([(r["start"] + r["n_tokens"] - 1,) for r in order], "place long")
-        assert {r["id"] for r in token_store.read_ids(spark, folder, places).collect()} == {2}
+    assert bag((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == bag((k, len(i), brute.crc(i)) for k, t in pairs(table) for i in [_ids("byte_bpe_50k.json", t) + [2]])
+    places = spark.createDataFrame([(r["start"] + r["n_tokens"] - 1,) for r in order], "place long")
+    assert {r["id"] for r in token_store.read_ids(spark, folder, places).collect()} == {2}
+
+
+def test_single_ids_open_their_part_alone(spark, documents, monkeypatch):
+    from folioscope.session import shared_dir
+
+    monkeypatch.setattr(token_store, "SEGMENT_IDS", 2000)
+    folder = f"{shared_dir(spark)}/store-{random.getrandbits(60)}"
+    got = sorted(token_store.stored_documents(documents.where("doc_id < 60"), folder=folder).collect(), key=lambda r: r["start"])
+    texts = dict(pairs(documents))
+    every = [x for r in got for x in _ids("byte_bpe_50k.json", texts[r["doc_id"]]) + [2]]
+    rnd = random.Random(1)
+    asked = [rnd.randrange(len(every)) for _ in range(50)] * 2 + [0, len(every) - 1, len(every), -1, 10**12, None]
+    found = token_store.read_ids(spark, folder, spark.createDataFrame([(p,) for p in asked], "place long"))
+    assert bag(found.collect()) == bag((p, every[p] if p is not None and 0 <= p < len(every) else None) for p in asked)
+    one = token_store.read_ids(spark, folder, spark.createDataFrame([(5,)], "place long"))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*part#[0-9]+[^\]]*= 0", plan) and re.search(r"PushedFilters: \[[^\]]*EqualTo\(seq,0\)", plan)
+    empty = f"{shared_dir(spark)}/store-{random.getrandbits(60)}"
+    assert token_store.stored_documents(documents.limit(0), folder=empty).count() == 0
+    assert [r["id"] for r in token_store.read_ids(spark, empty, spark.createDataFrame([(5,)], "place long")).collect()] == [None]
 
 
 # Substrings ---------------------------------------------------------------------------------------
