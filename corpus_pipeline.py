@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from folioscope.llm import mixing, packing, pii, quality_rules, simhash
-from folioscope.session import staged
+from folioscope.session import inner_stages
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +43,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of ``sf_dir``; each result but the last is a table in the shared folder."""
+    """All stages on the documents of ``sf_dir``; each result but the last is a table in the shared folder, and what a stage
+    wrote on the way goes when its result is there."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        with inner_stages(spark) as keep:
+            docs = keep(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

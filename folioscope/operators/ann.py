@@ -8,7 +8,6 @@ of the cell cannot lie nearer to a query than these angles allow.
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine
-from ..session import shared_dir, staged
+from ..session import scratch, staged
 from .search import BLOCK_BYTES, PROBES, TILE_BYTES, _best_rows, _matrix, _merge, _rank_table, build_lists
 
 # Centres and cells travel to the tasks; an index that would exceed these is refused.
@@ -165,7 +164,7 @@ def bounded_top_k(index: Index, queries: DataFrame, k: int = 10, wanted: str | N
     sizes = index.cells.column("n").to_numpy()
     everything, visited = int(sizes.sum()), None
     before, rows = 0, max(k, math.ceil(probes * everything / max(1, len(sizes))))
-    folder, found = f"{shared_dir(spark)}/bounded-{uuid.uuid4().hex}", None
+    folder, found = scratch(spark, "bounded"), None
     while before < everything:
         asked = staged(_visits(state, index, rows, before, kind), "visits")
         seen = asked.select("query_id", F.size("cells").alias("cells"))

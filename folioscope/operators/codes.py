@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine
-from ..session import shared_dir, staged
+from ..session import scratch, staged
 from .search import BLOCK_BYTES, _best_rows, _matrix, _merge, _rank_table
 
 # Values of a byte, rows that the codebooks are learned from, steps of learning, candidates ranked again per result.
@@ -134,7 +133,7 @@ def coded_top_k(coded: DataFrame, vectors: DataFrame, books: list[np.ndarray], q
     n = asked.count()
     if not n or not books:
         return spark.createDataFrame([], f"{types}, rank int")
-    folder, blocks = f"{shared_dir(spark)}/coded-{uuid.uuid4().hex}", math.ceil(n * 4 * VALUES * len(books) / block_bytes)
+    folder, blocks = scratch(spark, "coded"), math.ceil(n * 4 * VALUES * len(books) / block_bytes)
     for b in range(blocks):
         block = (asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)).toArrow()
         if block.num_rows:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import uuid
 import zipfile
 from xml.sax.saxutils import escape
 
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.metadata import DOCX, HTML, JSON, MARKDOWN, PDF, PLAIN
 from ..functions.strings import fallback_tokens
 from ..operators.paths import normalize_path, prefixes_of
-from ..session import shared_dir
+from ..session import scratch
 from ..sources.tables import read_table
 
 STAMP = "2024-01-01 00:00:00"
@@ -109,7 +108,7 @@ def docx_files(spark: SparkSession, sf: str) -> DataFrame:
 
 def page_files(spark: SparkSession, sf: str) -> str:
     """The folder of a fresh export of all pages, one text file each."""
-    folder = f"{shared_dir(spark)}/pages-{uuid.uuid4().hex}"
+    folder = scratch(spark, "pages")
     # Each task writes its own pages, so that an export of any size needs no shuffle.
     read_table(spark, sf, "pages", ["page_id", "html"]).write.partitionBy("page_id").text(folder)
     return folder

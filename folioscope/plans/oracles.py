@@ -372,6 +372,7 @@ ORACLES = {
         UNION ALL SELECT 'chunks_dimension', chunk_id, 1 FROM c WHERE chunk_index = 2
         UNION ALL SELECT 'documents_not_null_filename', doc_id, CASE WHEN language = 'es' THEN 2 ELSE 1 END FROM d WHERE doc_type = 'cv' AND language <> 'de'""",
     "column_defaults": f"""SELECT doc_id, CASE WHEN doc_type = 'cv' THEN 'cv' ELSE 'unknown' END AS doc_type, language, 0 AS char_count, '{{}}' AS extra_metadata, true AS has_timestamp FROM ({_DOCUMENT_TABLE})""",
+    "created_tables": f"SELECT doc_id, doc_type, language, char_count, doc_id || ':0' AS chunk_id FROM ({_DOCUMENT_TABLE}) WHERE doc_type IN ('cv', 'contrato')",
     "published_tables": f"""SELECT d.doc_id, d.doc_type, d.language, count(*) AS n_chunks, sum(token_count)::BIGINT AS n_tokens
         FROM ({_DOCUMENT_TABLE}) d JOIN ({_LINE_CHUNKS}) c USING (doc_id) GROUP BY ALL""",
     "cosine_top_k": f"""SELECT e.vec_id, d.lang, d.source, d.n_chars, round({_SIM.format('e.embedding', _QV)}, 6) AS similarity

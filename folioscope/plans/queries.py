@@ -12,7 +12,7 @@ from ..functions import markup
 from ..functions.metadata import DOC_TYPE_KEYWORDS, chunk_id, detect_mime, document_id, heading_of
 from ..functions.strings import basename, fallback_tokens, split_lines
 from ..operators import ann, catalog, chunking, codes, embedding, extract, language, lexical, paths, postings, search, tables
-from ..session import shared_dir, staged
+from ..session import scratch, staged
 from ..sources.commands import parse_commands
 from ..sources.files import list_documents, read_documents
 from ..sources.tables import read_table
@@ -110,7 +110,7 @@ def language_accuracy(spark: SparkSession, sf: str) -> DataFrame:
 
 def _profiles(spark: SparkSession, sf: str) -> language.Profiles:
     """Learned from all documents, stored and loaded again."""
-    path = f"{shared_dir(spark)}/profiles-{uuid.uuid4().hex}"
+    path = scratch(spark, "profiles")
     language.train_language_profiles(inputs.documents(spark, sf, "doc_id", "text", "lang")).save(spark, path)
     return language.Profiles.load(spark, path)
 
@@ -331,8 +331,20 @@ def column_defaults(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(*NARROW, F.to_json("extra_metadata").alias("extra_metadata"), F.col("ingest_timestamp").isNotNull().alias("has_timestamp"))
 
 
+def created_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables of the catalog, filled with the documents and first chunks and read back by their partitions."""
+    base = f"folio_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {base}")
+    tables.create_tables(spark, base)
+    rows = {"rag_documents": tables.document_rows(inputs.document_table(spark, sf)), "rag_chunks": tables.chunk_rows(inputs.line_chunks(spark, sf).where("chunk_index = 0"))}
+    for name, df in rows.items():
+        df.select(*spark.table(f"{base}.{name}").columns).write.insertInto(f"{base}.{name}")
+    chunks = spark.table(f"{base}.rag_chunks").select("doc_id", "chunk_id")
+    return spark.table(f"{base}.rag_documents").where("doc_type IN ('cv', 'contrato')").join(chunks, "doc_id", "left").select(*NARROW, "chunk_id")
+
+
 def published_tables(spark: SparkSession, sf: str) -> DataFrame:
-    root = f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+    root = scratch(spark, "tables")
     docs, chunks = inputs.document_table(spark, sf), inputs.line_chunks(spark, sf)
     tables.publish(docs.where("doc_type = 'cv'"), chunks, root, buckets=8)
     _, old_chunks = tables.read_tables(spark, root)
@@ -343,7 +355,7 @@ def published_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 def stored_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """Rejects of an ingestion whose failed documents come once more, half of them mended."""
-    root = f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+    root = scratch(spark, "tables")
     raw = inputs.mixed_raw(spark, sf)
     store(ingest(raw, Settings(embedding_dim=64)), root, 4)
     again = raw.where("filename % 40 = 2").withColumn("content", F.when(F.col("filename") % 80 == 2, F.lit('{"a": 1}').cast("binary")).otherwise(F.col("content")))
@@ -409,7 +421,7 @@ def batch_top_k_shuffled(spark: SparkSession, sf: str) -> DataFrame:
 
 def _lists(spark: SparkSession, sf: str):
     indexed, centroids = search.build_lists(inputs.vectors(spark, sf))
-    path = f"{shared_dir(spark)}/lists-{uuid.uuid4().hex}"
+    path = scratch(spark, "lists")
     search.write_lists(indexed, path)
     return spark.read.schema(indexed.schema).parquet(path), centroids
 
@@ -425,7 +437,7 @@ def inverted_lists_shuffled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _index(spark: SparkSession, vectors: DataFrame, attribute: str | None = None) -> ann.Index:
-    return ann.build_index(vectors, f"{shared_dir(spark)}/cells-{uuid.uuid4().hex}", attribute)
+    return ann.build_index(vectors, scratch(spark, "cells"), attribute)
 
 
 def bounded_lists_top_k(spark: SparkSession, sf: str) -> DataFrame:
@@ -459,7 +471,7 @@ def coded_top_k(spark: SparkSession, sf: str) -> DataFrame:
 
 def _stored_documents(spark: SparkSession, sf: str) -> DataFrame:
     """The document table, published and read back."""
-    root = f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+    root = scratch(spark, "tables")
     tables.publish(inputs.document_table(spark, sf), inputs.line_chunks(spark, sf).where("chunk_index = 0"), root, buckets=4)
     return tables.read_tables(spark, root)[0]
 
@@ -474,7 +486,7 @@ def type_language_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 def uri_batch_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Every third document's uri and as many unknown ones, looked up in tables whose ids are hashes of uris."""
-    root = f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+    root = scratch(spark, "tables")
     docs = inputs.document_table(spark, sf).withColumn("doc_id", document_id(F.col("uri")))
     tables.publish(docs, inputs.line_chunks(spark, sf).where("chunk_index = 0"), root, buckets=16)
     asked = docs.where("cast(substring_index(filename, '.', 1) AS bigint) % 3 = 0").select("uri")
@@ -492,7 +504,7 @@ def json_containment(spark: SparkSession, sf: str) -> DataFrame:
 
 def containment_postings(spark: SparkSession, sf: str) -> DataFrame:
     """Every pattern of a type and a number that occurs, and some of other shapes, against the postings of all events."""
-    root = f"{shared_dir(spark)}/postings-{uuid.uuid4().hex}"
+    root = scratch(spark, "postings")
     events = inputs.nested_json(spark, sf).withColumnRenamed("event_id", "key")
     postings.write_postings(events, root)
     props = read_table(spark, sf, "events", ["event_type", "props"])
@@ -646,7 +658,7 @@ def skip_ingested(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def arrival_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    base = f"{shared_dir(spark)}/arrivals-{uuid.uuid4().hex}"
+    base = scratch(spark, "arrivals")
     folder = inputs.page_files(spark, sf)
     settings = Settings(embedding_dim=64, profiles=_profiles(spark, sf))
     ingest_arrivals(spark, folder, f"{base}/tables", f"{base}/progress", settings, buckets=4).awaitTermination()
@@ -656,7 +668,7 @@ def arrival_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 def arrival_of_copies(spark: SparkSession, sf: str) -> DataFrame:
     """Pages arrive, then all of them again under other names, every tenth with an addition: what the tables then hold."""
-    base = f"{shared_dir(spark)}/arrivals-{uuid.uuid4().hex}"
+    base = scratch(spark, "arrivals")
     folder = inputs.page_files(spark, sf)
     arrive = lambda: ingest_arrivals(spark, folder, f"{base}/tables", f"{base}/progress", Settings(embedding_dim=64), buckets=4, known=f"{base}/known").awaitTermination()
     arrive()
@@ -671,7 +683,7 @@ def arrival_of_copies(spark: SparkSession, sf: str) -> DataFrame:
 
 def health_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Events arrive in five parts of six days, every 37th a part too late, and are counted by six hours and type."""
-    base = f"{shared_dir(spark)}/health-{uuid.uuid4().hex}"
+    base = scratch(spark, "health")
     events = read_table(spark, sf, "events", ["event_id", "ts", "event_type", "value"])
     part = F.least(F.lit(4), F.expr("(dayofmonth(ts) - 1) div 6") + (F.col("event_id") % 37 == 0).cast("int"))
     for number in range(5):
@@ -741,7 +753,7 @@ QUERIES = {f.__name__: f for f in (
     packed_sentences, chunk_documents, chunk_sectioned, chunk_small, chunk_pages, documents_without_chunks,
     embedded_lines, embedding_retries, embedding_rejects, hashed_embedding, question_answering,
     upsert_documents, upsert_chunks_merge, upsert_chunks_replace, cascade_delete, constraint_violations,
-    column_defaults, published_tables, stored_rejects, read_rejects, upsert_ties,
+    column_defaults, created_tables, published_tables, stored_rejects, read_rejects, upsert_ties,
     cosine_top_k, cosine_top_k_referenced, filtered_top_k, batch_top_k, batch_top_k_shuffled, inverted_lists_all, inverted_lists_shuffled,
     inverted_lists_recall, bounded_lists_top_k, filtered_lists_top_k, coded_top_k, uri_lookup, uri_batch_lookup, type_language_filter, json_containment, containment_postings, document_chunks, ordered_chunks,
     heading_filter, ingestion, ingestion_rejects,

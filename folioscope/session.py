@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,23 +50,55 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+# Folder names below the session's own, innermost last: see ``inner_stages``.
+_INNER: list[str] = []
+
+
 def _stages(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/stages-{spark.sparkContext.applicationId}"
+    return "/".join([f"{shared_dir(spark)}/stages-{spark.sparkContext.applicationId}", *_INNER])
 
 
-def drop_stages(spark: SparkSession) -> None:
-    """Remove what ``staged`` wrote in this session. Results that still read from it are lost, so call it at the end."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stages(spark))
+def _drop(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drop_stages(spark: SparkSession) -> None:
+    """Remove what ``staged`` and ``scratch`` gave in this session. Results that still read from it are lost, so call it at the end."""
+    _drop(spark, _stages(spark))
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's name below the session's own in the shared folder."""
+    return f"{_stages(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def inner_stages(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """What is staged inside goes at the end, but for the tables that the given function writes."""
+    outer = _stages(spark)
+    _INNER.append(f"inner-{uuid.uuid4().hex}")
+    own = _stages(spark)
+
+    def keep(df: DataFrame, name: str = "kept") -> DataFrame:
+        return _written(df, f"{outer}/{name}-{uuid.uuid4().hex}")
+
+    try:
+        yield keep
+    finally:
+        _INNER.pop()
+        _drop(spark, own)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Cuts the lineage and lets several consumers share one computation; unlike a cache
     the result survives the loss of executors.
     """
-    spark = df.sparkSession
-    path = f"{_stages(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _written(df, scratch(df.sparkSession, name))

@@ -209,3 +209,21 @@ def test_postings_of_an_empty_table(spark, tmp_path, unknown):
     postings.write_postings(docs.unionByName(spark.createDataFrame([(1, unknown)], "key long, text string")), str(tmp_path / "p"))
     asked = spark.createDataFrame([(1, '{"a": 1}')], "pattern_id int, pattern string")
     assert postings.containing(spark, str(tmp_path / "p"), asked, docs).count() == 0
+
+
+# Stages -------------------------------------------------------------------------------------------
+
+def test_inner_stages_go_and_kept_ones_stay(spark):
+    from folioscope import session
+
+    with session.inner_stages(spark) as keep:
+        inner = session.staged(spark.range(5), "inner")
+        path = session.scratch(spark, "folder")
+        inner.write.parquet(path)
+        kept = keep(inner.where("id > 2"), "kept")
+    assert kept.count() == 2 and session._INNER == []
+    held = lambda p: spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p))
+    assert not held(path) and not held(path.rsplit("/", 1)[0]) and path.startswith(session._stages(spark))
+    with pytest.raises(ZeroDivisionError), session.inner_stages(spark):
+        session.staged(spark.range(1)) and 1 / 0
+    assert session._INNER == []
