@@ -7,7 +7,6 @@ for. The vectors, terms by falling document frequency, then share the paths of a
 from __future__ import annotations
 
 import math
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -17,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir, staged
+from ..session import scratch, staged
 from .common import texts_of
 
 K = 10
@@ -251,7 +250,7 @@ def ranked_search(docs: DataFrame, items: DataFrame, k: int = K, key: str = "doc
     kinds = items.schema[item].dataType.simpleString(), docs.schema[key].dataType.simpleString()
     types = f"item {kinds[0]}, key {kinds[1]}, score long"
     pairs = staged(item_terms(items, item, item_text), "items")
-    folder, blocks = f"{shared_dir(spark)}/ranked-{uuid.uuid4().hex}", math.ceil(pairs.count() / block_pairs)
+    folder, blocks = scratch(spark, "ranked"), math.ceil(pairs.count() / block_pairs)
     for b in range(blocks):
         block = pairs.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).toArrow().combine_chunks()
         if not block.num_rows:

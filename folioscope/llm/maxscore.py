@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir, staged
+from ..session import scratch, staged
 
 SCALE, K = 64, 20
 # Rows of a shard, bytes of the queries that travel to the tasks at once, rows that give queries their first floor.
@@ -194,7 +193,7 @@ def exact_top_k(vectors: DataFrame, asks: Column, k: int = K, key: str = "vec_id
     known = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim")).first()
     if not known["n"]:
         return spark.createDataFrame([], f"query_id {kind}, rank int, `{key}` {kind}, score long")
-    folder = f"{shared_dir(spark)}/best-{uuid.uuid4().hex}"
+    folder = scratch(spark, "best")
     blocks = math.ceil(known["n"] * 8 * (known["dim"] + 3) / block_bytes)
     for b in range(blocks):
         block = (asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == b)).toArrow()

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import texts_of
-from .wordhash import groups, hashes_of, lanes, mixed, words_of
+from .wordhash import groups, hashes_of, lanes, words_of
 
 BUCKET_BITS, DIM = 15, 12
 CHARS = (3, 4)

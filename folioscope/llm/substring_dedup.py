@@ -7,7 +7,6 @@ many documents have a mark, which is never less than how many have one of its wi
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -12,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir, staged
+from ..session import scratch, staged
 from .common import by_bytes, texts_of
 from .encoding import encoder, public_path
 
@@ -210,6 +209,6 @@ def read_ids(spark: SparkSession, folder: str, places: DataFrame, place: str = "
 def stored_documents(docs: DataFrame, path: str | None = None, end_id: int = END_ID, key: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:
     """Write a store in the shared folder and read its documents back. Empty tables give an empty result."""
     spark = docs.sparkSession
-    folder = folder or f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"
+    folder = folder or scratch(spark, "token-store")
     write_store(docs, folder, path, end_id, key, text)
     return read_documents(spark, folder, key, docs.schema[key].dataType.simpleString())
