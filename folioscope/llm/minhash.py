@@ -164,14 +164,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "d
     different texts are verified by the Jaccard similarity of their sets of shingle hashes. Within a band of many texts
     each is compared to the smallest one; those it doesn't verify go on to another round, while rounds halve them. What these
     rounds leave in different classes is then compared pair by pair wherever it meets in a band, so that classes are those
-    of all pairs; links within a class that no round asked for are not counted. Texts without words are one class.
+    of all pairs; links within a class that no round asked for are not counted. Texts without words, NULL ones too, are
+    one class. A class whose keys are all NULL has a NULL class_id; repeated rows stay repeated; an empty table gives an
+    empty result; other columns are not read.
     """
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("t", F.xxhash64("text"))
     per = PERMUTATIONS // BANDS
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = [t.encode("utf-8", "surrogatepass") for t in texts_of(batch.column(1))]
             for lo, hi in _slices(raw):
@@ -179,15 +181,24 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "d
                 band = np.zeros(sig.shape[:2], np.uint64)
                 for k in range(per):
                     band = mixed(band ^ sig[:, :, k]) + np.uint64(k)
-                sets = []
-                for a, b in groups(raw[lo:hi]):
-                    s, at = shingles(raw[lo + a:lo + b])
-                    sets += [np.unique(s[at[i]:at[i + 1]]).view(np.int64).tolist() for i in range(b - a)]
-                yield pa.RecordBatch.from_arrays([batch.column(2).slice(lo, hi - lo), pa.array(band.view(np.int64).tolist(), pa.list_(pa.int64())), pa.array(sets, pa.list_(pa.int64()))], names=["t", "bands", "s"])
-
-    once = staged(rows.groupBy("t").agg(F.min("text").alias("text")).select(F.lit(None).cast(kind).alias("key"), "text", "t").mapInArrow(run, "t long, bands array<long>, s array<long>"), "signatures")
-    every = once.select("t", F.size("s").alias("n"), F.posexplode("bands").alias("no", "band"))
-    met, sets, links, seen = every.select("t", "no", "band"), once.select("t", "s"), None, None
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(band.view(np.int64).tolist(), pa.list_(pa.int64()))], names=["key", "t", "bands"])
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = [t.encode("utf-8", "surrogatepass") for t in texts_of(batch.column(1))]
+            for lo, hi in groups(raw):
+                s, at = shingles(raw[lo:hi])
+                sets = [np.unique(s[at[i]:at[i + 1]]).view(np.int64).tolist() for i in range(hi - lo)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sets, pa.list_(pa.int64()))], names=["t", "s"])
+
+    # Rows are hashed where they lie. Texts move only if they share a band with another one, and once each.
+    hashed = staged(rows.mapInArrow(banded, f"key {kind}, t long, bands array<long>"), "bands")
+    every = hashed.groupBy("t").agg(F.first("bands").alias("bands")).select("t", F.posexplode("bands").alias("no", "band"))
+    shared = every.groupBy("no", "band").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("no", "band")
+    every = staged(every.join(shared, ["no", "band"], "left_semi"), "met")
+    needed = rows.select("t", "text").join(every.select("t").distinct(), "t", "left_semi").groupBy("t").agg(F.min("text").alias("text"))
+    sets = staged(needed.mapInArrow(shingled, "t long, s array<long>"), "sets")
+    met, links, seen = every, None, None
     left = None
 
     def judge(pairs: DataFrame) -> DataFrame:
@@ -210,7 +221,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "d
     links = staged(links.distinct(), "links")
     # Pairs in different classes that meet in a band and were not compared, of sizes that can be alike enough.
     roots = components(links).select(F.col("node").alias("t"), "root")
-    apart = every.join(roots, "t", "left").withColumn("root", F.coalesce("root", "t"))
+    sized = every.join(sets.select("t", F.size("s").alias("n")), "t")
+    apart = sized.join(roots, "t", "left").withColumn("root", F.coalesce("root", "t"))
     mixed_bands = apart.groupBy("no", "band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("no", "band")
     apart = staged(apart.join(mixed_bands, ["no", "band"]), "apart")
     sides = [apart.select("no", "band", *[F.col(c).alias(f"{c}_{x}") for c in ("t", "n", "root")]) for x in "ab"]
@@ -219,7 +231,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "d
     links = staged(links.unionByName(judge(staged(unseen, "unseen")).where("good").select("a", "b")), "links")
     linked = components(links).select(F.col("node").alias("t"), "root")
     n_links = links.select(F.col("a").alias("t")).unionByName(links.select(F.col("b").alias("t"))).groupBy("t").agg(F.count(F.lit(1)).alias("n_links"))
-    members = rows.select("key", "t").join(linked, "t", "left").withColumn("root", F.coalesce("root", "t"))
+    members = hashed.select("key", "t").join(linked, "t", "left").withColumn("root", F.coalesce("root", "t"))
     least = members.groupBy("root").agg(F.min("key").alias("class_id"))
     more = [F.col("t").alias("text_hash")] if with_hash else []
     return members.join(least, "root").join(n_links, "t", "left").select(F.col("key").alias(key), "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), *more)

@@ -300,6 +300,20 @@ def _classes(rows):
     return {i: find(i) for i, _ in rows}
 
 
+def test_near_duplicates_of_odd_rows(odd):
+    rows = pairs(odd)
+    sets = [_shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if len(a & b) >= 0.8 * len(a | b):
+                    root[i] = root[j] = min(root[i], root[j])
+    least = {r: min((k for (k, _), x in zip(rows, root) if x == r and k is not None), default=None) for r in root}
+    got = minhash.near_duplicates(odd)
+    assert bag(got.select("doc_id", "class_id").collect()) == bag((k, least[r]) for (k, _), r in zip(rows, root))
+
+
 def test_minhash_with_many_variants(spark):
     rnd = random.Random(12)
     base = [f"w{rnd.randrange(10**6)}" for _ in range(300)]
