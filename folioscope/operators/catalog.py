@@ -127,6 +127,13 @@ def known_contents(spark: SparkSession, root: str, asked: DataFrame, before: int
     return stored.join(asked.select("content_sha256"), "content_sha256", "left_semi").select("content_sha256")
 
 
+def next_batch(spark: SparkSession, root: str) -> int:
+    """The number after those of the batches at ``root``, as their folders' names have them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/part=*/batch=*")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
+    return max([int(f.getPath().getName().split("=")[1]) + 1 for f in found], default=0)
+
+
 def remember_contents(hashes: DataFrame, root: str, batch: int) -> None:
     """Add a batch's hashes to the stored set. A batch that comes again replaces what it left."""
     rows = hashes.select("content_sha256", _part(F.col("content_sha256")).alias("part"), F.lit(batch).cast("long").alias("batch"))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.metadata import DOC_TYPE_KEYWORDS
 from ..operators import chunking, tables
+from ..operators.catalog import content_hash, extract_by_type, known_contents, next_batch, remember_contents
 from ..operators.embedding import BATCH_SIZE, DIM, EmbedFn, embed_chunks, hash_embed, settle_embeddings
 from ..operators.extract import parse_documents, parse_rejects
 from ..operators.language import Profiles
@@ -19,7 +20,8 @@ from ..sources.files import listing, read_contents, too_large, unreadable
 
 @dataclass(frozen=True)
 class Settings:
-    """Parameters of an ingestion with their defaults. Without ``embed_fn`` the offline embedder is used."""
+    """Parameters of an ingestion with their defaults. Without ``embed_fn`` the offline embedder is used; with ``rules``
+    (doc_type, name, pattern) documents carry what the rules of their type find in them."""
     embed_fn: EmbedFn | None = None
     embedding_dim: int = DIM
     embedding_batch_size: int = BATCH_SIZE
@@ -30,13 +32,16 @@ class Settings:
     keywords: dict = field(default_factory=lambda: dict(DOC_TYPE_KEYWORDS))
     ingest_timestamp: str | None = None
     max_bytes: int | None = None
+    rules: DataFrame | None = None
 
 
 @dataclass(frozen=True)
 class Ingested:
+    """The rows of the tables, and with a folder of known hashes those of the contents that are new."""
     documents: DataFrame
     chunks: DataFrame
     rejects: DataFrame
+    hashes: DataFrame | None = None
 
 
 def ingest(raw: DataFrame, settings: Settings = Settings(), rejects: DataFrame | None = None, listed: DataFrame | None = None) -> Ingested:
@@ -46,7 +51,8 @@ def ingest(raw: DataFrame, settings: Settings = Settings(), rejects: DataFrame |
     Chunks come straight from the parsed rows; only keys and a few numbers are ever shuffled.
     """
     s = settings
-    parsed = staged(parse_documents(raw, s.profiles, s.keywords, s.ingest_timestamp), "parsed")
+    parsed = parse_documents(raw, s.profiles, s.keywords, s.ingest_timestamp)
+    parsed = staged(parsed if s.rules is None else extract_by_type(parsed, s.rules), "parsed")
     cut = chunking.chunk_documents(parsed, s.chunk_max_tokens, s.chunk_overlap_tokens, tokenizer=s.tokenizer)
     if s.embed_fn is None:
         embedded = hash_embed(cut, dim=s.embedding_dim).withColumn("embed_error", F.lit(None).cast("string"))
@@ -69,15 +75,28 @@ def ingest(raw: DataFrame, settings: Settings = Settings(), rejects: DataFrame |
     return Ingested(tables.document_rows(documents.drop("parse_error")), tables.chunk_rows(chunks), lost)
 
 
-def ingest_files(spark: SparkSession, prefix: str, settings: Settings = Settings()) -> Ingested:
+def ingest_files(spark: SparkSession, prefix: str, settings: Settings = Settings(), known: str | None = None) -> Ingested:
+    """All supported files below a prefix. With ``known``, a folder of hashes that ``store`` keeps, contents that were
+    ingested before are left out, and of equal new ones all but that of the lowest uri; they are no rejects."""
     listed = listing(spark, prefix)
     raw = read_contents(spark, prefix, max_bytes=settings.max_bytes)
-    return ingest(raw, settings, too_large(listed, settings.max_bytes), listed)
-
-
-def store(result: Ingested, root: str, buckets: int | None = None) -> None:
+    if known is None:
+        return ingest(raw, settings, too_large(listed, settings.max_bytes), listed)
+    hashed = staged(raw.select("uri", content_hash(F.col("content")).alias("content_sha256")), "hashes")
+    once = hashed.groupBy("content_sha256").agg(F.min("uri").alias("uri"))
+    fresh = staged(once.join(known_contents(spark, known, once, next_batch(spark, known)), "content_sha256", "left_anti"), "fresh")
+    # What was hashed was read: only the others and the fresh ones are held against the result.
+    others = hashed.join(fresh, ["uri", "content_sha256"], "left_anti")
+    done = ingest(raw.join(fresh.select("uri"), "uri", "left_semi"), settings, too_large(listed, settings.max_bytes), listed.join(others.select("uri"), "uri", "left_anti"))
+    return replace(done, hashes=fresh)
+
+
+def store(result: Ingested, root: str, buckets: int | None = None, known: str | None = None) -> None:
     """Upsert an ingestion into the tables at ``root``, rejects too.
 
-    ``buckets`` counts when the tables are new; unless given it follows their rows.
+    ``buckets`` counts when the tables are new; unless given it follows their rows. The hashes of new contents go to
+    ``known`` when the tables are written.
     """
     tables.update(root, staged(result.documents, "documents"), staged(result.chunks, "chunks"), staged(result.rejects, "rejects"), buckets=buckets)
+    if known is not None and result.hashes is not None:
+        remember_contents(result.hashes, known, next_batch(result.hashes.sparkSession, known))

@@ -447,6 +447,14 @@ ORACLES = {
         one AS (SELECT arg_min(is_copy, uri) AS is_copy, arg_min(page_id, uri) AS page_id, h FROM f GROUP BY h),
         two AS (SELECT arg_min(is_copy, uri) AS is_copy, arg_min(page_id, uri) AS page_id, h FROM g WHERE h NOT IN (SELECT h FROM f) GROUP BY h)
         SELECT is_copy, page_id, length(h)::INTEGER + 1 AS char_count FROM (FROM one UNION ALL FROM two)""",
+    "repeated_ingestion": f"""WITH f AS (SELECT false AS is_copy, page_id, 'page_id=' || page_id || '/' AS uri, html || chr(10) AS text FROM pages),
+        g AS (SELECT true AS is_copy, page_id, 'copy_id=' || page_id || '/' AS uri, html || '<!-- more -->' || chr(10) AS text FROM pages WHERE page_id % 3 = 0),
+        one AS (SELECT arg_min(is_copy, uri) AS is_copy, arg_min(page_id, uri) AS page_id, text FROM f GROUP BY text),
+        two AS (SELECT arg_min(is_copy, uri) AS is_copy, arg_min(page_id, uri) AS page_id, text FROM g WHERE text NOT IN (SELECT text FROM f) GROUP BY text),
+        kept AS (SELECT is_copy || ':' || page_id AS uri, '' AS filename, * FROM (FROM one UNION ALL FROM two)),
+        found AS (SELECT kept.*, t.doc_type, regexp_extract_all(text, '<title>([^<]*)</title>', 1) AS a, CASE WHEN t.doc_type = 'unknown' THEN regexp_extract_all(text, 'href="([^"]*)"', 1) ELSE [] END AS b FROM kept JOIN ({_TYPE_SCORES.format('kept')}) t USING (uri))
+        SELECT is_copy, page_id, doc_type, length(text)::INTEGER AS char_count,
+          CASE WHEN len(a) > 0 THEN array_to_string(list_filter(a, lambda v, i: list_position(a, v) = i), ' ; ') END AS title, CASE WHEN len(b) > 0 THEN array_to_string(list_filter(b, lambda v, i: list_position(b, v) = i), ' ; ') END AS links FROM found""",
     "health_windows": """WITH e AS (SELECT event_id, ts, event_type, value, least(4, (day(ts) - 1) // 6 + (event_id % 37 = 0)::INTEGER) AS part FROM events),
         mark AS (SELECT p AS part, (SELECT max(ts) - INTERVAL 12 HOUR FROM e WHERE part < p) AS watermark FROM (SELECT unnest(range(5)) AS p)),
         kept AS (SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2024-01-01') AS window_start, event_type, value FROM e JOIN mark USING (part)

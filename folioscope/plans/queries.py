@@ -19,7 +19,7 @@ from ..sources.tables import read_table
 from ..streaming import monitor
 from ..streaming.arrival import ingest_arrivals
 from . import inputs
-from .ingest import Settings, ingest, store
+from .ingest import Settings, ingest, ingest_files, store
 from .reports import ingest_summary, reject_summary
 
 NARROW = ["doc_id", "doc_type", "language", "char_count"]
@@ -681,6 +681,22 @@ def arrival_of_copies(spark: SparkSession, sf: str) -> DataFrame:
     return documents.select((copy != "").alias("is_copy"), F.when(copy != "", copy.cast("long")).otherwise(inputs.page_number(F.col("uri"))).alias("page_id"), "char_count")
 
 
+def repeated_ingestion(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages are ingested twice from their files, once more with others added; documents carry what the rules of their type find."""
+    base, folder = scratch(spark, "again"), inputs.page_files(spark, sf)
+    rules = spark.createDataFrame([(None, "title", "<title>([^<]*)</title>"), ("unknown", "links", "href=\"([^\"]*)\"")], "doc_type string, name string, pattern string")
+    settings = Settings(embedding_dim=64, rules=rules)
+    for extra in (False, False, True):
+        if extra:
+            pages = read_table(spark, sf, "pages", ["page_id", "html"]).where("page_id % 3 = 0")
+            pages.select(F.col("page_id").alias("copy_id"), F.concat("html", F.lit("<!-- more -->")).alias("html")).write.mode("append").partitionBy("copy_id").text(folder)
+        store(ingest_files(spark, folder, settings, known=f"{base}/known"), f"{base}/tables", 4, known=f"{base}/known")
+    documents, _ = tables.read_tables(spark, f"{base}/tables")
+    found = [F.array_join(F.try_variant_get("extra_metadata", f"$.{n}", "array<string>"), " ; ").alias(n) for n in ("title", "links")]
+    copy = F.regexp_extract("uri", "copy_id=([0-9]+)", 1)
+    return documents.select((copy != "").alias("is_copy"), F.when(copy != "", copy.cast("long")).otherwise(inputs.page_number(F.col("uri"))).alias("page_id"), "doc_type", "char_count", *found)
+
+
 def health_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Events arrive in five parts of six days, every 37th a part too late, and are counted by six hours and type."""
     base = scratch(spark, "health")
@@ -759,5 +775,5 @@ QUERIES = {f.__name__: f for f in (
     heading_filter, ingestion, ingestion_rejects,
     split_paths, path_lookup, subtree_listing, tree_listing, subtree_sizes, many_subtrees, empty_directories, tree_violations, capacity_report,
     bulk_create, created_nodes, contested_create, bulk_delete, remaining_nodes, bulk_move, moved_nodes,
-    skip_ingested, arrival_ingest, arrival_of_copies, health_windows, health_alerts, rerank_lexical, fused_search, extra_metadata, type_metadata,
+    skip_ingested, arrival_ingest, arrival_of_copies, repeated_ingestion, health_windows, health_alerts, rerank_lexical, fused_search, extra_metadata, type_metadata,
 )}

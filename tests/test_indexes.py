@@ -14,7 +14,7 @@ from folioscope.functions.metadata import document_id
 from folioscope.operators import catalog, lexical, paths, postings, tables
 from folioscope.streaming import monitor
 from folioscope.streaming.arrival import ingest_arrivals
-from folioscope.plans.ingest import Settings
+from folioscope.plans.ingest import Settings, ingest_files, store
 
 
 # Postings -----------------------------------------------------------------------------------------
@@ -169,6 +169,23 @@ def test_copies_that_arrive_add_nothing(spark, tmp_path):
     assert stored() == ["a.txt", "c.txt", "e.txt"]
 
 
+def test_known_files_are_ingested_once_and_lost_ones_rejected(spark, tmp_path):
+    folder, known, root = tmp_path / "in", str(tmp_path / "known"), str(tmp_path / "t")
+    folder.mkdir()
+    (folder / "b.txt").write_text("one text"), (folder / "a.txt").write_text("one text"), (folder / "c.json").write_text("{oops"), (folder / "big.txt").write_text("x" * 999)
+    rules = spark.createDataFrame([(None, "word", "(t[a-z]+)")], "doc_type string, name string, pattern string")
+    settings = Settings(embedding_dim=8, rules=rules, max_bytes=500)
+    go = lambda: store(ingest_files(spark, str(folder) + "/", settings, known=known), root, 2, known=known)
+    held = lambda: sorted(r["filename"] for r in tables.read_tables(spark, root)[0].collect())
+    lost = lambda: sorted((r["uri"].rsplit("/", 1)[1], r["stage"]) for r in tables.read_rejects(spark, root).collect())
+    go()
+    assert held() == ["a.txt"] and lost() == [("big.txt", "read"), ("c.json", "chunk"), ("c.json", "parse")] and catalog.next_batch(spark, known) == 1
+    (folder / "d.txt").write_text("one text"), (folder / "e.txt").write_text("two texts")
+    go()
+    assert held() == ["a.txt", "e.txt"] and ("c.json", "parse") in lost() and catalog.next_batch(spark, known) == 2
+    assert {r["j"] for r in tables.read_tables(spark, root)[0].select(F.to_json("extra_metadata").alias("j")).collect()} == {'{"word":["text"]}', '{"word":["two","texts"]}'}
+
+
 # Rules by type ------------------------------------------------------------------------------------
 
 def test_rules_by_type(spark):
