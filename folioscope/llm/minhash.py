@@ -162,8 +162,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "d
 
     Texts are taken once, whatever the number of their copies. Signature bands meet in a shuffle; distinct pairs of
     different texts are verified by the Jaccard similarity of their sets of shingle hashes. Within a band of many texts
-    each is compared to the smallest one; those it doesn't verify go on to another round, while rounds halve them. What these
-    rounds leave in different classes is then compared pair by pair wherever it meets in a band, so that classes are those
+    each is compared to the smallest one; those it doesn't verify go on to another round, while rounds halve them. Texts
+    that still meet another class in a band are then joined exactly by their rarest shingles, so that classes are those
     of all pairs; links within a class that no round asked for are not counted. Texts without words, NULL ones too, are
     one class. A class whose keys are all NULL has a NULL class_id; repeated rows stay repeated; an empty table gives an
     empty result; other columns are not read.
@@ -219,14 +219,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "d
         if not left or (before is not None and 2 * left > before):
             break
     links = staged(links.distinct(), "links")
-    # Pairs in different classes that meet in a band and were not compared, of sizes that can be alike enough.
+    # Texts that meet another class in a band: two of them that are alike enough share one of their rarest shingles, of
+    # which each shows as many as it may lack. Bands of many unlike texts give no pairs that way.
     roots = components(links).select(F.col("node").alias("t"), "root")
-    sized = every.join(sets.select("t", F.size("s").alias("n")), "t")
-    apart = sized.join(roots, "t", "left").withColumn("root", F.coalesce("root", "t"))
-    mixed_bands = apart.groupBy("no", "band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("no", "band")
-    apart = staged(apart.join(mixed_bands, ["no", "band"]), "apart")
-    sides = [apart.select("no", "band", *[F.col(c).alias(f"{c}_{x}") for c in ("t", "n", "root")]) for x in "ab"]
-    unlike = sides[0].join(sides[1], ["no", "band"]).where("t_a < t_b AND root_a <> root_b").where(F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
+    classed = every.join(roots, "t", "left").withColumn("root", F.coalesce("root", "t"))
+    mixed_bands = classed.groupBy("no", "band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("no", "band")
+    apart = staged(classed.join(mixed_bands, ["no", "band"], "left_semi").select("t", "root").distinct(), "apart")
+    tokens = staged(sets.join(apart, "t").select("t", "root", F.size("s").alias("n"), F.explode("s").alias("x")), "tokens")
+    spread = tokens.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+    rank = F.row_number().over(Window.partitionBy("t").orderBy("c", "x"))
+    shown = tokens.join(spread.where("c > 1"), "x").withColumn("rank", rank)  # those of one text only come first and meet none
+    alone = tokens.join(spread.where("c = 1"), "x").groupBy("t").agg(F.count(F.lit(1)).alias("alone"))
+    lacking = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1
+    shown = staged(shown.join(alone, "t", "left").where(F.col("rank") + F.coalesce("alone", F.lit(0)) <= lacking).select("x", "t", "n", "root"), "shown")
+    sides = [shown.select("x", *[F.col(c).alias(f"{c}_{x}") for c in ("t", "n", "root")]) for x in "ab"]
+    unlike = sides[0].join(sides[1], "x").where("t_a < t_b AND root_a <> root_b").where(F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
     unseen = unlike.select(F.col("t_a").alias("a"), F.col("t_b").alias("b")).distinct().join(seen.select("a", "b"), ["a", "b"], "left_anti")
     links = staged(links.unionByName(judge(staged(unseen, "unseen")).where("good").select("a", "b")), "links")
     linked = components(links).select(F.col("node").alias("t"), "root")

@@ -112,6 +112,8 @@ def mixed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
 
     Rows are matched to their decisions by key, size and source. Rows that share all three, as those with NULL keys
     may, are taken in the order of a hash: all as often as the least of their decisions, and the first of them once more.
+    NULL and blank texts have no words; they come as often as their source is repeated whole. An empty table gives an
+    empty result.
     """
     same = ["k", "is_null", "size", "source"]
     ident = {"k": F.coalesce(F.col(key).cast("string"), F.lit("")), "is_null": F.col(key).isNull()}

@@ -148,7 +148,11 @@ def pack(docs: DataFrame, path: str | None = None, end_id: int = END_ID, capacit
 
 
 def sequences(docs: DataFrame, path: str | None = None, end_id: int = END_ID, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The packed sequences themselves: sequence_id and its ids as little-endian unsigned 32-bit integers."""
+    """The packed sequences themselves: sequence_id and its ids as little-endian unsigned 32-bit integers.
+
+    As ``pack`` has them: NULL and empty texts are their end id, repeated rows are packed each, rows without a key too;
+    an empty table has no sequence. A sequence has at most ``capacity`` ids, however many rows share a key.
+    """
     pieces = staged(token_pieces(docs, path, end_id, capacity, key, text, with_ids=True), "pieces")
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
     joined = F.aggregate(parts, F.lit(b""), lambda s, x: F.concat(s, x["ids"]))

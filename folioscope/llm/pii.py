@@ -155,7 +155,8 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 def redact_pii(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:
     """The rows with every span in ``text`` replaced by its kind; ``length``, if there is such a column, follows the text.
 
-    NULL texts stay NULL; all other columns pass unchanged.
+    NULL texts stay NULL, and so does their length; empty ones stay empty; repeated rows stay repeated, NULL keys matter
+    nowhere; an empty table gives an empty result; all other columns pass unchanged, whatever their names.
     """
     @F.pandas_udf("string")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -109,7 +109,11 @@ def _raw(column: pa.Array) -> list[bytes]:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
     """Learn from the labelled rows outside the held-out fold, at most ``sample`` of them. The driver gets the counts of
-    these texts' features, of which a text has a bounded number."""
+    these texts' features, of which a text has a bounded number.
+
+    Rows without a key meet no label; NULL texts count as empty; a key with several texts gives the least of them, one
+    with unlike labels none; labels other than 0 and 1 are left out. Empty tables give a model that scores 0.5.
+    """
     own = labels.select(F.col(key).cast("string").alias("k"), F.col(label).cast("int").alias("y")).where("k IS NOT NULL AND y IN (0, 1)")
     own = own.groupBy("k").agg(F.min("y").alias("y"), F.max("y").alias("y2")).where("y = y2").where(~held_out("k")).select("k", "y")
     chosen = own.orderBy(F.xxhash64("k"), "k").limit(sample)

@@ -212,7 +212,10 @@ def _verdict(measured: DataFrame, estimates: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The rows that ``judge`` keeps, with their columns unchanged.
+    """The rows that ``judge`` keeps, with their columns unchanged, whatever their names.
+
+    NULL, empty and short texts go; NULL languages and sources are groups of their own; repeated rows are kept or go
+    together; an empty table gives an empty result.
 
     Rows are measured once and written beside their statistics, of which the estimates read the numbers alone: measuring
     costs far more than writing, and no text is ever shuffled.

@@ -101,7 +101,11 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, key: str = "doc_id", text: s
 
 
 def least_rows(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of ``docs`` of each group of ``found``: key, component_id and text_hash of every row. As ``keep_one`` has it."""
+    """One row of ``docs`` of each group of ``found``: key, component_id and text_hash of every row.
+
+    As ``keep_one`` has it: the smallest key, NULL last, then the smallest text hash; of rows equal in both one stays,
+    by a hash of the row. A group whose keys are all NULL keeps one row by its text hash; empty tables give no rows.
+    """
     order = F.struct(F.col(key).isNull(), F.col(key).alias("k"), "text_hash")
     best = found.groupBy("component_id").agg(F.min(order).alias("m"))
     name = ["k", "is_null", "text_hash"]

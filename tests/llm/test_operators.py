@@ -635,6 +635,28 @@ def test_pipeline_equals_its_plain_version(spark):
     assert bag(packed) == bag(pieces)
 
 
+def test_pipeline_stages_take_odd_rows_and_empty_tables(spark, odd, none):
+    import corpus_pipeline
+
+    stages, given = dict(corpus_pipeline.STAGES), bag(map(tuple, odd.collect()))
+    for name in ("quality_rules", "near_dedup", "mixing"):
+        out = stages[name](spark, odd, SF)
+        got = bag(map(tuple, out.collect()))
+        assert out.columns == odd.columns and set(got) <= set(given)
+        if name == "near_dedup":
+            assert sum(got.values()) == len(set(brute.components([(k, brute.fingerprint(t)) for k, t in pairs(odd)])))
+        if name == "quality_rules":
+            assert all(got[r] == given[r] for r in got) and not any(brute.base_quality(r[1])[-1] for r in got)
+        if name == "mixing":
+            assert all(n <= 3 * given[r] for r, n in got.items())
+    clean = stages["pii"](spark, odd, SF)
+    assert clean.columns == odd.columns and bag((r["doc_id"], r["text"], r["n_chars"], r["key"]) for r in clean.collect()) == bag(
+        (r["doc_id"], t, None if t is None else len(t), r["key"]) for r in odd.collect() for t in [r["text"] and pii.redact(r["text"], pii.find_spans(r["text"]))])
+    packed = stages["packing"](spark, odd, SF).collect()
+    assert Counter(r["doc_id"] for r in packed if r["piece"] == 0) == Counter(r["doc_id"] for r in odd.collect())
+    assert all(stage(spark, none, SF).collect() == [] for stage in stages.values())
+
+
 def test_pipeline_removes_near_copies(spark):
     """Copies, copies in capitals and texts of two changed words in 2,000: those within two bits leave one document."""
     import corpus_pipeline
