@@ -1,4 +1,8 @@
-"""A corpus from raw documents to packed sequences: each stage works on all that the one before it kept."""
+"""A corpus from raw documents to packed sequences: each stage works on all that the one before it kept.
+
+Every stage takes NULLs in any column, empty, blank and very long texts, ties and repeated rows, empty tables and further
+columns as its operator states, and passes all columns of its documents; the last returns the pieces.
+"""
 
 from __future__ import annotations
 
