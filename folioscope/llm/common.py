@@ -19,12 +19,22 @@ RANK_SLICES = 1024
 
 def per_process(key, make: Callable):
     """An object made once in a Python process, whatever task asks for it first."""
-    kept = sys.modules.setdefault("_folioscope_process", types.ModuleType("_folioscope_process")).__dict__
+    kept = _kept()
     if key not in kept:
         kept[key] = make()
     return kept[key]
 
 
+def _kept() -> dict:
+    # The package itself travels by value and is anew in every task; a module of the process stays.
+    return sys.modules.setdefault("_folioscope_process", types.ModuleType("_folioscope_process")).__dict__.setdefault("kept", {})
+
+
+def forget() -> None:
+    """Drop the objects of ``per_process``: a Python worker serves many stages, and a tokenizer with its memory is 200 MB."""
+    _kept().clear()
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; NULL and blank texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != "")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .common import packed, texts_of, unpacked
+from .common import forget, packed, texts_of, unpacked
 from .components import components
 
 SHINGLE, SEED, BITS, RADIUS = 3, 42, 64, 2
@@ -47,6 +47,7 @@ def _text_hash(text: str):
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, ``fp``, the fingerprint as a signed long, and text_hash. NULL texts count as empty; nothing is shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             fps = np.array([fingerprint(t) for t in texts_of(batch.column(1))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), batch.column(2)], names=["key", "fp", "text_hash"])
