@@ -121,10 +121,11 @@ def mixed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
     decided = plan.select(*[v.alias(k) for k, v in ident.items()], "size", F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("source"), "copies")
     decided = staged(decided.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min("copies").alias("least"), F.sum("copies").alias("total")), "decided")
     whole = packed(docs, **ident, size=F.size(words(F.col(text).cast("string"))).cast("long"), source=F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")))
-    alone = whole.join(decided.where("n = 1 AND least > 0").select(*same, "least"), same).select("row", F.col("least").cast("int").alias("copies"))
+    # One plan at every size: decisions grow with the rows.
+    alone = whole.join(decided.where("n = 1 AND least > 0").select(*same, "least").hint("merge"), same).select("row", F.col("least").cast("int").alias("copies"))
     several = decided.where("n > 1 AND total > 0")
     if not several.isEmpty():
-        alone = alone.unionByName(_shared(whole.join(several, same), same))
+        alone = alone.unionByName(_shared(whole.join(several.hint("merge"), same), same))
     times = alone.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return unpacked(times, docs.columns)
 
