@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import io
+import os
+import uuid
 import zipfile
+from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.metadata import DOCX, HTML, JSON, MARKDOWN, PDF, PLAIN
 from ..functions.strings import fallback_tokens
+from ..operators import extract
 from ..operators.paths import normalize_path, prefixes_of
 from ..session import scratch
 from ..sources.tables import read_table
@@ -100,17 +105,49 @@ def _docx(text: str) -> bytes:
 
 def docx_files(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as word-processing files, one paragraph per line."""
-    @F.pandas_udf("binary")
-    def pack(texts: pd.Series) -> pd.Series:
-        return texts.map(_docx)
+    @F.arrow_udf("binary")
+    def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for lo in range(0, max(1, len(texts)), extract.PARSED_ROWS):
+                yield pa.array([_docx(t) for t in texts[lo:lo + extract.PARSED_ROWS].to_pylist()], pa.binary())
     return documents(spark, sf).select("doc_id", F.lit(DOCX).alias("mime_type"), pack("text").alias("content"))
 
 
+def export_texts(rows: DataFrame, folder: str) -> None:
+    """Add (key, text) to a folder as ``write.partitionBy(key).text`` would: a folder per key, a line per row.
+
+    Each task writes its own rows, so that an export of any size needs no shuffle. Hadoop's local file system starts four
+    processes for every file, to set permissions: into a folder of that kind tasks write the files themselves.
+    """
+    key, _ = rows.columns
+    spark = rows.sparkSession
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getUri().getScheme() != "file":
+        rows.write.mode("append").partitionBy(key).text(folder)
+        return
+    fs.mkdirs(place)
+    top, run = fs.makeQualified(place).toUri().getPath(), uuid.uuid4().hex
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A task that comes again writes the same files.
+        name, last, n = f"part-{TaskContext.get().partitionId():05d}-{run}.txt", (), 0
+        for batch in batches:
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = f"{top}/{key}={'__HIVE_DEFAULT_PARTITION__' if k is None else k}"
+                os.makedirs(own, exist_ok=True)
+                with open(f"{own}/{name}", "ab" if last == (k,) else "wb") as file:
+                    file.write((text or "").encode() + b"\n")
+                last, n = (k,), n + 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    rows.sortWithinPartitions(key).mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
 def page_files(spark: SparkSession, sf: str) -> str:
     """The folder of a fresh export of all pages, one text file each."""
     folder = scratch(spark, "pages")
-    # Each task writes its own pages, so that an export of any size needs no shuffle.
-    read_table(spark, sf, "pages", ["page_id", "html"]).write.partitionBy("page_id").text(folder)
+    export_texts(read_table(spark, sf, "pages", ["page_id", "html"]), folder)
     return folder
 
 

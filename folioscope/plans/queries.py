@@ -12,7 +12,7 @@ from ..functions import markup
 from ..functions.metadata import DOC_TYPE_KEYWORDS, chunk_id, detect_mime, document_id, heading_of
 from ..functions.strings import basename, fallback_tokens, split_lines
 from ..operators import ann, catalog, chunking, codes, embedding, extract, language, lexical, paths, postings, search, tables
-from ..session import scratch, staged
+from ..session import many_files, scratch, staged
 from ..sources.commands import parse_commands
 from ..sources.files import list_documents, read_documents
 from ..sources.tables import read_table
@@ -38,14 +38,16 @@ def mime_detection(spark: SparkSession, sf: str) -> DataFrame:
 
 def file_listing(spark: SparkSession, sf: str) -> DataFrame:
     found = list_documents(spark, inputs.page_files(spark, sf) + "/page_id=")
-    return found.select(inputs.page_number(F.col("uri")).alias("page_id"), "mime_type", "length")
+    with many_files(spark):
+        return staged(found.select(inputs.page_number(F.col("uri")).alias("page_id"), "mime_type", "length"), "listed")
 
 
 def file_reading(spark: SparkSession, sf: str) -> DataFrame:
     raw, _ = read_documents(spark, inputs.page_files(spark, sf))
     text = extract.extract_text(raw)
-    return text.select(inputs.page_number(F.col("uri")).alias("page_id"), "mime_type", F.char_length("text").alias("char_count"),
-                       F.sha2("text", 256).alias("text_sha256"))
+    with many_files(spark):
+        return staged(text.select(inputs.page_number(F.col("uri")).alias("page_id"), "mime_type", F.char_length("text").alias("char_count"),
+                                  F.sha2("text", 256).alias("text_sha256")), "read")
 
 
 def command_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -367,7 +369,8 @@ def read_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """What a listing finds and a reader refuses: pages over a limit that the caller sets."""
     raw, rejects = read_documents(spark, inputs.page_files(spark, sf), max_bytes=3000)
     kept = raw.select(inputs.page_number(F.col("uri")).alias("page_id"), F.lit("read").alias("stage"), F.lit("ok").alias("reason"))
-    return kept.unionByName(rejects.select(inputs.page_number(F.col("uri")).alias("page_id"), "stage", "reason"))
+    with many_files(spark):
+        return staged(kept.unionByName(rejects.select(inputs.page_number(F.col("uri")).alias("page_id"), "stage", "reason")), "read")
 
 
 def upsert_ties(spark: SparkSession, sf: str) -> DataFrame:
@@ -674,7 +677,7 @@ def arrival_of_copies(spark: SparkSession, sf: str) -> DataFrame:
     arrive()
     again = F.when(F.col("page_id") % 10 == 0, F.concat("html", F.lit("<p>again</p>"))).otherwise(F.col("html"))
     pages = read_table(spark, sf, "pages", ["page_id", "html"])
-    pages.select(F.col("page_id").alias("copy_id"), again.alias("html")).write.mode("append").partitionBy("copy_id").text(folder)
+    inputs.export_texts(pages.select(F.col("page_id").alias("copy_id"), again.alias("html")), folder)
     arrive()
     documents, _ = tables.read_tables(spark, f"{base}/tables")
     copy = F.regexp_extract("uri", "copy_id=([0-9]+)", 1)
@@ -689,7 +692,7 @@ def repeated_ingestion(spark: SparkSession, sf: str) -> DataFrame:
     for extra in (False, False, True):
         if extra:
             pages = read_table(spark, sf, "pages", ["page_id", "html"]).where("page_id % 3 = 0")
-            pages.select(F.col("page_id").alias("copy_id"), F.concat("html", F.lit("<!-- more -->")).alias("html")).write.mode("append").partitionBy("copy_id").text(folder)
+            inputs.export_texts(pages.select(F.col("page_id").alias("copy_id"), F.concat("html", F.lit("<!-- more -->")).alias("html")), folder)
         store(ingest_files(spark, folder, settings, known=f"{base}/known"), f"{base}/tables", 4, known=f"{base}/known")
     documents, _ = tables.read_tables(spark, f"{base}/tables")
     found = [F.array_join(F.try_variant_get("extra_metadata", f"$.{n}", "array<string>"), " ; ").alias(n) for n in ("title", "links")]

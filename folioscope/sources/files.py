@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.metadata import EXTENSION_MIME, detect_mime
 from ..functions.strings import basename, extension
-from ..session import staged
+from ..session import many_files, staged
 
 # What the binary file source delivers; declared, as a stream has to be told.
 BINARY_FILE = T.StructType([
@@ -27,6 +27,10 @@ def _any_case(suffix: str) -> str:
 SUPPORTED_GLOB = "*.{" + ",".join(_any_case(e) for e in EXTENSION_MIME) + "}"
 
 
+# Above so many matches of a prefix the whole folder is listed and filtered, unless it holds so many times as many.
+FEW_MATCHES, MOSTLY = 32, 8
+
+
 def _check_uri(prefix: str) -> None:
     if not re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:/", prefix) and not prefix.startswith("/"):
         raise ValueError(f"not a file system uri: {prefix!r}")
@@ -44,12 +48,19 @@ def _files(spark: SparkSession, prefix: str) -> DataFrame:
     pattern = escaped + ("*" if start else "")
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(pattern)
-    matched = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    matched = fs.globStatus(path)
     # A prefix that matches nothing is an empty listing, as object stores have it.
     if not matched:
         return spark.createDataFrame([], BINARY_FILE)
-    found = reader.load(pattern)
-    return found.where(extension(F.col("path")).isin(*EXTENSION_MIME))
+    supported = extension(F.col("path")).isin(*EXTENSION_MIME)
+    # Each match of a pattern is a root of its own, which Spark looks up one by one: many are found from their folder.
+    above = path.getParent()
+    if start and len(matched) > FEW_MATCHES and len(fs.listStatus(above)) <= MOSTLY * len(matched):
+        supported &= F.startswith(F.col("path"), F.lit(fs.makeQualified(jvm.org.apache.hadoop.fs.Path(above, start)).toString()))
+        pattern = re.sub(r"([\\*?\[\]{}])", r"\\\1", folder)
+    with many_files(spark):
+        return reader.load(pattern).where(supported)
 
 
 def list_documents(spark: SparkSession, prefix: str) -> DataFrame:
@@ -69,7 +80,8 @@ def to_raw(files: DataFrame, hint: Column | None = None) -> DataFrame:
 
 def listing(spark: SparkSession, prefix: str) -> DataFrame:
     """uri and length of every supported file, written once, so that what is lost later is known."""
-    return staged(_files(spark, prefix).select(F.col("path").alias("uri"), "length"), "listing")
+    with many_files(spark):
+        return staged(_files(spark, prefix).select(F.col("path").alias("uri"), "length"), "listing")
 
 
 def too_large(listed: DataFrame, max_bytes: int | None) -> DataFrame:
