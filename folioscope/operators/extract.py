@@ -8,7 +8,7 @@ import zipfile
 from collections.abc import Iterator, Mapping, Sequence
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,10 +83,18 @@ def _attempt(mime_type: str, content) -> tuple[str | None, str | None]:
         return "", f"{type(exc).__name__}: {exc}"
 
 
-@F.pandas_udf(T.StructType().add("text", "string").add("error", "string"))
-def _python_text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+# So many contents are parsed at once: of a whole Arrow batch, contents and texts would fill a worker's memory.
+PARSED_ROWS = 128
+
+
+@F.arrow_udf(T.StructType().add("text", "string").add("error", "string"))
+def _python_text(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for kinds, contents in batches:
-        yield pd.DataFrame([_attempt(k, c) for k, c in zip(kinds, contents)], columns=["text", "error"])
+        # An empty batch gives an empty one.
+        for lo in range(0, max(1, len(kinds)), PARSED_ROWS):
+            part = slice(lo, lo + PARSED_ROWS)
+            found = [_attempt(k, c) for k, c in zip(kinds[part].to_pylist(), contents[part].to_pylist())]
+            yield pa.StructArray.from_arrays([pa.array([x[i] for x in found], pa.string()) for i in (0, 1)], names=["text", "error"])
 
 
 def json_text(content: Column) -> Column:
@@ -102,17 +110,17 @@ def docx_text(content: Column) -> Column:
 def extract_text(raw: DataFrame, content: str = "content", mime: str = "mime_type") -> DataFrame:
     """Replace ``content`` by ``text`` and ``parse_error``.
 
-    Rows part by format before anything is parsed: HTML and text stay in the JVM, only contents of the two formats that
-    need Python go there. A failed or unsupported document keeps an empty text and carries its reason.
+    The rows are read once: HTML and text stay in the JVM, of the contents only those of the two formats that need Python
+    go there. A failed or unsupported document keeps an empty text and carries its reason.
     """
     body, kind = F.col(content), F.col(mime)
     keep = [c for c in raw.columns if c != content]
     python_only = F.coalesce(kind.isin(*_PYTHON_PARSERS), F.lit(False))
     # Decoding and the pattern rules accept any bytes, so a native document has no error.
     text = F.when(kind == PDF, "").when(kind == HTML, html_text(decode_text(body))).otherwise(decode_text(body))
-    native = raw.where(~python_only).select(*keep, text.alias("text"), F.when(kind == PDF, "unsupported_format").alias("parse_error"))
-    parsed = raw.where(python_only).select(*keep, _python_text(kind, body).alias("_p"))
-    return native.unionByName(parsed.select(*keep, F.col("_p.text").alias("text"), F.col("_p.error").alias("parse_error")))
+    visited = raw.withColumn("_p", _python_text(kind, F.when(python_only, body)))
+    return visited.select(*keep, F.when(python_only, F.col("_p.text")).otherwise(text).alias("text"),
+                          F.when(python_only, F.col("_p.error")).when(kind == PDF, "unsupported_format").alias("parse_error"))
 
 
 def infer_doc_type(df: DataFrame, keywords: Mapping[str, Sequence[str]] = DOC_TYPE_KEYWORDS,
