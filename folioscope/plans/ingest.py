@@ -14,7 +14,7 @@ from ..operators.catalog import content_hash, extract_by_type, known_contents, n
 from ..operators.embedding import BATCH_SIZE, DIM, EmbedFn, embed_chunks, hash_embed, settle_embeddings
 from ..operators.extract import parse_documents, parse_rejects
 from ..operators.language import Profiles
-from ..session import staged
+from ..session import many_files, staged
 from ..sources.files import listing, read_contents, too_large, unreadable
 
 
@@ -78,6 +78,11 @@ def ingest(raw: DataFrame, settings: Settings = Settings(), rejects: DataFrame |
 def ingest_files(spark: SparkSession, prefix: str, settings: Settings = Settings(), known: str | None = None) -> Ingested:
     """All supported files below a prefix. With ``known``, a folder of hashes that ``store`` keeps, contents that were
     ingested before are left out, and of equal new ones all but that of the lowest uri; they are no rejects."""
+    with many_files(spark):
+        return _ingest_files(spark, prefix, settings, known)
+
+
+def _ingest_files(spark: SparkSession, prefix: str, settings: Settings, known: str | None) -> Ingested:
     listed = listing(spark, prefix)
     raw = read_contents(spark, prefix, max_bytes=settings.max_bytes)
     if known is None:
@@ -97,6 +102,7 @@ def store(result: Ingested, root: str, buckets: int | None = None, known: str |
     ``buckets`` counts when the tables are new; unless given it follows their rows. The hashes of new contents go to
     ``known`` when the tables are written.
     """
-    tables.update(root, staged(result.documents, "documents"), staged(result.chunks, "chunks"), staged(result.rejects, "rejects"), buckets=buckets)
+    # The chunks are read where the ingestion has written them.
+    tables.update(root, staged(result.documents, "documents"), result.chunks, staged(result.rejects, "rejects"), buckets=buckets)
     if known is not None and result.hashes is not None:
         remember_contents(result.hashes, known, next_batch(result.hashes.sparkSession, known))
