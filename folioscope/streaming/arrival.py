@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.catalog import known_contents, new_contents, remember_contents
 from ..plans.ingest import Settings, ingest, store
-from ..session import staged
+from ..session import many_files, staged
 from ..sources.files import BINARY_FILE, SUPPORTED_GLOB, to_raw
 
 
@@ -47,5 +47,7 @@ def ingest_arrivals(spark: SparkSession, folder: str, root: str, checkpoint: str
         store(ingest(raw.join(fresh.select("uri"), "uri", "left_semi"), settings, rejects), root, buckets)
         remember_contents(fresh, known, batch_id)
 
-    return (arriving_documents(spark, folder, max_files).writeStream.foreachBatch(batch)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    # The stream keeps the settings that it starts with.
+    with many_files(spark):
+        return (arriving_documents(spark, folder, max_files).writeStream.foreachBatch(batch)
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
