@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine
 from ..session import scratch, staged
-from .search import BLOCK_BYTES, PROBES, TILE_BYTES, _best_rows, _matrix, _merge, _rank_table, build_lists
+from .search import BLOCK_BYTES, PROBES, Best, _matrix, _merge, build_lists, few_tasks, offer_products
 
 # Centres and cells travel to the tasks; an index that would exceed these is refused.
 CENTRE_BYTES, MOST_CELLS = 256 << 20, 1 << 20
 # Each round visits the cells that hold so many times the rows of the round before.
 GROWTH = 4
+# Cells that a task holds before it hands them on.
+CELLS_OUT = 1 << 20
 # Cells named in a filter one by one; more are joined.
 NAMED_CELLS = 256
 _SLACK = 1e-7
@@ -86,6 +88,11 @@ def _visits(queries: DataFrame, index: Index, rows: int, before: int, kind: str)
     shared = queries.sparkSession.sparkContext.broadcast((
         index.centres, *[c.column(x).to_numpy() for x in ("list_id", "n", "near", "far", "cell")], c.column("value").to_pylist()))
 
+    def piece(batch: pa.RecordBatch, taken: list[int], out: list[np.ndarray]) -> pa.RecordBatch:
+        at, ends = pa.array(taken), np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
+        named = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(out)))
+        return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), batch.column(3).take(at), named], names=["query_id", "query_vector", "floor", "cells"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, lists, n, near, far, cells, values = shared.value
         of_value: dict = {}
@@ -94,7 +101,8 @@ def _visits(queries: DataFrame, index: Index, rows: int, before: int, kind: str)
         everything = np.arange(len(values))
         for batch in batches:
             position, q = _matrix(batch.column(1), centres.shape[1])
-            wanted, floors, out = batch.column(2).to_pylist(), batch.column(3).to_numpy(zero_copy_only=False), []
+            wanted, floors = batch.column(2).to_pylist(), batch.column(3).to_numpy(zero_copy_only=False)
+            taken, out, held = [], [], 0
             for at, row in zip(position.tolist(), q):
                 mine = everything if wanted[at] is None else np.array(of_value.get(wanted[at], []), np.int64)
                 angle = np.arccos(np.clip(centres @ row, -1, 1))[lists[mine]]
@@ -103,11 +111,16 @@ def _visits(queries: DataFrame, index: Index, rows: int, before: int, kind: str)
                 total = np.cumsum(n[mine][order])
                 lo, hi = ((min(len(order), int(np.searchsorted(total, x)) + 1) if x else 0) for x in (before, rows))
                 part = order[lo:hi]
-                out.append(cells[mine[part[bound[part] >= floors[at] - _SLACK]]].tolist())
-            keep = np.flatnonzero([len(x) for x in out])
-            at = pa.array(position[keep])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), batch.column(3).take(at), pa.array([out[i] for i in keep], pa.list_(pa.int32()))],
-                                             names=["query_id", "query_vector", "floor", "cells"])
+                named = cells[mine[part[bound[part] >= floors[at] - _SLACK]]].astype(np.int32)
+                if len(named):
+                    taken.append(at)
+                    out.append(named)
+                    held += len(named)
+                if held >= CELLS_OUT:
+                    yield piece(batch, taken, out)
+                    taken, out, held = [], [], 0
+            if out:
+                yield piece(batch, taken, out)
 
     return queries.select("query_id", "query_vector", "wanted", "floor").mapInArrow(run, f"query_id {kind}, query_vector array<double>, floor double, cells array<int>")
 
@@ -124,26 +137,18 @@ def _scan(rows: DataFrame, block: pa.Table, index: Index, k: int, types: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, q, given, cell_of, owner = shared.value
-        floor = given.copy()
+        best = Best(k, given)
         for batch in batches:
             position, v = _matrix(batch.column(1), q.shape[1])
             keys, row_cells = batch.column(0).take(pa.array(position)), batch.column(2).to_numpy()[position]
-            ties = np.empty(len(keys), dtype=np.int64)
-            ties[pc.sort_indices(keys).to_numpy()] = np.arange(len(keys))
-            schema = pa.schema([("query_id", ids.type), ("key", keys.type), ("similarity", pa.float64())])
             for cell in np.unique(row_cells):
                 asked = owner[np.searchsorted(cell_of, cell):np.searchsorted(cell_of, cell, "right")]
                 mine = np.flatnonzero(row_cells == cell)
-                if not len(asked):
-                    continue
-                tile = max(k, TILE_BYTES // (8 * len(asked)))
-                for lo in range(0, len(mine), tile):
-                    part = mine[lo:lo + tile]
-                    scores = q[asked] @ v[part].T
-                    hits = [_best_rows(s, k, ties[part], floor, i) for i, s in zip(asked, scores)]
-                    yield _rank_table(ids.take(pa.array(asked)), hits, keys.take(pa.array(part)), scores, schema)
-
-    return rows.select(index.key, index.vector, "cell").mapInArrow(run, types), shared
+                if len(asked):
+                    offer_products(best, asked, q, v[mine], keys.take(pa.array(mine)))
+        yield from best.batches(ids)
+
+    return few_tasks(rows.select(index.key, index.vector, "cell")).mapInArrow(run, types), shared
 
 
 def bounded_top_k(index: Index, queries: DataFrame, k: int = 10, wanted: str | None = None, query_id: str = "query_id",
