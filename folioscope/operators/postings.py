@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from decimal import Decimal
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +21,20 @@ from ..session import staged
 SLOTS = 64
 
 
-def _number(x: Decimal) -> str:
+class _Number(str):
     """One text for all ways to write a number."""
-    sign, digits, exponent = x.as_tuple()
+
+
+@lru_cache(1 << 16)
+def _number(written: str) -> _Number:
+    sign, digits, exponent = Decimal(written).as_tuple()
     text = "".join(map(str, digits)).lstrip("0")
     short = text.rstrip("0")
-    return f"{'-' if sign and short else ''}{short or '0'}e{exponent + len(text) - len(short) if short else 0}"
+    return _Number(f"n{'-' if sign and short else ''}{short or '0'}e{exponent + len(text) - len(short) if short else 0}")
+
+
+# Few paths are written again and again.
+_path = lru_cache(1 << 16)(json.dumps)
 
 
 def _refused(name: str):
@@ -35,7 +44,7 @@ def _refused(name: str):
 def leaves(text: str | None) -> list[tuple[str, str]] | None:
     """(path, value) of every scalar and object of a JSON object; None for anything else."""
     try:
-        top = json.loads(text or "", parse_int=Decimal, parse_float=Decimal, parse_constant=_refused)
+        top = json.loads(text or "", parse_int=_number, parse_float=_number, parse_constant=_refused)
     except (ValueError, RecursionError):
         return None
     if not isinstance(top, dict):
@@ -44,9 +53,9 @@ def leaves(text: str | None) -> list[tuple[str, str]] | None:
     while todo:
         at, value = todo.pop()
         kind = ("o" if isinstance(value, dict) else None if isinstance(value, list) else "z" if value is None else f"b{value}" if isinstance(value, bool)
-                else "n" + _number(value) if isinstance(value, Decimal) else "s" + value)
+                else str(value) if isinstance(value, _Number) else "s" + value)
         if kind is not None:
-            out.append((json.dumps(at), kind))
+            out.append((_path(at), kind))
         if isinstance(value, dict):
             todo += [((*at, k), v) for k, v in value.items()]
     return out
@@ -101,12 +110,11 @@ def containing(spark: SparkSession, root: str, patterns: DataFrame, documents: D
     kinds = [f"`{pattern_id}` {patterns.schema[pattern_id].dataType.simpleString()}", f"`{key}` {documents.schema[key].dataType.simpleString()}"]
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Patterns and documents come again, in other batches too.
+        conditions = lru_cache(1 << 14)(lambda text: frozenset(leaves(text) or []))
+        held = lru_cache(1 << 12)(lambda text: frozenset(leaves(text) or []))
         for batch in batches:
-            good, conditions = [], {}
-            for p, t in zip(batch.column(3).to_pylist(), batch.column(2).to_pylist()):
-                if p not in conditions:
-                    conditions[p] = set(leaves(p) or [])
-                good.append(conditions[p] <= set(leaves(t) or []))
+            good = [conditions(p) <= held(t) for p, t in zip(batch.column(3).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=[pattern_id, key]).filter(pa.array(good, pa.bool_()))
 
     return pairs.select(pattern_id, "key", "_text", "_pattern").mapInArrow(check, ", ".join(kinds))
