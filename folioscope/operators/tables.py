@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from ..functions.metadata import document_id
 from ..schemas import CHUNK_DEFAULTS, CHUNKS, DOCUMENT_DEFAULTS, DOCUMENTS, REJECTS
-from ..session import staged
 
 
 def latest_per_key(updates: DataFrame, key: str, order_by: str | None) -> DataFrame:
@@ -207,7 +206,8 @@ def _replace(rows: DataFrame, root: str, table: str, touched: set[int]) -> None:
     spark = rows.sparkSession
     _, key, folders, _ = _STORED[table]
     n = writings(spark, root, table)[-1]
-    kept = staged(rows.withColumn("bucket", _bucket(key, n)), table)  # what is read lies where is written
+    # What is read lies where is written: Spark puts written folders in place of the old ones when all rows are read.
+    kept = rows.withColumn("bucket", _bucket(key, n))
     if touched and kept.count() > GROWTH * ROWS_PER_BUCKET * len(touched):
         others = _read(spark, root, table, with_bucket=True).where(~F.col("bucket").isin(sorted(touched)))
         _publish(others.unionByName(kept).drop("bucket"), root, table, None)
