@@ -66,5 +66,5 @@ def html_text(markup: Column) -> Column:
     """Visible text: one line break where tags part two texts, lines stripped, one blank line at most."""
     marked = F.regexp_replace(markup, f"(?i){_INVISIBLE}", _MARK)
     text = decode_entities(F.regexp_replace(marked, f"{_MARK}+", "\n"))
-    lines = F.array_join(F.transform(F.split(unix_lines(text), "\n"), strip), "\n")
+    lines = F.array_join(F.transform(F.split(let(text, unix_lines), "\n"), strip), "\n")
     return strip(F.regexp_replace(lines, "\n{3,}", "\n\n"))

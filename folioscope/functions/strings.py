@@ -6,6 +6,7 @@ Spark's ``trim`` removes blanks only and Java's ``\\s`` is ASCII, so both sets a
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,13 +41,22 @@ FOREIGN_BREAK = f"\\r\\n|[{char_class(LINE_ENDS.replace(chr(10), ''))}]"
 
 
 def strip(col: Column) -> Column:
-    """Remove all Unicode whitespace at both ends."""
-    return F.btrim(col, F.lit(WHITESPACE))
+    """Remove all Unicode whitespace at both ends.
+
+    Trimming a set of characters at the right visits the whole text: one that ends in a visible ASCII character, as its
+    last byte tells, is trimmed at the left alone.
+    """
+    def bare(text: Column) -> Column:
+        last = F.substring(text.cast("binary"), -1, 1)
+        return F.when((last > F.lit(b" ")) & (last < F.lit(b"\x7f")), F.ltrim(text, F.lit(WHITESPACE))).otherwise(F.btrim(text, F.lit(WHITESPACE)))
+
+    return let(col, bare)
 
 
 def unix_lines(col: Column) -> Column:
-    """Every kind of line end becomes ``\n``."""
-    return F.regexp_replace(col, FOREIGN_BREAK, "\n")
+    """Every kind of line end becomes ``\n``. Few texts have other kinds: a search for each is cheaper than the pattern."""
+    foreign = reduce(Column.__or__, [F.contains(col, F.lit(c)) for c in LINE_ENDS if c != "\n"])
+    return F.when(foreign, F.regexp_replace(col, FOREIGN_BREAK, "\n")).otherwise(col)
 
 
 def split_lines(col: Column) -> Column:
@@ -57,18 +67,24 @@ def split_lines(col: Column) -> Column:
 
 def split_paragraphs(col: Column) -> Column:
     """Stripped, non-empty blocks between two or more newlines; a text without any stays whole."""
-    blocks = F.filter(F.transform(F.split(col, "\n{2,}"), strip), lambda p: p != "")
+    # Most bodies have no such gap, which a search for two newlines tells without the pattern.
+    parts = F.when(F.contains(col, F.lit("\n\n")), F.split(col, "\n{2,}")).otherwise(F.array(col))
+    blocks = F.filter(F.transform(parts, strip), lambda p: p != "")
     return let(blocks, lambda b: F.when(F.size(b) > 0, b).otherwise(F.array(col)))
 
 
 # The upper-case letters of the sentence and heading rules (there is no letter O with tilde).
 UPPER = "A-ZÁÉÍÓÚÀÂÃÊÔÜÇ"
-SENTENCE_GAP = f"(?<=[.!?]){WS}+(?=[{UPPER}\"'(])"
+# What can't be a visible ASCII character is looked at first, then what precedes it: looking behind everywhere takes longer.
+SENTENCE_GAP = f"[^!-~](?<=[.!?]{WS}){WS}*+(?=[{UPPER}\"'(])"
 
 
 def split_sentences(col: Column) -> Column:
-    """Stripped, non-empty pieces between a full stop and a following capital, quote or bracket."""
-    return F.filter(F.transform(F.split(col, SENTENCE_GAP), strip), lambda s: s != "")
+    """Stripped, non-empty pieces between a full stop and a following capital, quote or bracket.
+
+    A gap takes all blanks between two pieces, so that only the ends of the whole text are stripped.
+    """
+    return F.filter(F.split(strip(col), SENTENCE_GAP), lambda s: s != "")
 
 
 def fallback_tokens(col: Column) -> Column:

@@ -10,10 +10,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.strings import let, strip
+from ..functions.strings import strip
 
 WINDOW, MIN_CHARS, SCALE = 500, 20, 1_000_000
 
@@ -45,12 +47,17 @@ class Profiles:
         return likeliest(head, self.languages, self.codes, self.gains, self.unseen)
 
 
+def trigram_codes(head: str) -> np.ndarray:
+    """All three-character windows of a text as numbers that sort as their characters do."""
+    p = np.frombuffer(head.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    return p[:-2] << 42 | p[1:-1] << 21 | p[2:]
+
+
 def likeliest(head: str, languages: tuple[str, ...], codes: np.ndarray, gains: np.ndarray, unseen: np.ndarray) -> str | None:
     """The language of a lower-cased text, the first by name of equal ones; None without trigrams."""
-    p = np.frombuffer(head.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    if len(p) < 3 or not languages:
+    code = trigram_codes(head)
+    if not len(code) or not languages:
         return None
-    code = p[:-2] << 42 | p[1:-1] << 21 | p[2:]
     total = unseen * len(code)
     if len(codes):
         at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
@@ -63,14 +70,32 @@ def head_of(text: Column) -> Column:
     return F.lower(F.substring(text, 1, WINDOW))
 
 
-def trigrams(text: Column) -> Column:
-    """All three-character windows of the lower-cased first characters."""
-    def windows(head: Column) -> Column:
-        n = F.char_length(head)
-        starts = F.when(n >= 3, F.sequence(F.lit(1), n - 2)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.substring(head, i, F.lit(3)))
+# So many texts are counted at once: their codes, not those of a whole Arrow batch, wait in a worker.
+COUNTED_ROWS = 1024
+
+
+def count_trigrams(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """How often each trigram is in the lower-cased first characters of each language's texts: lang, code, n.
+
+    Only these characters visit Python, which counts the texts of a language together; what it counts is added up by
+    one shuffle of (language, trigram).
+    """
+    heads = df.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), head_of(F.col(text)).alias("head"))
+    schema = T.StructType([heads.schema["lang"], T.StructField("code", T.LongType()), T.StructField("n", T.LongType())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, COUNTED_ROWS):
+                part = batch.slice(lo, COUNTED_ROWS)
+                langs, found = part.column(0).dictionary_encode(), {}
+                for place, head in zip(langs.indices.to_pylist(), part.column(1).to_pylist()):
+                    found.setdefault(place, []).append(trigram_codes(head or ""))
+                for place, codes in found.items():
+                    code, n = np.unique(np.concatenate(codes), return_counts=True)
+                    name = langs.dictionary.take(pa.array(np.full(len(code), place)))
+                    yield pa.RecordBatch.from_arrays([name, pa.array(code, pa.int64()), pa.array(n, pa.int64())], names=["lang", "code", "n"])
 
-    return let(head_of(text), windows)
+    return heads.mapInArrow(count, schema).groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
 def train_language_profiles(df: DataFrame, text: str = "text", lang: str = "lang",
@@ -80,22 +105,18 @@ def train_language_profiles(df: DataFrame, text: str = "text", lang: str = "lang
     One shuffle of partial counts by (language, trigram); the driver gets one number for each. All trigrams count,
     unless the caller bounds them: ``profile_size`` keeps the most frequent ones of each language.
     """
-    counts = (df.where(F.col(lang).isNotNull())
-              .select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
-              .groupBy("lang", "gram").agg(F.count("*").alias("n")))
+    counts = count_trigrams(df, text, lang)
     if profile_size is not None:
-        rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
         counts = counts.withColumn("r", rank).where(F.col("r") <= profile_size).drop("r")
     table = counts.toPandas()
     names = tuple(sorted(table["lang"].unique()))
-    grams = sorted(table["gram"].unique(), key=lambda g: tuple(map(ord, g)))
-    place, column = {g: i for i, g in enumerate(grams)}, {n: i for i, n in enumerate(names)}
-    n = np.zeros((len(grams), len(names)))
-    n[[place[g] for g in table["gram"]], [column[x] for x in table["lang"]]] = table["n"]
-    total = n.sum(axis=0) + len(grams)
+    codes, column = np.unique(table["code"].to_numpy(np.int64)), {n: i for i, n in enumerate(names)}
+    n = np.zeros((len(codes), len(names)))
+    n[np.searchsorted(codes, table["code"].to_numpy(np.int64)), [column[x] for x in table["lang"]]] = table["n"]
+    total = n.sum(axis=0) + len(codes)
     unseen = np.round(np.log(1 / total) * SCALE).astype(np.int64)
     gains = np.where(n > 0, np.round(np.log((n + 1) / total) * SCALE).astype(np.int64) - unseen, 0)
-    codes = np.array([ord(g[0]) << 42 | ord(g[1]) << 21 | ord(g[2]) for g in grams], np.int64)
     return Profiles(names, codes, gains, unseen)
 
 
@@ -112,5 +133,6 @@ def detect_language(df: DataFrame, profiles: Profiles, text: str = "text") -> Da
         for heads in batches:
             yield heads.map(lambda h: None if h is None else likeliest(h, *shared.value)).astype(object)
 
-    long_enough = F.char_length(strip(F.col(text))) >= MIN_CHARS
+    # The first characters of the stripped text tell, however long it is.
+    long_enough = F.char_length(F.substring(strip(F.col(text)), 1, MIN_CHARS)) >= MIN_CHARS
     return df.withColumn("language", F.coalesce(label(F.when(long_enough, head_of(F.col(text)))), F.lit("unknown")))
