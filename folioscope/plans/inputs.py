@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.metadata import DOCX, HTML, JSON, MARKDOWN, PDF, PLAIN
 from ..functions.strings import fallback_tokens
-from ..operators import extract
+from ..operators.extract import PARSED_ROWS
 from ..operators.paths import normalize_path, prefixes_of
 from ..session import scratch
 from ..sources.tables import read_table
@@ -108,8 +108,8 @@ def docx_files(spark: SparkSession, sf: str) -> DataFrame:
     @F.arrow_udf("binary")
     def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            for lo in range(0, max(1, len(texts)), extract.PARSED_ROWS):
-                yield pa.array([_docx(t) for t in texts[lo:lo + extract.PARSED_ROWS].to_pylist()], pa.binary())
+            for lo in range(0, max(1, len(texts)), PARSED_ROWS):
+                yield pa.array([_docx(t) for t in texts[lo:lo + PARSED_ROWS].to_pylist()], pa.binary())
     return documents(spark, sf).select("doc_id", F.lit(DOCX).alias("mime_type"), pack("text").alias("content"))
 
 
