@@ -83,17 +83,24 @@ def ingest_files(spark: SparkSession, prefix: str, settings: Settings = Settings
 
 
 def _ingest_files(spark: SparkSession, prefix: str, settings: Settings, known: str | None) -> Ingested:
-    listed = listing(spark, prefix)
-    raw = read_contents(spark, prefix, max_bytes=settings.max_bytes)
+    return ingest_listed(spark, prefix, listing(spark, prefix), settings, known, 0 if known is None else next_batch(spark, known))
+
+
+def ingest_listed(spark: SparkSession, prefix: str, listed: DataFrame, settings: Settings, known: str | None, batch: int) -> Ingested:
+    """The files of a written listing (uri, length) below a prefix. With ``known`` contents of batches before number
+    ``batch`` are left out, and of equal new ones all but that of the lowest uri."""
+    raw = read_contents(spark, prefix, max_bytes=settings.max_bytes, listed=listed)
+    rejects = too_large(listed, settings.max_bytes)
     if known is None:
-        return ingest(raw, settings, too_large(listed, settings.max_bytes), listed)
+        return ingest(raw, settings, rejects, listed)
     hashed = staged(raw.select("uri", content_hash(F.col("content")).alias("content_sha256")), "hashes")
     once = hashed.groupBy("content_sha256").agg(F.min("uri").alias("uri"))
-    fresh = staged(once.join(known_contents(spark, known, once, next_batch(spark, known)), "content_sha256", "left_anti"), "fresh")
+    fresh = staged(once.join(known_contents(spark, known, once, batch), "content_sha256", "left_anti"), "fresh")
     # What was hashed was read: only the others and the fresh ones are held against the result.
     others = hashed.join(fresh, ["uri", "content_sha256"], "left_anti")
-    done = ingest(raw.join(fresh.select("uri"), "uri", "left_semi"), settings, too_large(listed, settings.max_bytes), listed.join(others.select("uri"), "uri", "left_anti"))
-    return replace(done, hashes=fresh)
+    wanted = staged(listed.join(fresh.select("uri"), "uri", "left_semi"), "wanted")
+    raw = read_contents(spark, prefix, max_bytes=settings.max_bytes, listed=wanted)
+    return replace(ingest(raw, settings, rejects, listed.join(others.select("uri"), "uri", "left_anti")), hashes=fresh)
 
 
 def store(result: Ingested, root: str, buckets: int | None = None, known: str | None = None) -> None:
